@@ -217,7 +217,8 @@ class TopK:
 
 
 def text_ids(column: pa.Array) -> np.ndarray:
-    return np.asarray(column.to_pylist(), dtype=np.str_)
+    """Ids as UTF-8 bytes, which sort as Spark sorts strings."""
+    return np.asarray(column.cast(pa.binary()).to_pylist(), dtype=np.bytes_)
 
 
 def nearest_rows(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, metric: str, k: int, digits: int | None):

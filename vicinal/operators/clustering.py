@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,17 @@ def load_centroids(centroids: DataFrame) -> Centroids:
     return Centroids(table["cell"].to_numpy().astype(np.int64), to_matrix(table["centroid"]), counts)
 
 
+def centroid_frame(spark: SparkSession, known: Centroids) -> DataFrame:
+    table = pa.table(
+        {
+            "cell": pa.array(known.cells, pa.int32()),
+            "centroid": to_lists(known.matrix, pa.float64()),
+            "n": pa.array(known.counts, pa.int64()),
+        }
+    )
+    return spark.createDataFrame(table)
+
+
 def training_vector(vector: Column | str, metric: str) -> Column:
     """What is clustered: unit vectors under cosine, the vectors themselves otherwise."""
     vector = F.col(vector) if isinstance(vector, str) else vector
@@ -161,22 +172,20 @@ def mean_vectors(sums: DataFrame) -> DataFrame:
 
 
 def lloyd_step(
-    items: DataFrame, centroids: DataFrame, metric: str | None = None, digits: int | None = None
+    items: DataFrame, centroids: DataFrame | Centroids, metric: str | None = None, digits: int | None = None
 ) -> DataFrame:
     """One round of k-means: the mean of the vectors nearest to each centroid.
 
     Sums are built inside each task, so the shuffle carries centroids, not items. A
     cell that attracts nothing keeps its centroid with ``n`` 0.
     """
-    known = load_centroids(centroids)
+    known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
     vectors = items.select(training_vector("vector", check_metric(metric)).alias("vector"))
     vectors = vectors.filter(F.col("vector").isNotNull())
     means = mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits))
-    before = centroids.select(F.col("cell").cast("int").alias("cell"), F.col("centroid").alias("before"))
+    before = centroid_frame(items.sparkSession, known).select("cell", F.col("centroid").alias("before"))
     return before.join(means, "cell", "left").select(
-        "cell",
-        F.coalesce("centroid", F.col("before").cast("array<double>")).alias("centroid"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        "cell", F.coalesce("centroid", "before").alias("centroid"), F.coalesce("n", F.lit(0)).alias("n")
     )
 
 
@@ -233,8 +242,8 @@ def train_ivf(
             seed=seed,
         ).fit(features)
         centers = model.clusterCenters()
-    rows = [(cell, [float(x) for x in center]) for cell, center in enumerate(centers)]
-    start = spark.createDataFrame(rows, "cell int, centroid array<double>")
+    matrix = np.asarray(centers, np.float64)
+    start = centroid_frame(spark, Centroids(np.arange(len(matrix)), matrix, np.zeros(len(matrix), np.int64)))
     if n_lists == 1:
         return lloyd_step(items, start, metric)
     return with_counts(start, assign_cells(items.select("vector"), start, metric))

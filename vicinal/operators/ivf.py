@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from vicinal.functions.blocks import VectorMetric, nearest_rows
 from vicinal.functions.vectors import to_matrix
 from vicinal.operators.clustering import Centroids, load_centroids
-from vicinal.operators.knn import filter_items, finish_hits, knn_exact
+from vicinal.operators.knn import filter_items, finish_hits
 from vicinal.operators.projection import hit_fields
-from vicinal.operators.search import SearchLimits, search
+from vicinal.operators.search import SearchLimits, few, search
 from vicinal.options import TARGET_RECALL, check_metric, check_probes, check_top_k
 
 
@@ -106,8 +106,10 @@ def calibrate_probes(
     """
     metric = check_metric(metric)
     known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
-    truth = knn_exact(cells, sample, top_k, metric)
-    placed = cells.select("id", "cell").join(F.broadcast(truth.select("query_id", "id")), "id")
+    truth, n_queries = search(cells, sample, VectorMetric(metric), top_k)
+    truth = truth.select("query_id", "id")
+    small = n_queries is not None and few(n_queries * top_k)
+    placed = cells.select("id", "cell").join(F.broadcast(truth) if small else truth, "id")
     found = placed.groupBy("query_id").agg(F.collect_list("cell").alias("truth_cells"))
     asked = sample.join(found, "query_id")
     ranks = asked.select("query_id", F.explode(_list_ranks(known, metric, sample)).alias("list_rank"))

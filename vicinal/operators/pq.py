@@ -11,13 +11,13 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vicinal.functions.blocks import CodeMetric, nearest_rows
 from vicinal.functions.distance import distance
-from vicinal.functions.vectors import to_matrix
+from vicinal.functions.vectors import to_lists, to_matrix
 from vicinal.operators.clustering import (
     Centroids,
     load_centroids,
@@ -29,7 +29,7 @@ from vicinal.operators.clustering import (
 from vicinal.operators.ivf import route
 from vicinal.operators.knn import filter_items, finish_hits
 from vicinal.operators.projection import hit_fields
-from vicinal.operators.search import SearchLimits, collect_bounded, merge_top_k, search
+from vicinal.operators.search import SearchLimits, collect_bounded, few, merge_top_k, search
 from vicinal.options import (
     RERANK_FACTOR,
     SAMPLE_ROWS_PER_LIST,
@@ -60,13 +60,16 @@ def _as_pairs(books: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(codes, book[codes]) for codes, book in zip(known, books)]
 
 
-def _as_rows(spark, books: np.ndarray) -> DataFrame:
-    rows = [
-        (sub, int(code), [float(x) for x in word])
-        for sub, (codes, words) in enumerate(_as_pairs(books))
-        for code, word in zip(codes, words)
-    ]
-    return spark.createDataFrame(rows, "sub int, code int, centroid array<double>")
+def _as_rows(spark: SparkSession, books: np.ndarray) -> DataFrame:
+    pairs = _as_pairs(books)
+    table = pa.table(
+        {
+            "sub": pa.array(np.repeat(np.arange(len(pairs)), [len(codes) for codes, _ in pairs]), pa.int32()),
+            "code": pa.array(np.concatenate([codes for codes, _ in pairs]), pa.int32()),
+            "centroid": to_lists(np.concatenate([words for _, words in pairs]), pa.float64()),
+        }
+    )
+    return spark.createDataFrame(table)
 
 
 def pq_step(items: DataFrame, books: DataFrame, metric: str | None = None, digits: int | None = None) -> DataFrame:
@@ -76,15 +79,11 @@ def pq_step(items: DataFrame, books: DataFrame, metric: str | None = None, digit
     """
     vectors = items.select(training_vector("vector", check_metric(metric)).alias("vector"))
     vectors = vectors.filter(F.col("vector").isNotNull())
-    means = mean_vectors(partial_sums(vectors, _as_pairs(load_books(books)), digits)).withColumnRenamed("cell", "code")
-    before = books.select(
-        F.col("sub").cast("int").alias("sub"), F.col("code").cast("int").alias("code"), F.col("centroid").alias("before")
-    )
+    known = load_books(books)
+    means = mean_vectors(partial_sums(vectors, _as_pairs(known), digits)).withColumnRenamed("cell", "code")
+    before = _as_rows(items.sparkSession, known).withColumnRenamed("centroid", "before")
     return before.join(means, ["sub", "code"], "left").select(
-        "sub",
-        "code",
-        F.coalesce("centroid", F.col("before").cast("array<double>")).alias("centroid"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        "sub", "code", F.coalesce("centroid", "before").alias("centroid"), F.coalesce("n", F.lit(0)).alias("n")
     )
 
 
@@ -148,7 +147,7 @@ def encode_pq(
     return items.withColumn("codes", codes)
 
 
-def _nearest_codes(spark, vector: Column, books: np.ndarray, digits: int | None) -> Column:
+def _nearest_codes(spark: SparkSession, vector: Column, books: np.ndarray, digits: int | None) -> Column:
     sent = spark.sparkContext.broadcast(_as_pairs(books))
 
     def encode(vectors: pa.Array) -> pa.Array:
@@ -204,7 +203,7 @@ def search_pq(
     wanted = top_k * max(1, rerank)
     hits, n_queries = search(codes, asked, CodeMetric(metric, array), wanted, "codes", digits, limits)
     if rerank > 0:
-        small = n_queries is not None and n_queries * wanted <= 500_000
+        small = n_queries is not None and few(n_queries * wanted)
         rough = hits.select("query_id", "id")
         exact = items.select("id", "vector").join(F.broadcast(rough) if small else rough, "id")
         asked = queries.select("query_id", "query_vector")

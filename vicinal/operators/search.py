@@ -30,6 +30,7 @@ _SPLIT_BYTES = 128 << 20
 _MERGE_ROWS = 1_000_000
 _ATTACH_ROWS = 500_000
 _PRUNE_CELLS = 10_000
+_HELD_ROWS = 1_000_000
 _OUTPUT_ROWS = 1 << 16
 
 
@@ -44,7 +45,13 @@ class SearchLimits:
 
 
 def collect_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> pa.Table | None:
-    """The rows on the driver, or None when there are more than the bound allows."""
+    """The rows on the driver, or None when there are more than the bound allows.
+
+    Where Catalyst's estimate alone does not rule out a large result, the rows are
+    counted first: a limit over many partitions would gather a full limit from each.
+    """
+    if plan_bytes(df) > max_bytes and df.count() > max_rows:
+        return None
     table = df.limit(max_rows + 1).toArrow()
     return table if table.num_rows <= max_rows and table.nbytes <= max_bytes else None
 
@@ -68,10 +75,12 @@ def search(
     probing = "cells" in queries.columns
     columns = ["query_id", "query_vector"] + (["cells"] if probing else [])
     queries = queries.select(*columns)
+    if dict(queries.dtypes)["query_id"] != "string":
+        queries = queries.withColumn("query_id", F.col("query_id").cast("bigint"))
     base = base.filter(F.col(value).isNotNull()).select("id", F.col(value).alias("value"), *(["cell"] if probing else []))
     shards = _shards(base, top_k, limits)
 
-    rows = min(limits.broadcast_rows, metric.max_queries)
+    rows = min(limits.broadcast_rows, _queries_per_task(metric, top_k))
     shipped = collect_bounded(queries, rows, limits.broadcast_bytes)
     if shipped is None:
         found = _by_blocks(base, queries, metric, top_k, digits, limits, shards)
@@ -101,8 +110,12 @@ def attach(hits: DataFrame, items: DataFrame, fields: list[str], max_hits: int |
         return hits
     wanted = items.select("id", *fields)
     # The bound on the hits is proven by the measured query count times top_k.
-    small = max_hits is not None and max_hits <= _ATTACH_ROWS
-    return wanted.join(F.broadcast(hits) if small else hits, "id")
+    return wanted.join(F.broadcast(hits) if few(max_hits) else hits, "id")
+
+
+def few(max_rows: int | None) -> bool:
+    """Whether a proven number of hits may be broadcast."""
+    return max_rows is not None and max_rows <= _ATTACH_ROWS
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -110,6 +123,11 @@ def plan_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def _queries_per_task(metric, top_k: int) -> int:
+    """As many as keep a task's running winners, and its lookup tables, in memory."""
+    return min(metric.max_queries, max(1, _HELD_ROWS // top_k))
+
+
 def _shards(base: DataFrame, top_k: int, limits: SearchLimits) -> int:
     tasks = math.ceil(min(plan_bytes(base), 1 << 50) / _SPLIT_BYTES)
     return 1 if tasks * top_k <= limits.merge_rows else math.ceil(math.sqrt(tasks))
@@ -181,7 +199,7 @@ def _by_blocks(base, queries, metric, top_k, digits, limits, shards) -> DataFram
     else:
         base = base.withColumn("cell", F.lit(0))
         routed = queries.withColumn("cell", F.lit(0))
-    query_rows = min(limits.block_rows, metric.max_queries)
+    query_rows = min(limits.block_rows, _queries_per_task(metric, top_k))
     # One row per cell; the number of cells is bounded where centroids are shipped.
     grid = F.broadcast(
         _parts(base, "base_parts", limits.block_rows).join(_parts(routed, "query_parts", query_rows), "cell")
@@ -234,7 +252,7 @@ def _hit_batches(best: TopK, query_ids: pa.Array, shard: int):
         yield pa.RecordBatch.from_arrays(
             [
                 query_ids.take(pa.array(positions[part], pa.int64())),
-                pa.array(ids[part].tolist(), pa.string()),
+                pa.array(ids[part].tolist(), pa.binary()).cast(pa.string()),
                 pa.array(distances[part], pa.float64()),
                 pa.array(np.full(len(positions[part]), shard), pa.int32()),
             ],

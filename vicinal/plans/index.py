@@ -49,6 +49,7 @@ from vicinal.sources.index_store import PLAIN_KINDS, IndexStore, empty_frame, ne
 
 _CENTROID_KIND = {"centroid": "array<double>"}
 _CALIBRATION_QUERIES = 256
+_MAX_TASKS = 100_000
 
 
 class VectorStore:
@@ -416,8 +417,9 @@ class VectorIndex:
         sizes = [(int(c), max(1, math.ceil(n / (8 * BLOCK_ROWS)))) for c, n in zip(centroids.cells, centroids.counts)]
         parts = F.broadcast(self.spark.createDataFrame(sizes, "cell int, parts int"))
         spread = cells.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+        files = min(sum(n for _, n in sizes), _MAX_TASKS)
         sealed = [name for name in (*entry["encrypted"], "codes") if name in cells.columns]
-        rows = encrypt_columns(spread.repartition("cell", "part").drop("part", "parts"), sealed, self._key_df)
+        rows = encrypt_columns(spread.repartition(files, "cell", "part").drop("part", "parts"), sealed, self._key_df)
         rows.write.partitionBy("cell").parquet(path)
 
     def _read_cells(self, entry: dict, path: str) -> DataFrame:

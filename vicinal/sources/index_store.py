@@ -130,12 +130,13 @@ def write_changes(
 ) -> str:
     """Write ``(id, vector, contents, metadata, op)`` as one batch directory.
 
-    The directory is named by ``seq`` and ``uid``; writing the same pair again replaces
-    it, which is what a replayed micro-batch needs.
+    Every row gets ``seq`` unless ``changes`` brings its own. The directory is named by
+    ``seq`` and ``uid``; writing the same pair again replaces it, which is what a
+    replayed micro-batch needs.
     """
     name = f"{seq:020d}-{uid}"
-    rows = changes.select("id", *PLAIN_KINDS, "op").withColumn("seq", F.lit(seq).cast("bigint"))
-    rows = rows.withColumn("uid", F.lit(uid))
+    order = F.col("seq") if "seq" in changes.columns else F.lit(seq)
+    rows = changes.select("id", *PLAIN_KINDS, "op", order.cast("bigint").alias("seq"), F.lit(uid).alias("uid"))
     if encrypted:
         rows = encrypt_columns(rows, encrypted, key_df)
     rows.write.mode("overwrite").parquet(f"{log_path}/{name}")

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+@lru_cache(maxsize=256)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One sample table; its schema is read from the files once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a file stream; the pattern matches a single file and a directory."""
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def vector_items(spark: SparkSession, sf_dir: str) -> DataFrame:

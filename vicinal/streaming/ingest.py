@@ -28,7 +28,9 @@ def upsert_stream(
     Each micro-batch becomes one log batch under the sequence number
     ``version * 2**32 + batch id``. A replayed micro-batch overwrites its own directory,
     so a restart adds nothing twice. ``order_col`` says which change of an id wins
-    within a micro-batch; it must be given unless ids are unique there.
+    within a micro-batch; it must be given unless ids are unique there. A stream that
+    carries its own ``seq`` keeps it: the greatest one wins whatever order the changes
+    arrive in, and late ones lose. All writers of such a log then number that way.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
