@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 _NUMBER_KINDS = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 _PLAIN_KEY = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 _PREFIX = "metadata."
-_EXACT_DOUBLE = 1 << 53
+_EXACT_DOUBLE = (1 << 53) - 1
 
 
 def compile_filter(filters: dict | str | None, metadata: Column | str = "metadata") -> Column:

@@ -171,6 +171,12 @@ def mean_vectors(sums: DataFrame) -> DataFrame:
     return parts.select("sub", "cell", F.transform("parts", lambda p: p["mean"]).alias("centroid"), "n")
 
 
+def _means(items: DataFrame, known: Centroids, metric: str | None, digits: int | None) -> DataFrame:
+    vectors = items.select(training_vector("vector", check_metric(metric)).alias("vector"))
+    vectors = vectors.filter(F.col("vector").isNotNull())
+    return mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits)).select("cell", "centroid", "n")
+
+
 def lloyd_step(
     items: DataFrame, centroids: DataFrame | Centroids, metric: str | None = None, digits: int | None = None
 ) -> DataFrame:
@@ -180,15 +186,23 @@ def lloyd_step(
     cell that attracts nothing keeps its centroid with ``n`` 0.
     """
     known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
-    vectors = items.select(training_vector("vector", check_metric(metric)).alias("vector"))
-    vectors = vectors.filter(F.col("vector").isNotNull())
-    means = mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits))
     before = centroid_frame(items.sparkSession, known).select("cell", F.col("centroid").alias("before"))
-    return before.join(means, "cell", "left").select(
+    return before.join(_means(items, known, metric, digits), "cell", "left").select(
         "cell", F.coalesce("centroid", "before").alias("centroid"), F.coalesce("n", F.lit(0)).alias("n")
     )
 
 
+def lloyd_round(items: DataFrame, known: Centroids, metric: str | None = None, digits: int | None = None) -> Centroids:
+    """The same round for a caller that iterates; as many rows come back as went out."""
+    means = _means(items, known, metric, digits).toArrow()
+    matrix, counts = known.matrix.copy(), np.zeros(len(known.cells), np.int64)
+    if means.num_rows:
+        place = np.searchsorted(known.cells, means["cell"].to_numpy())
+        matrix[place] = to_matrix(means["centroid"])
+        counts[place] = means["n"].to_numpy()
+    return Centroids(known.cells, matrix, counts)
+
+
 def auto_lists(n_items: int) -> int:
     return min(MAX_LISTS, max(1, round(math.sqrt(n_items))))
 

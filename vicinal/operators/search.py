@@ -56,6 +56,12 @@ def collect_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYT
     return table if table.num_rows <= max_rows and table.nbytes <= max_bytes else None
 
 
+def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A small table computed once, for use in several searches; a large one as it is."""
+    table = collect_bounded(df, max_rows)
+    return df if table is None else df.sparkSession.createDataFrame(table, df.schema)
+
+
 def search(
     base: DataFrame,
     queries: DataFrame,

@@ -20,6 +20,7 @@ from vicinal.operators.clustering import (
     Centroids,
     assign_cells,
     centroid_frame,
+    lloyd_round,
     lloyd_step,
     load_centroids,
     train_ivf,
@@ -39,6 +40,7 @@ from vicinal.operators.ivf import calibrate_probes, probe
 from vicinal.operators.knn import filter_matches as matching_ids
 from vicinal.operators.knn import knn_exact
 from vicinal.operators.pq import encode_pq, load_books, pq_step, search_pq, train_pq
+from vicinal.operators.search import settle
 from vicinal.operators.training import training_status
 from vicinal.options import IVFFlat
 from vicinal.plans.index import VectorStore
@@ -279,7 +281,7 @@ def compact_over_snapshot(spark, sf_dir):
 
 
 def _lists(spark, sf_dir, items: DataFrame):
-    centroids = load_centroids(lloyd_step(items, label_centroids(spark, sf_dir), digits=DIGITS))
+    centroids = lloyd_round(items, load_centroids(label_centroids(spark, sf_dir)), digits=DIGITS)
     return centroids, assign_cells(items, centroids, digits=DIGITS)
 
 
@@ -336,7 +338,7 @@ def ivf_train(spark, sf_dir):
     items = vector_items(spark, sf_dir)
     centroids = load_centroids(train_ivf(items, n_lists=16, max_iters=10))
     cells = assign_cells(items, centroids)
-    queries = label_queries(spark, sf_dir)
+    queries = settle(label_queries(spark, sf_dir))
     n_probes = calibrate_probes(cells, centroids, queries, TOP_K)
     recall = evaluation.recall_at_k(knn_exact(items, queries, TOP_K), probe(cells, centroids, queries, TOP_K, n_probes))
     return recall.select(F.lit(len(centroids.cells)).alias("n_lists"), F.lit(n_probes).alias("n_probes"), "n_queries", "recall")
@@ -406,7 +408,7 @@ _FILTERS = {1: {"lang": "en"}, 2: {"n_chars": {"$gt": 500}}, 3: {"lang": "xx"}}
 
 def _filtered_recalls(spark, sf_dir) -> DataFrame:
     items = vector_items(spark, sf_dir)
-    queries = label_queries(spark, sf_dir)
+    queries = settle(label_queries(spark, sf_dir))
     centroids, cells = _lists(spark, sf_dir, items)
     asked, truth, hits = [], [], []
     for number, filters in _FILTERS.items():
@@ -414,7 +416,7 @@ def _filtered_recalls(spark, sf_dir) -> DataFrame:
         asked.append(queries.select(mark, "query_id"))
         truth.append(knn_exact(items, queries, TOP_K, filters=filters, digits=DIGITS).select(mark, "query_id", "id"))
         hits.append(
-            probe(cells, centroids, queries, TOP_K, n_probes=3, filters=filters, digits=DIGITS).select(mark, "query_id", "id")
+            probe(cells, centroids, queries, TOP_K, n_probes=1, filters=filters, digits=DIGITS).select(mark, "query_id", "id")
         )
     asked, truth, hits = (_union(parts) for parts in (asked, truth, hits))
     return evaluation.recall_filtered(asked, truth, hits, keys=("filter_id", "query_id"))

@@ -133,7 +133,7 @@ truth AS (
   QUALIFY row_number() OVER (PARTITION BY filter_id, query_id ORDER BY round(list_distance(q, v), 6), id) <= 10),
 hits AS (
   SELECT a.filter_id, q.query_id, a.id FROM queries q
-  JOIN ranked_cells r ON r.query_id = q.query_id AND r.place <= 3
+  JOIN ranked_cells r ON r.query_id = q.query_id AND r.place <= 1
   JOIN cells c ON c.cell = r.cell JOIN allowed a ON a.id = c.id
   QUALIFY row_number() OVER (PARTITION BY a.filter_id, q.query_id ORDER BY round(list_distance(q.q, a.v), 6), a.id) <= 10),
 per_query AS (
