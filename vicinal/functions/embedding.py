@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -15,11 +15,22 @@ from pyspark.sql import functions as F
 Embedder = Callable[[pd.Series], pd.Series]
 
 _TOKEN = re.compile(r"[a-z]+")
+_REMEMBERED_TOKENS = 1 << 20
+_CHUNK_TEXTS = 256
 
 
-@lru_cache(maxsize=1 << 16)
-def _bucket(token: str, dimension: int) -> int:
-    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dimension
+class _Buckets(dict):
+    """Token to bucket, remembered per worker up to a bound."""
+
+    def __init__(self, dimension: int):
+        super().__init__()
+        self.dimension = dimension
+
+    def __missing__(self, token: str) -> int:
+        if len(self) >= _REMEMBERED_TOKENS:
+            self.clear()
+        bucket = self[token] = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % self.dimension
+        return bucket
 
 
 def hash_embedder(dimension: int = 64) -> Embedder:
@@ -30,16 +41,24 @@ def hash_embedder(dimension: int = 64) -> Embedder:
     """
 
     def embed(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: None if text is None else _embed_one(text, dimension))
+        buckets = _Buckets(dimension)
+        vectors: list = []
+        for start in range(0, len(texts), _CHUNK_TEXTS):
+            vectors.extend(_embed_chunk(texts.iloc[start : start + _CHUNK_TEXTS], buckets))
+        return pd.Series(vectors, index=texts.index, dtype=object)
 
     return embed
 
 
-def _embed_one(text: str, dimension: int) -> np.ndarray:
-    buckets = [_bucket(token, dimension) for token in _TOKEN.findall(text.lower())]
-    counts = np.bincount(buckets, minlength=dimension).astype(np.float64) if buckets else np.zeros(dimension)
-    length = np.sqrt(counts @ counts)
-    return (counts / length if length else counts).astype(np.float32)
+def _embed_chunk(texts: pd.Series, buckets: _Buckets) -> list:
+    tokens = [[] if text is None else _TOKEN.findall(text.lower()) for text in texts]
+    rows = np.repeat(np.arange(len(tokens)), [len(row) for row in tokens])
+    found = np.fromiter(map(buckets.__getitem__, chain.from_iterable(tokens)), np.int64, len(rows))
+    width = buckets.dimension
+    counts = np.bincount(rows * width + found, minlength=len(tokens) * width).reshape(-1, width).astype(np.float64)
+    lengths = np.sqrt(np.einsum("ij,ij->i", counts, counts))
+    unit = (counts / np.where(lengths > 0, lengths, 1.0)[:, None]).astype(np.float32)
+    return [None if text is None else vector for text, vector in zip(texts, unit)]
 
 
 def embedding(text: Column | str, embedder: Embedder | None = None) -> Column:

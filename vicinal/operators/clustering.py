@@ -172,8 +172,8 @@ def mean_vectors(sums: DataFrame) -> DataFrame:
 
 
 def _means(items: DataFrame, known: Centroids, metric: str | None, digits: int | None) -> DataFrame:
-    vectors = items.select(training_vector("vector", check_metric(metric)).alias("vector"))
-    vectors = vectors.filter(F.col("vector").isNotNull())
+    vectors = items.filter(F.col("vector").isNotNull())
+    vectors = vectors.select(training_vector("vector", check_metric(metric)).alias("vector"))
     return mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits)).select("cell", "centroid", "n")
 
 

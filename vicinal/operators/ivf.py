@@ -66,12 +66,14 @@ def probe(
     items: DataFrame | None = None,
     digits: int | None = None,
     limits: SearchLimits | None = None,
+    prune: bool = True,
 ) -> DataFrame:
     """The ``top_k`` closest items among the probed lists.
 
     ``cells`` is ``(id, cell)``, or also carries ``vector`` and ``metadata``; what it
     lacks is read from ``items``. Greedy takes the place of ``n_probes``: lists are
-    visited in centroid order until they hold ``top_k`` rows. Probing every list, which
+    visited in centroid order until they hold ``top_k`` rows. ``prune=False`` suits cells
+    that are computed in the same plan rather than stored. Probing every list, which
     is also what ``n_probes=None`` does, gives the exact answer.
     """
     top_k, metric = check_top_k(top_k), check_metric(metric)
@@ -86,7 +88,7 @@ def probe(
     asked = queries
     if len(known.cells):
         asked = route(queries, known, metric, None if greedy else check_probes(n_probes), top_k if greedy else None, digits)
-    hits, n_queries = search(base, asked, VectorMetric(metric), top_k, digits=digits, limits=limits)
+    hits, n_queries = search(base, asked, VectorMetric(metric), top_k, digits=digits, limits=limits, prune=prune)
     return finish_hits(hits, cells if items is None else items, fields, n_queries, top_k)
 
 

@@ -77,8 +77,8 @@ def pq_step(items: DataFrame, books: DataFrame, metric: str | None = None, digit
 
     A codeword that attracts nothing stays where it was, with ``n`` 0.
     """
-    vectors = items.select(training_vector("vector", check_metric(metric)).alias("vector"))
-    vectors = vectors.filter(F.col("vector").isNotNull())
+    vectors = items.filter(F.col("vector").isNotNull())
+    vectors = vectors.select(training_vector("vector", check_metric(metric)).alias("vector"))
     known = load_books(books)
     means = mean_vectors(partial_sums(vectors, _as_pairs(known), digits)).withColumnRenamed("cell", "code")
     before = _as_rows(items.sparkSession, known).withColumnRenamed("centroid", "before")
@@ -185,6 +185,7 @@ def search_pq(
     include: Iterable[str] | None = (),
     digits: int | None = None,
     limits: SearchLimits | None = None,
+    prune: bool = True,
 ) -> DataFrame:
     """Search the codes, then order the best ``rerank * top_k`` by exact distance.
 
@@ -201,7 +202,7 @@ def search_pq(
         known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
         asked = route(queries, known, metric, None if greedy else check_probes(n_probes), top_k if greedy else None, digits)
     wanted = top_k * max(1, rerank)
-    hits, n_queries = search(codes, asked, CodeMetric(metric, array), wanted, "codes", digits, limits)
+    hits, n_queries = search(codes, asked, CodeMetric(metric, array), wanted, "codes", digits, limits, prune)
     if rerank > 0:
         small = n_queries is not None and few(n_queries * wanted)
         rough = hits.select("query_id", "id")

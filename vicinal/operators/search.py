@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,12 +71,17 @@ def search(
     value: str = "vector",
     digits: int | None = None,
     limits: SearchLimits | None = None,
+    prune: bool = True,
 ) -> tuple[DataFrame, int | None]:
     """Best ``top_k`` base rows per query as ``(query_id, rank, id, distance)``.
 
     ``base`` has ``id``, the ``value`` column and, when ``queries`` carries a ``cells``
-    array, the ``cell`` it lies in. Query ids are unique. Also returns the number of
-    queries when it was measured.
+    array, the ``cell`` it lies in. Query ids are unique. ``prune`` filters the base on
+    the probed cells; it pays where cells are stored, not where they are computed in the
+    same plan. Also returns the number of queries when it was measured.
+
+    Rows without a value are skipped inside the tasks: a null filter in the plan would
+    make Spark evaluate a value that comes from a Python function twice.
     """
     limits = limits or SearchLimits()
     probing = "cells" in queries.columns
@@ -83,7 +89,7 @@ def search(
     queries = queries.select(*columns)
     if dict(queries.dtypes)["query_id"] != "string":
         queries = queries.withColumn("query_id", F.col("query_id").cast("bigint"))
-    base = base.filter(F.col(value).isNotNull()).select("id", F.col(value).alias("value"), *(["cell"] if probing else []))
+    base = base.select("id", F.col(value).alias("value"), *(["cell"] if probing else []))
     shards = _shards(base, top_k, limits)
 
     rows = min(limits.broadcast_rows, _queries_per_task(metric, top_k))
@@ -91,6 +97,8 @@ def search(
     if shipped is None:
         found = _by_blocks(base, queries, metric, top_k, digits, limits, shards)
         return merge_top_k(found, top_k, shards), None
+    if probing and prune:
+        base = _prune(base, shipped)
     found = _by_broadcast(base, queries, shipped, metric, top_k, digits, shards)
     return merge_top_k(found, top_k, shards), shipped.num_rows
 
@@ -134,8 +142,19 @@ def _queries_per_task(metric, top_k: int) -> int:
     return min(metric.max_queries, max(1, _HELD_ROWS // top_k))
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of what the plan's leaves read."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(n).stats().sizeInBytes()) for n in range(leaves.size()))
+
+
 def _shards(base: DataFrame, top_k: int, limits: SearchLimits) -> int:
-    tasks = math.ceil(min(plan_bytes(base), 1 << 50) / _SPLIT_BYTES)
+    """How many first-round groups the winners of one query need.
+
+    The base arrives in input splits, or in shuffle partitions after a join.
+    """
+    splits = math.ceil(min(scanned_bytes(base), 1 << 50) / _SPLIT_BYTES)
+    tasks = max(splits, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return 1 if tasks * top_k <= limits.merge_rows else math.ceil(math.sqrt(tasks))
 
 
@@ -147,8 +166,6 @@ def _hit_schema(queries: DataFrame) -> str:
 def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards) -> DataFrame:
     spark = base.sparkSession
     probing = "cells" in shipped.column_names
-    if probing:
-        base = _prune(base, shipped)
     load = spark.sparkContext.broadcast(
         {
             "ids": shipped["query_id"].combine_chunks(),
@@ -166,6 +183,9 @@ def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards) -> Data
         everyone = np.arange(len(ids))
         probers = None if sent["cells"] is None else _probers(sent["cells"])
         for batch in batches:
+            batch = _with_value(batch)
+            if not batch.num_rows:
+                continue
             rows = best.scorer.read(batch.column("value"))
             names = text_ids(batch.column("id"))
             if probers is None:
@@ -227,6 +247,7 @@ def _by_blocks(base, queries, metric, top_k, digits, limits, shards) -> DataFram
     kinds = pa.schema([("query_id", _arrow_kind(queries)), ("id", pa.string()), ("distance", pa.float64()), ("shard", pa.int32())])
 
     def compare(key: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
+        rows = _with_value(rows)
         if not rows.num_rows or not asked.num_rows:
             return kinds.empty_table()
         scorer = metric.bind(to_matrix(asked["query_vector"]))
@@ -239,6 +260,11 @@ def _by_blocks(base, queries, metric, top_k, digits, limits, shards) -> DataFram
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, schema)
 
 
+def _with_value(rows):
+    values = rows.column("value")
+    return rows.filter(pc.is_valid(values)) if values.null_count else rows
+
+
 def _parts(df: DataFrame, name: str, rows: int) -> DataFrame:
     return df.groupBy("cell").agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
 

@@ -299,7 +299,7 @@ def _probe(spark, sf_dir, top_k: int = TOP_K, **options) -> DataFrame:
     items = vector_items(spark, sf_dir)
     centroids, cells = _lists(spark, sf_dir, items)
     return probe(cells, _sized(centroids, cells) if options.get("greedy") else centroids,
-                 label_queries(spark, sf_dir), top_k, digits=DIGITS, **options)
+                 label_queries(spark, sf_dir), top_k, digits=DIGITS, prune=False, **options)
 
 
 def _sized(centroids: Centroids, cells: DataFrame) -> DataFrame:
@@ -329,7 +329,7 @@ def ivf_postings_probe(spark, sf_dir):
     centroids, cells = _lists(spark, sf_dir, items)
     return probe(
         cells.select("id", "cell"), centroids, label_queries(spark, sf_dir), TOP_K, n_probes=3,
-        filters={"lang": "en"}, items=items, digits=DIGITS,
+        filters={"lang": "en"}, items=items, digits=DIGITS, prune=False,
     )
 
 
@@ -340,7 +340,7 @@ def ivf_train(spark, sf_dir):
     cells = assign_cells(items, centroids)
     queries = settle(label_queries(spark, sf_dir))
     n_probes = calibrate_probes(cells, centroids, queries, TOP_K)
-    recall = evaluation.recall_at_k(knn_exact(items, queries, TOP_K), probe(cells, centroids, queries, TOP_K, n_probes))
+    recall = evaluation.recall_at_k(knn_exact(items, queries, TOP_K), probe(cells, centroids, queries, TOP_K, n_probes, prune=False))
     return recall.select(F.lit(len(centroids.cells)).alias("n_lists"), F.lit(n_probes).alias("n_probes"), "n_queries", "recall")
 
 
@@ -382,7 +382,7 @@ def ivfpq_search(spark, sf_dir):
     books, coded = _coded(spark, sf_dir, cells)
     return search_pq(
         coded.select("id", "cell", "codes"), books, items, label_queries(spark, sf_dir), TOP_K, rerank=4,
-        centroids=centroids, n_probes=3, digits=DIGITS,
+        centroids=centroids, n_probes=3, digits=DIGITS, prune=False,
     )
 
 
@@ -416,7 +416,7 @@ def _filtered_recalls(spark, sf_dir) -> DataFrame:
         asked.append(queries.select(mark, "query_id"))
         truth.append(knn_exact(items, queries, TOP_K, filters=filters, digits=DIGITS).select(mark, "query_id", "id"))
         hits.append(
-            probe(cells, centroids, queries, TOP_K, n_probes=1, filters=filters, digits=DIGITS).select(mark, "query_id", "id")
+            probe(cells, centroids, queries, TOP_K, n_probes=1, filters=filters, digits=DIGITS, prune=False).select(mark, "query_id", "id")
         )
     asked, truth, hits = (_union(parts) for parts in (asked, truth, hits))
     return evaluation.recall_filtered(asked, truth, hits, keys=("filter_id", "query_id"))
