@@ -12,6 +12,7 @@ from vicinal.options import METRICS
 
 BLOCKS = SearchLimits(broadcast_rows=2, block_rows=13)
 SHARDED = SearchLimits(merge_rows=1)
+SMALL_BASE = SearchLimits(broadcast_rows=150)
 
 
 @pytest.fixture(scope="module")
@@ -121,6 +122,15 @@ def test_zero_vector_has_cosine_distance_one(spark):
     assert frame.select(distance("a", "b", "cosine").alias("d")).first()["d"] == 1.0
 
 
+@pytest.mark.parametrize("metric", METRICS)
+def test_many_queries_against_a_small_base(random_items, as_queries, vectors, metric):
+    items, _ = vectors
+    queries = np.random.default_rng(9).normal(size=(200, 8))
+    hits = knn_exact(random_items(items), as_queries(queries).repartition(3), 4, metric, digits=6, limits=SMALL_BASE)
+    assert as_answer(hits) == brute_force(items, queries, 4, metric)
+    assert "Exchange hashpartitioning" not in hits._jdf.queryExecution().toString()
+
+
 def test_measured_query_count(random_items, as_queries, vectors):
     items, queries = vectors
     _, counted = search(random_items(items), as_queries(queries), VectorMetric("euclidean"), 3)

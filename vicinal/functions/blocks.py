@@ -177,11 +177,13 @@ class TopK:
 
     def _offer(self, picked: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> None:
         keys, slack = self.scorer.block(picked, rows)
-        cut = np.full(len(picked), np.inf)
-        if rows.shape[0] > self.k:
-            cut = np.partition(keys + slack, self.k - 1, axis=1)[:, self.k - 1]
-        cut = np.minimum(self._widened(self.scorer.from_key(cut)), self._widened(self.bound[picked]))
-        query_at, row_at = np.nonzero(keys - slack <= cut[:, None])
+        lowest = keys - slack
+        cut = self._widened(self.bound[picked])
+        close = lowest <= cut[:, None]
+        if rows.shape[0] > self.k and np.count_nonzero(close) > 4 * self.k * len(picked):
+            kth = np.partition(keys + slack, self.k - 1, axis=1)[:, self.k - 1]
+            close = lowest <= np.minimum(cut, self._widened(self.scorer.from_key(kth)))[:, None]
+        query_at, row_at = np.nonzero(close)
         if not len(query_at):
             return
         queries = picked[query_at]
@@ -216,9 +218,21 @@ class TopK:
         return self.held[0]
 
 
-def text_ids(column: pa.Array) -> np.ndarray:
-    """Ids as UTF-8 bytes, which sort as Spark sorts strings."""
-    return np.asarray(column.cast(pa.binary()).to_pylist(), dtype=np.bytes_)
+class TextIds:
+    """Ids left in Arrow until a row is a candidate, then UTF-8 bytes.
+
+    Bytes sort as Spark sorts strings.
+    """
+
+    def __init__(self, column: pa.Array):
+        self.column = column
+
+    def __getitem__(self, at):
+        if isinstance(at, slice):
+            start, stop, _ = at.indices(len(self.column))
+            return TextIds(self.column.slice(start, stop - start))
+        chosen = self.column.take(pa.array(at, pa.int64())).cast(pa.binary())
+        return np.asarray(chosen.to_pylist(), dtype=np.bytes_)
 
 
 def nearest_rows(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, metric: str, k: int, digits: int | None):

@@ -1,11 +1,13 @@
 """Top-k search over a table of vectors or codes.
 
-Two plans, chosen by a measured size:
+Three plans, chosen by measured sizes:
 
 * The query set fits the broadcast bound: it is shipped once and every task streams
   its own split of the base table past it. The base is scanned where it lies; only
   ``k`` rows per query and task are shuffled.
-* It does not fit: base and queries are cut into blocks of a bounded number of rows
+* The base fits instead: it is shipped, every task streams its split of the queries, and
+  the answer of a query is complete in its task. Nothing is shuffled.
+* Neither fits: base and queries are cut into blocks of a bounded number of rows
   and co-grouped block by block, again emitting ``k`` rows per query and block. A cell
   that holds a large share of the rows, or is probed by a large share of the queries,
   becomes many blocks.
@@ -23,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vicinal.functions.blocks import TopK, text_ids
+from vicinal.functions.blocks import TextIds, TopK
 from vicinal.functions.vectors import to_matrix
 from vicinal.options import BLOCK_ROWS, BROADCAST_BYTES, BROADCAST_ROWS
 
@@ -95,6 +97,9 @@ def search(
     rows = min(limits.broadcast_rows, _queries_per_task(metric, top_k))
     shipped = collect_bounded(queries, rows, limits.broadcast_bytes)
     if shipped is None:
+        small = None if probing else collect_bounded(base, limits.broadcast_rows, limits.broadcast_bytes)
+        if small is not None:
+            return _by_small_base(small, queries, metric, top_k, digits), None
         found = _by_blocks(base, queries, metric, top_k, digits, limits, shards)
         return merge_top_k(found, top_k, shards), None
     if probing and prune:
@@ -160,7 +165,7 @@ def _shards(base: DataFrame, top_k: int, limits: SearchLimits) -> int:
 
 def _hit_schema(queries: DataFrame) -> str:
     kind = dict(queries.dtypes)["query_id"]
-    return f"query_id {kind}, id string, distance double, shard int"
+    return f"query_id {kind}, id string, distance double, place int, shard int"
 
 
 def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards) -> DataFrame:
@@ -187,9 +192,9 @@ def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards) -> Data
             if not batch.num_rows:
                 continue
             rows = best.scorer.read(batch.column("value"))
-            names = text_ids(batch.column("id"))
+            names = batch.column("id")
             if probers is None:
-                best.offer(everyone, rows, names)
+                best.offer(everyone, rows, TextIds(names))
                 continue
             cells = batch.column("cell").to_numpy(zero_copy_only=False)
             order = np.argsort(cells, kind="stable")
@@ -197,13 +202,40 @@ def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards) -> Data
             for cell, part in zip(found, np.split(order, starts[1:])):
                 picked = probers.get(int(cell))
                 if picked is not None:
-                    best.offer(picked, rows[part], names[part])
+                    best.offer(picked, rows[part], TextIds(names.take(pa.array(part))))
         shard = TaskContext.get().partitionId() % shards
         yield from _hit_batches(best, ids, shard)
 
     return base.mapInArrow(scan, _hit_schema(queries))
 
 
+def _by_small_base(small: pa.Table, queries: DataFrame, metric, top_k: int, digits: int | None) -> DataFrame:
+    small = _with_value(small)
+    sent = queries.sparkSession.sparkContext.broadcast(
+        (small["id"].combine_chunks(), small["value"].combine_chunks())
+    )
+    step = _queries_per_task(metric, top_k)
+
+    def answer(batches):
+        names, values = sent.value
+        for batch in batches:
+            for start in range(0, batch.num_rows if len(names) else 0, step):
+                asked = batch.slice(start, step)
+                scorer = metric.bind(to_matrix(asked.column("query_vector")))
+                best = TopK(scorer, asked.num_rows, top_k, digits)
+                best.offer(np.arange(asked.num_rows), scorer.read(values), TextIds(names))
+                yield from _hit_batches(best, asked.column("query_id"), 0)
+
+    found = queries.mapInArrow(answer, _hit_schema(queries))
+    return found.select("query_id", F.col("place").alias("rank"), "id", "distance")
+
+
+def broadcast_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only after the rows were counted against a bound."""
+    table = collect_bounded(df, max_rows)
+    return df if table is None else F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+
+
 def _prune(base: DataFrame, shipped: pa.Table) -> DataFrame:
     """Keep the probed cells only: a partition filter on a table laid out by cell."""
     cells = shipped["cells"].combine_chunks().flatten().unique().to_pylist()
@@ -244,7 +276,7 @@ def _by_blocks(base, queries, metric, top_k, digits, limits, shards) -> DataFram
     )
     keys = ["cell", "base_part", "query_part"]
     schema = _hit_schema(queries)
-    kinds = pa.schema([("query_id", _arrow_kind(queries)), ("id", pa.string()), ("distance", pa.float64()), ("shard", pa.int32())])
+    kinds = pa.schema([("query_id", _arrow_kind(queries)), ("id", pa.string()), ("distance", pa.float64()), ("place", pa.int32()), ("shard", pa.int32())])
 
     def compare(key: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
         rows = _with_value(rows)
@@ -252,7 +284,7 @@ def _by_blocks(base, queries, metric, top_k, digits, limits, shards) -> DataFram
             return kinds.empty_table()
         scorer = metric.bind(to_matrix(asked["query_vector"]))
         best = TopK(scorer, asked.num_rows, top_k, digits)
-        best.offer(np.arange(asked.num_rows), scorer.read(rows["value"]), text_ids(rows["id"]))
+        best.offer(np.arange(asked.num_rows), scorer.read(rows["value"]), TextIds(rows["id"].combine_chunks()))
         shard = int(key[1].as_py()) % shards
         batches = list(_hit_batches(best, asked["query_id"].combine_chunks(), shard))
         return pa.Table.from_batches(batches).cast(kinds) if batches else kinds.empty_table()
@@ -279,6 +311,7 @@ def _arrow_kind(queries: DataFrame) -> pa.DataType:
 
 def _hit_batches(best: TopK, query_ids: pa.Array, shard: int):
     positions, distances, ids = best.result()
+    places = np.arange(len(positions)) - np.searchsorted(positions, positions, side="left") + 1
     for start in range(0, len(positions), _OUTPUT_ROWS):
         part = slice(start, start + _OUTPUT_ROWS)
         yield pa.RecordBatch.from_arrays(
@@ -286,7 +319,8 @@ def _hit_batches(best: TopK, query_ids: pa.Array, shard: int):
                 query_ids.take(pa.array(positions[part], pa.int64())),
                 pa.array(ids[part].tolist(), pa.binary()).cast(pa.string()),
                 pa.array(distances[part], pa.float64()),
+                pa.array(places[part], pa.int32()),
                 pa.array(np.full(len(positions[part]), shard), pa.int32()),
             ],
-            names=["query_id", "id", "distance", "shard"],
+            names=["query_id", "id", "distance", "place", "shard"],
         )

@@ -40,7 +40,7 @@ from vicinal.operators.ivf import calibrate_probes, probe
 from vicinal.operators.knn import filter_matches as matching_ids
 from vicinal.operators.knn import knn_exact
 from vicinal.operators.pq import encode_pq, load_books, pq_step, search_pq, train_pq
-from vicinal.operators.search import settle
+from vicinal.operators.search import broadcast_small, settle
 from vicinal.operators.training import training_status
 from vicinal.options import IVFFlat
 from vicinal.plans.index import VectorStore
@@ -172,8 +172,8 @@ def filter_json_props(spark, sf_dir):
 def distance_metrics(spark, sf_dir):
     """Every vector against the mean of its own label, under each metric."""
     vectors = table(spark, sf_dir, "embeddings")
-    # One row per label: ten in these tables, and AQE sees the size before it joins.
-    joined = vectors.join(label_centroids(spark, sf_dir), vectors["label"] == F.col("cell"))
+    means = broadcast_small(label_centroids(spark, sf_dir))
+    joined = vectors.join(means, vectors["label"] == F.col("cell"))
 
     def rounded(metric):
         return F.round(distance("embedding", "centroid", metric), DIGITS)
