@@ -1,8 +1,8 @@
 """Numpy kernels that run inside tasks: one block of queries against one block of rows.
 
-A block product gives approximate keys with an error bound. The bound only selects
-candidates; their distances are then computed directly, pair by pair, so that results
-do not depend on how rows fell into batches. Nothing but the best ``k`` rows of each
+A block product gives a lower bound of every key. The bound only selects candidates;
+their distances are then computed directly, pair by pair, so that results do not depend
+on how rows fell into batches. Nothing but the best ``k`` rows of each
 query leaves a task.
 """
 
@@ -15,8 +15,9 @@ import pyarrow as pa
 
 from vicinal.functions.vectors import to_matrix
 
-# Matrix elements held at once by one product, and pairs computed at once.
-_BLOCK_CELLS = 1 << 22
+# One product covers this many queries and rows, so that its temporaries stay in cache.
+_BLOCK_QUERIES = 512
+_BLOCK_ROWS = 256
 _PAIR_ROWS = 1 << 16
 _UNIT = np.finfo(np.float64).eps
 
@@ -54,11 +55,26 @@ class CodeMetric:
 
 
 class VectorScorer:
+    """Keys that order rows as the distance does: its square under euclidean.
+
+    A lower bound of every key comes out of one product. Its rounding error is at most
+    ``scale`` times a sum (euclidean) or product (dot product) of the two lengths, which
+    is linear in per-row and per-query terms and so rides along as extra columns.
+    """
+
     def __init__(self, metric: str, queries: np.ndarray):
         self.metric = metric
         self.queries = queries
+        self.scale = (2 * queries.shape[1] + 16) * _UNIT
         self.squares = np.einsum("ij,ij->i", queries, queries)
         self.norms = np.sqrt(self.squares)
+        ones = np.ones((len(queries), 1))
+        if metric == "euclidean":
+            self.columns = np.hstack([-2.0 * queries, (1.0 - self.scale) * self.squares[:, None], ones])
+        elif metric == "dot_product":
+            self.columns = np.hstack([-queries, -self.scale * self.norms[:, None]])
+        else:
+            self.columns = np.hstack([-_unit(queries, self.norms), (1.0 - self.scale) * ones])
 
     def read(self, column: pa.Array) -> np.ndarray:
         rows = to_matrix(column)
@@ -66,20 +82,26 @@ class VectorScorer:
             raise ValueError(f"query dimension {self.queries.shape[1]} differs from {rows.shape[1]}")
         return rows
 
-    def block(self, picked: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Approximate keys and a bound on their error, both (queries, rows)."""
-        inner = self.queries[picked] @ rows.T
-        row_squares = np.einsum("ij,ij->i", rows, rows)
-        scale = (2 * rows.shape[1] + 16) * _UNIT
+    def prepare(self, rows: np.ndarray) -> np.ndarray:
+        squares = np.einsum("ij,ij->i", rows, rows)
+        ones = np.ones((len(rows), 1))
         if self.metric == "euclidean":
-            total = self.squares[picked][:, None] + row_squares[None, :]
-            return total - 2.0 * inner, scale * total
-        lengths = self.norms[picked][:, None] * np.sqrt(row_squares)[None, :]
+            return np.hstack([rows, ones, (1.0 - self.scale) * squares[:, None]])
         if self.metric == "dot_product":
-            return -inner, scale * lengths
-        with np.errstate(invalid="ignore", divide="ignore"):
-            keys = np.where(lengths > 0.0, 1.0 - inner / lengths, 1.0)
-        return keys, np.full(keys.shape, scale)
+            return np.hstack([rows, np.sqrt(squares)[:, None]])
+        return np.hstack([_unit(rows, np.sqrt(squares)), ones])
+
+    def lowest(self, picked: np.ndarray, prepared: np.ndarray) -> np.ndarray:
+        """A lower bound of each key, (queries, rows)."""
+        return self.columns[picked] @ prepared.T
+
+    def spread(self, picked: np.ndarray, prepared: np.ndarray) -> np.ndarray:
+        """How far a key may lie above its lower bound, per query."""
+        if self.metric == "euclidean":
+            return 2.0 * self.scale * (self.squares[picked] + 2.0 * prepared[:, -1].max())
+        if self.metric == "dot_product":
+            return 2.0 * self.scale * self.norms[picked] * prepared[:, -1].max()
+        return np.full(len(picked), 2.0 * self.scale)
 
     def to_key(self, distances: np.ndarray) -> np.ndarray:
         return np.square(np.maximum(distances, 0.0)) if self.metric == "euclidean" else distances
@@ -115,8 +137,7 @@ class CodeScorer:
             raise ValueError(f"query dimension {queries.shape[1]} differs from {subs * width}")
         self.metric = metric
         if metric == "cosine":
-            lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))[:, None]
-            queries = np.divide(queries, lengths, out=queries.copy(), where=lengths > 0.0)
+            queries = _unit(queries, np.sqrt(np.einsum("ij,ij->i", queries, queries)))
         parts = queries.reshape(len(queries), subs, 1, width)
         if metric == "euclidean":
             table = np.square(parts - books[None]).sum(axis=3)
@@ -127,11 +148,17 @@ class CodeScorer:
     def read(self, column: pa.Array) -> np.ndarray:
         return to_matrix(column, np.int64)
 
-    def block(self, picked: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.zeros((len(picked), len(rows)))
-        for sub in range(rows.shape[1]):
-            keys += self.table[picked, sub][:, rows[:, sub]]
-        return keys, np.zeros((1, 1))
+    def prepare(self, rows: np.ndarray) -> np.ndarray:
+        return rows
+
+    def lowest(self, picked: np.ndarray, prepared: np.ndarray) -> np.ndarray:
+        keys = np.zeros((len(picked), len(prepared)))
+        for sub in range(prepared.shape[1]):
+            keys += self.table[picked, sub][:, prepared[:, sub]]
+        return keys
+
+    def spread(self, picked: np.ndarray, prepared: np.ndarray) -> np.ndarray:
+        return np.zeros(len(picked))
 
     def to_key(self, distances: np.ndarray) -> np.ndarray:
         if self.metric == "euclidean":
@@ -150,6 +177,10 @@ class CodeScorer:
         return self.from_key(keys)
 
 
+def _unit(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return np.divide(rows, lengths[:, None], out=np.zeros_like(rows), where=lengths[:, None] > 0.0)
+
+
 class TopK:
     """Running best ``k`` rows per query, ordered by (distance, id).
 
@@ -163,25 +194,27 @@ class TopK:
         self.digits = digits
         self.margin = 0.0 if digits is None else 10.0**-digits
         self.bound = np.full(n_queries, np.inf)
-        self.room = max(2 * n_queries * k, 1 << 16)
+        self.room = max(2 * n_queries * k, 1 << 12)
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.n_held = 0
-        self.primed = False
 
     def offer(self, picked: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> None:
         """Compare the picked queries with every row."""
-        step = max(1, _BLOCK_CELLS // max(1, len(picked)))
-        for start in range(0, len(rows), step):
-            part = slice(start, start + step)
-            self._offer(picked, rows[part], ids[part])
-
-    def _offer(self, picked: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> None:
-        keys, slack = self.scorer.block(picked, rows)
-        lowest = keys - slack
+        height = max(_BLOCK_ROWS, _BLOCK_QUERIES * _BLOCK_ROWS // max(1, len(picked)))
+        for start in range(0, len(rows), height):
+            part = slice(start, start + height)
+            block, names = rows[part], ids[part]
+            prepared = self.scorer.prepare(block)
+            for first in range(0, len(picked), _BLOCK_QUERIES):
+                self._offer(picked[first : first + _BLOCK_QUERIES], block, prepared, names)
+
+    def _offer(self, picked: np.ndarray, rows: np.ndarray, prepared: np.ndarray, ids: np.ndarray) -> None:
+        lowest = self.scorer.lowest(picked, prepared)
         cut = self._widened(self.bound[picked])
         close = lowest <= cut[:, None]
         if rows.shape[0] > self.k and np.count_nonzero(close) > 4 * self.k * len(picked):
-            kth = np.partition(keys + slack, self.k - 1, axis=1)[:, self.k - 1]
+            # At least k rows of this block lie no further away than this.
+            kth = np.partition(lowest, self.k - 1, axis=1)[:, self.k - 1] + self.scorer.spread(picked, prepared)
             close = lowest <= np.minimum(cut, self._widened(self.scorer.from_key(kth)))[:, None]
         query_at, row_at = np.nonzero(close)
         if not len(query_at):
@@ -192,7 +225,7 @@ class TopK:
             distances = np.round(distances, self.digits) + 0.0
         self.held.append((queries, distances, ids[row_at]))
         self.n_held += len(queries)
-        if self.n_held > self.room or not self.primed:
+        if self.n_held > self.room:
             self._trim()
 
     def _widened(self, distances: np.ndarray) -> np.ndarray:
@@ -208,7 +241,6 @@ class TopK:
         self.bound[queries[full]] = distances[full]
         self.held = [(queries[kept], distances[kept], ids[kept])]
         self.n_held = int(kept.sum())
-        self.primed = True
 
     def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query position, distance, id) sorted by query, distance, id."""
