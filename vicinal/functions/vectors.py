@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_FLOAT_BYTES = 4
+
 
 def to_matrix(vectors: pa.Array, dtype=np.float64) -> np.ndarray:
     """Rows of an Arrow list array as a matrix; every row must have one length."""
@@ -33,14 +35,22 @@ def to_lists(matrix: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 @F.arrow_udf(T.BinaryType())
 def _pack(vectors: pa.Array) -> pa.Array:
-    rows = [None if v is None else np.asarray(v, "<f4").tobytes() for v in vectors.to_pylist()]
-    return pa.array(rows, pa.binary())
+    lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(lengths * _FLOAT_BYTES)]).astype(np.int32)
+    data = vectors.flatten().to_numpy(zero_copy_only=False).astype("<f4", copy=False)
+    valid = vectors.is_valid().to_numpy(zero_copy_only=False)
+    bits = pa.py_buffer(np.packbits(valid, bitorder="little"))
+    buffers = [bits, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(vectors), buffers)
 
 
 @F.arrow_udf(T.ArrayType(T.FloatType()))
 def _unpack(packed: pa.Array) -> pa.Array:
-    rows = [None if p is None else np.frombuffer(p, "<f4") for p in packed.to_pylist()]
-    return pa.array(rows, pa.list_(pa.float32()))
+    lengths = pc.fill_null(pc.binary_length(packed), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(lengths // _FLOAT_BYTES)]).astype(np.int32)
+    values = np.frombuffer(b"".join(packed.drop_null().to_pylist()), "<f4")
+    mask = packed.is_null() if packed.null_count else None
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.float32()), mask=mask)
 
 
 def pack_vector(vector: Column | str) -> Column:

@@ -207,6 +207,14 @@ def auto_lists(n_items: int) -> int:
     return min(MAX_LISTS, max(1, round(math.sqrt(n_items))))
 
 
+def measure(items: DataFrame) -> tuple[int, int]:
+    """Number of items and their dimension; none is an error."""
+    row = items.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
+    if not row["n"]:
+        raise ValueError("an empty index cannot be trained")
+    return row["n"], row["width"]
+
+
 def training_sample(items: DataFrame, n_items: int, wanted: int, seed: int) -> DataFrame:
     """About ``wanted`` rows, picked by a hash of the id; no shuffle, repeatable."""
     if n_items <= wanted:
@@ -224,30 +232,30 @@ def train_ivf(
     metric: str | None = None,
     seed: int = 42,
     rows_per_list: int = SAMPLE_ROWS_PER_LIST,
+    shape: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Centroids ``(cell, centroid, n)`` by k-means over the item vectors.
 
     The clustering reads at most ``rows_per_list`` rows per list, and no more than
-    ``max_memory`` MB of them; every item is assigned and counted afterwards.
+    ``max_memory`` MB of them; every item is assigned and counted afterwards. A caller
+    that knows the number of items and their dimension passes them as ``shape``.
     """
     metric = check_metric(metric)
     spark = items.sparkSession
     items = items.filter(F.col("vector").isNotNull())
-    shape = items.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
-    if not shape["n"]:
-        raise ValueError("an empty index cannot be trained")
-    n_lists = min(n_lists or auto_lists(shape["n"]), shape["n"])
+    n_items, width = shape or measure(items)
+    n_lists = min(n_lists or auto_lists(n_items), n_items)
     if n_lists > MAX_LISTS:
         raise ValueError(f"n_lists must not exceed {MAX_LISTS}")
     wanted = rows_per_list * n_lists
     memory = DEFAULT_MAX_MEMORY if max_memory is None else max_memory
     if memory > 0:
-        wanted = min(wanted, max(n_lists, memory * (1 << 20) // (8 * shape["width"])))
+        wanted = min(wanted, max(n_lists, memory * (1 << 20) // (8 * width)))
 
     if n_lists == 1:
-        centers = [np.zeros(shape["width"])]
+        centers = [np.zeros(width)]
     else:
-        sample = training_sample(items, shape["n"], wanted, seed)
+        sample = training_sample(items, n_items, wanted, seed)
         features = sample.select(array_to_vector(training_vector("vector", metric).cast("array<double>")).alias("features"))
         model = KMeans(
             k=n_lists,

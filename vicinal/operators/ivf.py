@@ -99,16 +99,18 @@ def calibrate_probes(
     top_k: int = 100,
     metric: str | None = None,
     target: float = TARGET_RECALL,
+    items: DataFrame | None = None,
 ) -> int:
     """Smallest number of probes whose mean recall on ``sample`` reaches ``target``.
 
     A true neighbour is found with ``n`` probes exactly when its list is among the
     query's ``n`` nearest, so one exact search and one histogram of list ranks answer
-    every ``n`` at once. ``cells`` is ``(id, vector, cell)``.
+    every ``n`` at once. ``cells`` is ``(id, cell)`` with the vectors in ``items``, or
+    ``(id, vector, cell)``.
     """
     metric = check_metric(metric)
     known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
-    truth, n_queries = search(cells, sample, VectorMetric(metric), top_k)
+    truth, n_queries = search(cells if items is None else items, sample, VectorMetric(metric), top_k)
     truth = truth.select("query_id", "id")
     small = n_queries is not None and few(n_queries * top_k)
     placed = cells.select("id", "cell").join(F.broadcast(truth) if small else truth, "id")

@@ -22,6 +22,7 @@ from vicinal.operators.clustering import (
     Centroids,
     load_centroids,
     mean_vectors,
+    measure,
     partial_sums,
     training_sample,
     training_vector,
@@ -95,6 +96,7 @@ def train_pq(
     max_iters: int = 20,
     tolerance: float = 1e-6,
     seed: int = 42,
+    shape: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Codebooks ``(sub, code, centroid)`` with up to ``2**pq_bits`` codewords per slice.
 
@@ -103,12 +105,10 @@ def train_pq(
     """
     metric = check_metric(metric)
     items = items.filter(F.col("vector").isNotNull()).select("id", "vector")
-    shape = items.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
-    if not shape["n"]:
-        raise ValueError("an empty index cannot be trained")
-    check_pq(shape["width"], pq_dim, pq_bits)
+    n_items, width = shape or measure(items)
+    check_pq(width, pq_dim, pq_bits)
     words = 1 << pq_bits
-    sample = training_sample(items, shape["n"], SAMPLE_ROWS_PER_LIST * words, seed).persist()
+    sample = training_sample(items, n_items, SAMPLE_ROWS_PER_LIST * words, seed).persist()
     try:
         first = sample.orderBy(F.xxhash64(F.lit(seed), F.col("id"))).limit(_SEED_FACTOR * words)
         seeds = to_matrix(first.select(training_vector("vector", metric).alias("vector")).toArrow()["vector"])

@@ -265,25 +265,24 @@ class VectorIndex:
         items = self._items(entry)
         metric, uid = entry["metric"], new_uid()
         path = f"{self.store.index_path(entry)}/lists/{uid}"
-        self._write_sealed(
-            train_ivf(items, n_lists or None, max_iters, tolerance, max_memory, metric, seed), f"{path}/centroids", "cell"
-        )
+        # The catalogue knows both already: no pass that decrypts every vector to count.
+        shape = (entry["snapshot_count"], entry["dimension"]) if entry["snapshot_count"] else None
+        trained = train_ivf(items, n_lists or None, max_iters, tolerance, max_memory, metric, seed, shape=shape)
+        self._write_sealed(trained, f"{path}/centroids", "cell")
         centroids = load_centroids(self._read_sealed(f"{path}/centroids", "cell"))
         kept = {"ivf": ["id"], "ivfflat": ["id", "vector", "metadata"], "ivfpq": ["id"]}[entry["index_type"]]
-        placed = assign_cells(items.filter(F.col("vector").isNotNull()), centroids, metric)
+        placed = assign_cells(items, centroids, metric)
         if entry["index_type"] == "ivfpq":
-            self._write_sealed(train_pq(items, entry["pq_dim"], entry["pq_bits"], metric, seed=seed), f"{path}/books", "sub")
+            words = train_pq(items, entry["pq_dim"], entry["pq_bits"], metric, seed=seed, shape=shape)
+            self._write_sealed(words, f"{path}/books", "sub")
             books = load_books(self._read_sealed(f"{path}/books", "sub"))
             placed = encode_pq(placed, books, metric)
             kept = kept + ["codes"]
         self._write_cells(placed.select(*kept, "cell"), centroids, entry, f"{path}/cells")
 
-        sample = items.filter(F.col("vector").isNotNull()).orderBy(F.xxhash64(F.lit(seed), "id")).limit(_CALIBRATION_QUERIES)
-        asked = sample.select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
-        cells = self._read_cells(entry, path)
-        if "vector" not in cells.columns:
-            cells = cells.join(items.select("id", "vector"), "id")
-        probes = calibrate_probes(cells, centroids, asked, top_k, metric)
+        first = items.select("id").orderBy(F.xxhash64(F.lit(seed), "id")).limit(_CALIBRATION_QUERIES)
+        asked = items.join(F.broadcast(first), "id").select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
+        probes = calibrate_probes(self._read_cells(entry, path), centroids, asked, top_k, metric, items=items)
         self.store.append_entry(
             {
                 **entry,
