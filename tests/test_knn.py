@@ -12,6 +12,7 @@ from vicinal.options import METRICS
 
 BLOCKS = SearchLimits(broadcast_rows=2, block_rows=13)
 SHARDED = SearchLimits(merge_rows=1)
+PASSES = SearchLimits(pass_rows=3)
 SMALL_BASE = SearchLimits(broadcast_rows=150)
 
 
@@ -22,7 +23,9 @@ def vectors():
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("limits", [None, BLOCKS, SHARDED], ids=["broadcast", "blocks", "sharded"])
+@pytest.mark.parametrize(
+    "limits", [None, BLOCKS, SHARDED, PASSES], ids=["broadcast", "blocks", "sharded", "passes"]
+)
 def test_matches_brute_force(random_items, as_queries, vectors, metric, limits):
     items, queries = vectors
     hits = knn_exact(random_items(items), as_queries(queries), 9, metric, digits=6, limits=limits)
@@ -82,6 +85,13 @@ def test_large_components_and_near_zero_distances(random_items, as_queries):
     assert answer[0][0] == ("0", 0.0)
 
 
+def test_metadata_may_be_json_text(random_items, as_queries, vectors):
+    items, queries = vectors
+    text = random_items(items).selectExpr("id", "vector", "to_json(metadata) AS metadata")
+    hits = knn_exact(text, as_queries(queries), 5, filters={"group": 2}, digits=6)
+    assert as_answer(hits) == brute_force(items, queries, 5, keep=lambda n: n % 3 == 2)
+
+
 def test_string_query_ids_and_argument_checks(spark, random_items, as_queries, vectors):
     items, queries = vectors
     table = random_items(items)

@@ -15,8 +15,14 @@ from vicinal.options import check_metric, check_top_k
 
 
 def filter_items(items: DataFrame, filters: dict | None) -> DataFrame:
-    """Items that satisfy the filter; no filter leaves the plan untouched."""
-    return items.filter(compile_filter(filters, F.col("metadata"))) if filters else items
+    """Items that satisfy the filter; no filter leaves the plan untouched.
+
+    ``metadata`` is a VARIANT, or JSON text that is parsed for the test.
+    """
+    if not filters:
+        return items
+    is_text = dict(items.dtypes)["metadata"] == "string"
+    return items.filter(compile_filter(filters, F.parse_json("metadata") if is_text else F.col("metadata")))
 
 
 def filter_matches(items: DataFrame, filters: dict | None) -> DataFrame:

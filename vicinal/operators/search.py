@@ -2,9 +2,9 @@
 
 Three plans, chosen by measured sizes:
 
-* The query set fits the broadcast bound: it is shipped once and every task streams
-  its own split of the base table past it. The base is scanned where it lies; only
-  ``k`` rows per query and task are shuffled.
+* The query set fits the broadcast bound: it is shipped and every task streams its own
+  split of the base table past it. The base is scanned where it lies; only ``k`` rows
+  per query and task are shuffled. With a large ``k`` the queries take several passes.
 * The base fits instead: it is shipped, every task streams its split of the queries, and
   the answer of a query is complete in its task. Nothing is shuffled.
 * Neither fits: base and queries are cut into blocks of a bounded number of rows
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ _MERGE_ROWS = 1_000_000
 _ATTACH_ROWS = 500_000
 _PRUNE_CELLS = 10_000
 _HELD_ROWS = 1_000_000
+_MAX_PASSES = 16
 _OUTPUT_ROWS = 1 << 16
 
 
@@ -43,6 +45,7 @@ class SearchLimits:
 
     broadcast_rows: int = BROADCAST_ROWS
     broadcast_bytes: int = BROADCAST_BYTES
+    pass_rows: int = BROADCAST_ROWS
     block_rows: int = BLOCK_ROWS
     merge_rows: int = _MERGE_ROWS
 
@@ -94,7 +97,8 @@ def search(
     base = base.select("id", F.col(value).alias("value"), *(["cell"] if probing else []))
     shards = _shards(base, top_k, limits)
 
-    rows = min(limits.broadcast_rows, _queries_per_task(metric, top_k))
+    per_pass = min(limits.pass_rows, _queries_per_task(metric, top_k))
+    rows = min(limits.broadcast_rows, _MAX_PASSES * per_pass)
     shipped = collect_bounded(queries, rows, limits.broadcast_bytes)
     if shipped is None:
         small = None if probing else collect_bounded(base, limits.broadcast_rows, limits.broadcast_bytes)
@@ -104,7 +108,12 @@ def search(
         return merge_top_k(found, top_k, shards), None
     if probing and prune:
         base = _prune(base, shipped)
-    found = _by_broadcast(base, queries, shipped, metric, top_k, digits, shards)
+    # Where a task cannot hold the winners of all queries, scanning the base again for
+    # the next ones is cheaper than shuffling copies of it.
+    passes = [shipped.slice(start, per_pass) for start in range(0, max(1, shipped.num_rows), per_pass)]
+    found = reduce(
+        DataFrame.unionByName, [_by_broadcast(base, queries, part, metric, top_k, digits, shards) for part in passes]
+    )
     return merge_top_k(found, top_k, shards), shipped.num_rows
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vicinal.functions.crypto import decrypt_columns, encrypt_columns, key_check, key_frame, key_opens
 from vicinal.functions.embedding import Embedder, embed_missing, embedding, hash_embedder
-from vicinal.operators.catalog import describe_index, latest_entries, list_indexes
+from vicinal.operators.catalog import describe_index, list_indexes
 from vicinal.operators.clustering import assign_cells, load_centroids, train_ivf
 from vicinal.operators.items import (
     ITEM_COLUMNS,
@@ -45,7 +45,7 @@ from vicinal.options import (
     check_probes,
     check_top_k,
 )
-from vicinal.sources.index_store import PLAIN_KINDS, IndexStore, empty_frame, new_uid, next_seq, write_changes
+from vicinal.sources.index_store import PLAIN_KINDS, IndexStore, new_uid, next_seq, write_changes
 
 _CENTROID_KIND = {"centroid": "array<double>"}
 _CALIBRATION_QUERIES = 256
@@ -87,12 +87,12 @@ class VectorStore:
         unknown = [column for column in encrypt if column not in PLAIN_KINDS]
         if unknown:
             raise ValueError(f"cannot encrypt {unknown}")
-        if self._entry(name) is not None:
+        newest = self._newest(name)
+        if newest is not None and not newest["dropped"]:
             raise ValueError(f"index {name!r} already exists")
-        entry = dict.fromkeys(field.name for field in self.store.catalog().schema.fields)
-        entry.update(
+        entry = dict(
             index_name=name,
-            version=self._last_version(name),
+            version=newest["version"] if newest else 0,
             index_uid=new_uid(),
             index_type=config.index_type,
             dimension=config.dimension,
@@ -126,14 +126,15 @@ class VectorStore:
     def describe(self, name: str | None = None) -> DataFrame:
         return describe_index(self.store.catalog(), name)
 
-    def _entry(self, name: str) -> dict | None:
+    def _newest(self, name: str) -> dict | None:
+        """The latest row of one name, dropped or not."""
         mine = self.store.catalog().filter(F.col("index_name") == name)
-        row = latest_entries(mine).first()
+        row = mine.orderBy(F.desc("version"), F.desc("uid")).first()
         return None if row is None else row.asDict()
 
-    def _last_version(self, name: str) -> int:
-        mine = self.store.catalog().filter(F.col("index_name") == name)
-        return mine.agg(F.max("version").alias("v")).first()["v"] or 0
+    def _entry(self, name: str) -> dict | None:
+        newest = self._newest(name)
+        return None if newest is None or newest["dropped"] else newest
 
 
 class VectorIndex:
@@ -397,13 +398,13 @@ class VectorIndex:
 
     def _training_due(self, entry: dict) -> bool:
         """An upper bound from row counts first; the exact count only when that is due."""
-        entry = self._entry()
-        fresh = [name for name in self.store.batches(entry) if name not in set(entry["covered"])]
+        batches = self.store.batches(entry)
+        fresh = [name for name in batches if name not in set(entry["covered"])]
         written = self.store.read_log(entry, fresh).filter(F.col("op") == "U").count()
         limit = entry["trained_count"] * self.owner.retrain_multiplier if entry["trained_count"] else self.owner.train_threshold
         if entry["snapshot_count"] + written < limit:
             return False
-        return self._raw_items(entry, self.store.batches(entry)).select("id").count() >= limit
+        return self._raw_items(entry, batches).select("id").count() >= limit
 
     def _write_sealed(self, df: DataFrame, path: str, aad: str) -> None:
         encrypt_columns(df, ["centroid"], self._key_df, aad).write.parquet(path)
