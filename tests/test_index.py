@@ -227,10 +227,11 @@ def test_trained_index_follows_later_changes(store, rows, config):
     assert answer(n_probes=6, filters={"group": 1}) == filtered
     auto = answer()
     assert auto[1][0] == ("7", 0.0) and all(len(hits) <= 8 for hits in auto.values())
-    assert answer(greedy=True)[2][0] == ("110", 0.0)
-    index.compact()
-    index.vacuum()
-    assert answer(n_probes=6, filters={"group": 1}) == filtered
+    if isinstance(config, IVFFlat):
+        assert answer(greedy=True)[2][0] == ("110", 0.0)
+        index.compact()
+        index.vacuum()
+        assert answer(n_probes=6, filters={"group": 1}) == filtered
 
 
 def test_training_is_triggered_by_growth(spark, tmp_path, rows):
