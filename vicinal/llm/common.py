@@ -60,7 +60,8 @@ def numbered(rows: DataFrame, group: list[str], order: list[str], name: str, chu
     A group is numbered in ``chunks`` hash chunks whose sizes are summed first, so that no task sorts a
     whole group. ``rows`` is read twice: give a stored table.
     """
-    cut = rows.withColumn("_chunk", F.pmod(F.xxhash64(*order), F.lit(chunks)))
+    drawn = F.conv(F.substring(F.md5(F.concat_ws("#", *[F.col(c).cast("string") for c in order])), 1, 8), 16, 10)
+    cut = rows.withColumn("_chunk", F.pmod(drawn.cast("long"), F.lit(chunks)))
     sizes = cut.groupBy(*group, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*group, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))

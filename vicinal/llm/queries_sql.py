@@ -1,3 +1,96 @@
-"""SQL of the operators that it can express."""
+"""The same results in DuckDB's SQL, for the operators that it can express."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+from vicinal.llm.queries import RULES, SHARDS
+from vicinal.llm.url_filters import BLOCK_SHARE, DAMPING, LOWER, ROUNDS, UPPER
+
+_JACCARD = f"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []
+        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    FROM split
+), tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.t = b.t
+    WHERE least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 90
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM sets s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, len(s.s)
+"""
+
+_SHARD = f"""
+WITH table_of AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(i))
+), docs AS (
+    SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 1 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents
+), summed AS (
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(size - 1), lambda i: ('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32
+    FROM docs, table_of
+), drawn AS (
+    SELECT *, list_transform(range({SHARDS + 1}), lambda s: ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '#' || s), 1, 13))::BIGINT) AS d
+    FROM summed
+), placed AS (
+    SELECT *, CAST(list_position(d[1:{SHARDS}], list_max(d[1:{SHARDS}])) - 1 AS INTEGER) AS shard,
+        CAST(list_position(d, list_max(d)) - 1 AS INTEGER) AS grown_shard FROM drawn
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY
+    ('0x' || substr(md5(concat_ws('#', doc_id, size, text_crc32)), 1, 8))::BIGINT % 256, doc_id, size, text_crc32) - 1 AS slot, grown_shard
+FROM placed
+"""
+
+
+def _url_sql() -> str:
+    rest = "substr(url, instr(url, '://') + 3)"
+    host = f"CASE WHEN instr(url, '://') > 0 THEN translate(regexp_extract({rest}, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') ELSE '' END"
+    path = f"CASE WHEN instr(url, '://') > 0 THEN regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1) ELSE '' END"
+    cases = [
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{'rule': '{h}{p}', 'verdict': '{v}'}}"
+        for h, p, v in sorted(RULES, key=lambda r: (len(r[0] + r[1]), r[0] + r[1]), reverse=True)
+    ]
+    steps = [f"""
+), state{n + 1} AS (
+    SELECT kind, host, sum(score) AS score FROM (
+        SELECT e.kind, e.dst AS host, s.score * e.share * {DAMPING} AS score FROM state{n} s JOIN edges e ON e.kind = s.kind AND e.src = s.host
+        UNION ALL SELECT kind, host, seed * (1 - {DAMPING}) FROM seeds) GROUP BY kind, host""" for n in range(ROUNDS)]
+    return f"""
+WITH cut AS (
+    SELECT page_id, html, coalesce({host}, '') AS host, coalesce({path}, '') AS path FROM pages
+), ruled AS (
+    SELECT *, CASE {' '.join(cases)} END AS r FROM cut
+), seeds AS (
+    SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) AS seed FROM (
+        SELECT CASE r.verdict WHEN 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n
+        FROM ruled WHERE r IS NOT NULL AND host <> '' GROUP BY ALL)
+), hrefs AS (
+    SELECT host AS src, unnest(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^"''\\s>]*)', 1)) AS u FROM cut
+), full_urls AS (
+    SELECT src, CASE WHEN starts_with(u, '//') THEN 'x:' || u ELSE u END AS url FROM hrefs
+), links AS (
+    SELECT src, dst, count(*) AS n FROM (SELECT src, {host} AS dst FROM full_urls) WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL
+), ways AS (
+    SELECT 'trust' AS kind, src, dst, n FROM links UNION ALL SELECT 'distrust', dst, src, n FROM links
+), edges AS (
+    SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS share FROM ways
+), state0 AS (
+    SELECT kind, host, seed AS score FROM seeds{''.join(steps)}
+), hosts AS (
+    SELECT host, sum(score) FILTER (kind = 'trust') AS trust, sum(score) FILTER (kind = 'distrust') AS distrust FROM state{ROUNDS} GROUP BY host
+)
+SELECT page_id, host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN coalesce(distrust, 0) > {BLOCK_SHARE} * (coalesce(trust, 0)
+    + coalesce(distrust, 0)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN hosts USING (host)
+"""
+
+
+SQL: dict[str, str] = {"op1_jaccard_join": _JACCARD, "op4_sharding": _SHARD, "op6_url_filters": _url_sql()}
