@@ -38,12 +38,12 @@ def _ids(df):
 
 def test_create_load_list_describe_delete(store):
     assert store.list_indexes().collect() == []
-    index = store.create_index("first", KEY, IVFPQ(16, 4, 8), "cosine", "some-model")
+    index = store.create_index("first", KEY, IVFPQ(16, 4, 8), "cosine", "token-hash")
     store.create_index("second-2_b", KEY)
     assert sorted(r["index_name"] for r in store.list_indexes().collect()) == ["first", "second-2_b"]
     row = index.describe().first()
     assert (row["index_name"], row["index_type"], row["is_trained"]) == ("first", "ivfpq", False)
-    assert (row["dimension"], row["metric"], row["embedding_model"], row["pq_dim"], row["pq_bits"]) == (16, "cosine", "some-model", 4, 8)
+    assert (row["dimension"], row["metric"], row["embedding_model"], row["pq_dim"], row["pq_bits"]) == (16, "cosine", "token-hash", 4, 8)
     assert store.load_index("first", KEY).describe().first() == row
     with pytest.raises(ValueError, match="already exists"):
         store.create_index("first", KEY)
@@ -157,11 +157,47 @@ def test_concurrent_upserts_all_land(spark, store, rows):
     index = store.create_index("shared", KEY, IVFFlat(4))
 
     def write(n):
-        index.upsert(rows([[float(n)] * 4]).withColumn("id", F.lit(f"concurrent_{n}")), auto_train=False)
+        index.upsert(rows([[float(n)] * 4]).withColumn("id", F.lit(f"writer-{n}")), auto_train=False)
 
     with ThreadPoolExecutor(8) as pool:
         list(pool.map(write, range(20)))
-    assert id_prefix_count(index.items(), "concurrent_").first()["n_items"] == 20
+    assert id_prefix_count(index.items(), "writer-").first()["n_items"] == 20
+
+
+def test_one_of_two_creates_wins_and_first_writes_keep_each_other(spark, store, rows):
+    def create(_):
+        try:
+            return store.create_index("raced", KEY)
+        except ValueError:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        made = [index for index in pool.map(create, range(4)) if index]
+    assert len(made) == 1
+    parts = [rows([[float(n)] * 4]).withColumn("id", F.lit(f"first-{n}")) for n in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda part: made[0].upsert(part, auto_train=False), parts))
+    assert made[0].count() == 4 and made[0].describe().first()["dimension"] == 4
+
+
+def test_unknown_embedding_models_are_refused(spark, tmp_path):
+    store = VectorStore(spark, str(tmp_path / "store"), embedders={"mine": hash_embedder(8)})
+    store.create_index("known", KEY, embedding_model="mine")
+    with pytest.raises(ValueError):
+        store.create_index("unknown", KEY, embedding_model="other")
+    other = VectorStore(spark, str(tmp_path / "store")).load_index("known", KEY)
+    with pytest.raises(ValueError):
+        other.query(query_contents="x")
+
+
+def test_vacuum_removes_old_trainings(spark, store, rows):
+    index = store.create_index("cleaned", KEY)
+    index.upsert(rows(np.random.default_rng(1).normal(size=(20, 4)).tolist()), auto_train=False)
+    for _ in range(2):
+        index.train(n_lists=2, max_iters=1)
+    index.vacuum()
+    assert len(store.store.folder.names(f"{store.store.index_path(index._entry())}/lists")) == 1
+    assert index.query(query_vector=[0.0] * 4, top_k=3).count() == 3
 
 
 def test_contents_are_embedded_on_ingest(spark, tmp_path):

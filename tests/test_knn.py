@@ -167,3 +167,21 @@ def test_running_top_k_does_not_depend_on_batches(data):
     at, distances, found = best.result()
     got = {q: [(i.decode(), d) for i, d in zip(found[at == q], distances[at == q])] for q in range(4)}
     assert got == brute_force(rows, queries, k, metric)
+
+
+def test_repeated_or_fractional_query_ids_are_refused_under_every_plan(spark, random_items):
+    items = random_items(np.eye(4))
+    twice = spark.createDataFrame([(1, [0.0] * 4), (1, [1.0] * 4)], "query_id bigint, query_vector array<double>")
+    real = spark.createDataFrame([(1.5, [0.0] * 4)], "query_id double, query_vector array<double>")
+    for limits in (None, SearchLimits(broadcast_rows=1, pass_rows=1), SearchLimits(broadcast_rows=1, pass_rows=1, block_rows=2)):
+        for queries in (twice, real):
+            with pytest.raises(ValueError):
+                knn_exact(items, queries, 2, limits=limits)
+
+
+def test_ids_with_zero_bytes_come_back_whole(spark):
+    names = ["a", "a\0", "a\0\0", "a\1", "a\1\2", "a\2", "b"]
+    items = spark.createDataFrame([(n, [0.0]) for n in names], "id string, vector array<double>")
+    queries = spark.createDataFrame([(1, [0.0])], "query_id bigint, query_vector array<double>")
+    found = knn_exact(items, queries, 7).orderBy("rank").collect()
+    assert [r["id"] for r in found] == sorted(names)

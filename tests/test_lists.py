@@ -8,11 +8,13 @@ from vicinal.operators.clustering import (
     assign_cells,
     auto_lists,
     centroid_frame,
+    first_vectors,
     lloyd_round,
     lloyd_step,
     load_centroids,
+    most_lists,
+    train_centroids,
     train_ivf,
-    training_sample,
     with_counts,
 )
 from vicinal.operators.evaluation import recall_at_k
@@ -153,8 +155,22 @@ def test_calibrated_probes_reach_the_target(trained, clustered, as_queries):
     assert recall(n) >= 0.9 and (n == 1 or recall(n - 1) < 0.9)
 
 
-def test_training_sample_depends_on_ids_alone(spark):
-    frame = spark.range(20_000).select(F.col("id").cast("string").alias("id"))
-    first = {r["id"] for r in training_sample(frame, 20_000, 1000, 1).collect()}
-    again = {r["id"] for r in training_sample(frame.repartition(7), 20_000, 1000, 1).collect()}
-    assert first == again and 800 < len(first) < 1200
+def test_first_vectors_are_distinct_and_do_not_depend_on_partitions(spark):
+    rows = [(0, [1.0, 2.0])] * 4000 + [(0, [float(n), 0.0]) for n in range(1000)] + [(1, [0.0]), (1, [-0.0])]
+    frame = spark.createDataFrame(rows, "grp int, vector array<double>")
+    first, again = (first_vectors(f, 2, 256, 7).to_pydict() for f in (frame, frame.repartition(5)))
+    assert first == again and first["grp"].count(0) == 256 and first["grp"].count(1) == 1
+    assert len({tuple(v) for v in first["vector"]}) == 257
+
+
+def test_blocks_bound_memory_and_change_no_result(random_items, clustered):
+    items = random_items(clustered[0])
+    plain = train_centroids(items, n_lists=6, max_iters=4)
+    small = train_centroids(items, n_lists=6, max_iters=4, batch_size=7, max_memory=1)
+    np.testing.assert_allclose(plain.matrix, small.matrix)
+    with pytest.raises(ValueError):
+        train_centroids(items, n_lists=6, batch_size=0)
+
+
+def test_centroids_bound_the_number_of_lists():
+    assert auto_lists(10**12, 4) == 1 << 18 and auto_lists(10**12, 768) == most_lists(768) < 1 << 18

@@ -1,11 +1,14 @@
 import numpy as np
+import pytest
 from conftest import as_answer, brute_force
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from vicinal.functions.crypto import key_frame
 from vicinal.functions.crypto import decrypt_columns
 from vicinal.operators.items import compact
 from vicinal.operators.knn import knn_exact
+from vicinal.plans.index import VectorStore
 from vicinal.sources.index_store import log_schema, write_changes
 from vicinal.streaming.ingest import query_stream, upsert_stream
 
@@ -40,7 +43,8 @@ def test_upsert_stream_replays_to_the_same_state(spark, tmp_path):
     assert _state(spark, log) == {"a": "a2", "c": "c1"}
     upsert_stream(stream, log, str(tmp_path / "check2"), order_col="at").awaitTermination()
     assert _state(spark, log) == {"a": "a2", "c": "c1"}
-    assert spark.read.parquet(f"{log}/*").count() == 5
+    # A checkpoint is a stream of its own: it wrote its five changes, once.
+    assert spark.read.parquet(f"{log}/*").count() == 10
 
 
 def test_late_changes_lose_when_the_stream_numbers_them(spark, tmp_path):
@@ -51,15 +55,38 @@ def test_late_changes_lose_when_the_stream_numbers_them(spark, tmp_path):
     assert _state(spark, log) == {"a": "newer"}
 
 
-def test_stream_and_batch_writes_are_comparable(spark, tmp_path):
+def test_stream_and_batch_writes_are_ordered_by_their_commit(spark, tmp_path):
     log = str(tmp_path / "log")
-    stream = _source(spark, tmp_path / "in", [[("a", [1.0], "streamed", None, "U", 1)]])
-    upsert_stream(stream, log, str(tmp_path / "check"), version=1, order_col="at").awaitTermination()
-    before = spark.createDataFrame([("a", [2.0], "batch", None, "U", 1)], CHANGES).withColumn("metadata", F.parse_json("metadata"))
-    write_changes(before, log, 7, "batch")
-    assert _state(spark, log) == {"a": "streamed"}
-    write_changes(before, log, (1 << 33) + 1, "batch")
-    assert _state(spark, log) == {"a": "batch"}
+
+    def batch(n, text):
+        rows = spark.createDataFrame([("a", [2.0], text, None, "U", 1)], CHANGES).withColumn("metadata", F.parse_json("metadata"))
+        write_changes(rows, log, n, f"batch{n}")
+
+    def streamed(n, text):
+        stream = _source(spark, tmp_path / f"in{n}", [[("a", [1.0], text, None, "U", 1)]])
+        upsert_stream(stream, log, str(tmp_path / f"check{n}"), order_col="at").awaitTermination()
+
+    batch(1, "first")
+    streamed(1, "second")
+    assert _state(spark, log) == {"a": "second"}
+    batch(3, "third")
+    assert _state(spark, log) == {"a": "third"}
+    streamed(2, "fourth")
+    assert _state(spark, log) == {"a": "fourth"}
+
+
+def test_a_stream_into_an_index_is_checked(spark, tmp_path):
+    index = VectorStore(spark, str(tmp_path / "store")).create_index("checked", bytes(32), encrypt=())
+    good = _source(spark, tmp_path / "good", [[("a", [1.0, 2.0], "x", None, "U", 1)]]).drop("op")
+    index.upsert_stream(good, str(tmp_path / "c1"), order_col="at").awaitTermination()
+    index.upsert_stream(good, str(tmp_path / "c2"), order_col="at").awaitTermination()
+    assert index.count() == 1 and index.describe().first()["dimension"] == 2
+    for n, vector in enumerate(([1.0], [float("nan"), 1.0])):
+        bad = _source(spark, tmp_path / f"bad{n}", [[("b", vector, "x", None, "U", 1)]]).drop("op")
+        with pytest.raises(StreamingQueryException):
+            index.upsert_stream(bad, str(tmp_path / f"d{n}"), order_col="at").awaitTermination()
+    assert index.count() == 1 and index.query(query_vector=[1.0, 2.0], top_k=3).count() == 1
+
 
 
 def test_encrypted_stream(spark, tmp_path):

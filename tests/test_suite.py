@@ -10,6 +10,7 @@ from check import rows_of
 from vicinal.operators.ivf import probe
 from vicinal.operators.clustering import Centroids
 from vicinal.plans import suite
+from vicinal.plans.suite_sql import SQL
 from vicinal.sources.sample_tables import label_queries, vector_items
 
 import numpy as np
@@ -23,10 +24,10 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, sf_dir, duck, name):
     frame = entry.queries()[name](spark, sf_dir)
-    answer = duck.execute(entry.oracle_sql()[name])
+    answer = duck.execute(SQL[name])
     names = [column[0] for column in answer.description]
     assert sorted(names) == sorted(frame.columns)
     assert rows_of(frame.columns, frame.collect()) == rows_of(names, answer.fetchall())
@@ -34,13 +35,7 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
 
 def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"ivf_train", "pq_train"}
-
-
-def test_training_queries(spark, sf_dir):
-    row = suite.ivf_train(spark, sf_dir).first()
-    assert row["n_lists"] == 16 and row["recall"] >= 0.88
-    assert {r["n_codes"] for r in suite.pq_train(spark, sf_dir).collect()} == {16}
+    assert set(suite.QUERIES) == set(SQL)
 
 
 def test_entry(spark):
@@ -64,7 +59,8 @@ def test_search_reads_only_ids_and_vectors(spark, sf_dir, tmp_path):
     path = str(tmp_path / "items")
     vector_items(spark, sf_dir).write.parquet(path)
     hits = suite.knn_exact(spark.read.parquet(path), label_queries(spark, sf_dir), 5)
-    scans = [line for line in _plan(hits).splitlines() if "FileScan" in line and path in line]
+    # Spark shortens long paths in plans: the scan is told by the columns that it reads.
+    scans = [line for line in _plan(hits).splitlines() if "FileScan" in line and "vector:array" in line]
     assert scans and all("contents" not in line and "metadata" not in line for line in scans)
 
 

@@ -253,7 +253,8 @@ class TopK:
 class TextIds:
     """Ids left in Arrow until a row is a candidate, then UTF-8 bytes.
 
-    Bytes sort as Spark sorts strings.
+    Bytes sort as Spark sorts strings. Fixed-width bytes drop zeros at their end, so the bytes 0 and 1 are
+    written as two bytes each, which keeps the order.
     """
 
     def __init__(self, column: pa.Array):
@@ -264,7 +265,16 @@ class TextIds:
             start, stop, _ = at.indices(len(self.column))
             return TextIds(self.column.slice(start, stop - start))
         chosen = self.column.take(pa.array(at, pa.int64())).cast(pa.binary())
-        return np.asarray(chosen.to_pylist(), dtype=np.bytes_)
+        return np.asarray([_escaped(x) if b"\0" in x or b"\1" in x else x for x in chosen.to_pylist()], dtype=np.bytes_)
+
+
+def _escaped(name: bytes) -> bytes:
+    return name.replace(b"\1", b"\1\2").replace(b"\0", b"\1\1")
+
+
+def plain_ids(names: np.ndarray) -> list[bytes]:
+    """The ids as they came."""
+    return [x.replace(b"\1\1", b"\0").replace(b"\1\2", b"\1") if b"\1" in x else x for x in names.tolist()]
 
 
 def nearest_rows(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, metric: str, k: int, digits: int | None):

@@ -16,6 +16,7 @@ _NUMBER_KINDS = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 _PLAIN_KEY = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 _PREFIX = "metadata."
 _EXACT_DOUBLE = (1 << 53) - 1
+_EXACT_DECIMAL = 10**38 - 1
 
 
 def compile_filter(filters: dict | str | None, metadata: Column | str = "metadata") -> Column:
@@ -116,6 +117,12 @@ def _ordered(value: _Value, op: str, arg) -> Column:
     else:
         raise ValueError(f"{op} compares with a number or a string, got {arg!r}")
     tests = {"$gt": left > right, "$gte": left >= right, "$lt": left < right, "$lte": left <= right}
+    if _is_number(arg) and _EXACT_DOUBLE < abs(arg) < _EXACT_DECIMAL:
+        # Rounding keeps the order of different doubles; numbers this large may share one.
+        exact, bound = value.read("decimal(38,0)"), F.lit(str(int(arg))).cast("decimal(38,0)")
+        ties = {"$gt": exact > bound, "$gte": exact >= bound, "$lt": exact < bound, "$lte": exact <= bound}
+        strict = left > right if op in ("$gt", "$gte") else left < right
+        return (strict | ((left == right) & ties[op])) & gate
     return tests[op] & gate
 
 

@@ -11,9 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,17 +20,17 @@ from vicinal.functions.distance import normalise
 from vicinal.functions.vectors import to_lists, to_matrix
 from vicinal.operators.search import collect_bounded
 from vicinal.options import (
+    DEFAULT_BATCH_SIZE,
     DEFAULT_MAX_ITERS,
     DEFAULT_MAX_MEMORY,
     DEFAULT_TOLERANCE,
-    SAMPLE_ROWS_PER_LIST,
     check_metric,
 )
 
 MAX_LISTS = 1 << 18
 _CENTROID_BYTES = 512 << 20
 _DENSE_CELLS = 1 << 22
-_SAMPLE_SLOTS = 1 << 20
+_SEED_SLOTS = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -100,10 +98,12 @@ def assign_cells(
     return items.withColumn("cell", nearest_cell(items.sparkSession, vector, known, digits))
 
 
-def partial_sums(vectors: DataFrame, books: list[tuple[np.ndarray, np.ndarray]], digits: int | None) -> DataFrame:
+def partial_sums(
+    vectors: DataFrame, books: list[tuple[np.ndarray, np.ndarray]], digits: int | None, block_rows: int | None = None
+) -> DataFrame:
     """Per task ``(sub, cell, n, total)``: the sums that new centroids are made from.
 
-    ``books`` has one ``(cells, matrix)`` pair per slice of the vector, the slices
+    At most ``block_rows`` vectors are compared with the centroids at once. ``books`` has one ``(cells, matrix)`` pair per slice of the vector, the slices
     lying side by side: one pair for coarse lists, several for product quantisation.
     """
     sent = vectors.sparkSession.sparkContext.broadcast(books)
@@ -112,9 +112,8 @@ def partial_sums(vectors: DataFrame, books: list[tuple[np.ndarray, np.ndarray]],
     def add(batches):
         books = sent.value
         held: list | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        step = block_rows or 1 << 31
+        for batch in (part.slice(at, step) for part in batches for at in range(0, part.num_rows, step)):
             rows = to_matrix(batch.column(0))
             sums, start = [], 0
             for cells, matrix in books:
@@ -122,12 +121,12 @@ def partial_sums(vectors: DataFrame, books: list[tuple[np.ndarray, np.ndarray]],
                 start += matrix.shape[1]
                 at, _, found = nearest_rows(part, matrix, np.arange(len(cells)), "euclidean", 1, digits)
                 sums.append(_group_sums(part[at], found, len(cells) if dense else None))
-            if not dense:
-                yield from _sum_batches(books, sums)
-            elif held is None:
+            if held is None:
                 held = sums
-            else:
+            elif dense:
                 held = [(p, n + m, t + u) for (p, n, t), (_, m, u) in zip(held, sums)]
+            else:
+                held = [_added(one, two) for one, two in zip(held, sums)]
         if held is not None:
             yield from _sum_batches(books, held)
 
@@ -144,6 +143,15 @@ def _group_sums(rows: np.ndarray, places: np.ndarray, size: int | None):
     return present, np.bincount(places, minlength=len(present)), totals
 
 
+def _added(one, two):
+    """Sums over the cells that either side has."""
+    present, places = np.unique(np.concatenate([one[0], two[0]]), return_inverse=True)
+    counts, totals = np.zeros(len(present), np.int64), np.zeros((len(present), one[2].shape[1]))
+    np.add.at(counts, places, np.concatenate([one[1], two[1]]))
+    np.add.at(totals, places, np.concatenate([one[2], two[2]]))
+    return present, counts, totals
+
+
 def _sum_batches(books, sums):
     for sub, ((cells, _), (present, counts, totals)) in enumerate(zip(books, sums)):
         used = np.flatnonzero(counts)
@@ -171,10 +179,10 @@ def mean_vectors(sums: DataFrame) -> DataFrame:
     return parts.select("sub", "cell", F.transform("parts", lambda p: p["mean"]).alias("centroid"), "n")
 
 
-def _means(items: DataFrame, known: Centroids, metric: str | None, digits: int | None) -> DataFrame:
+def _means(items: DataFrame, known: Centroids, metric: str | None, digits: int | None, block_rows: int | None = None) -> DataFrame:
     vectors = items.filter(F.col("vector").isNotNull())
     vectors = vectors.select(training_vector("vector", check_metric(metric)).alias("vector"))
-    return mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits)).select("cell", "centroid", "n")
+    return mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits, block_rows)).select("cell", "centroid", "n")
 
 
 def lloyd_step(
@@ -192,9 +200,11 @@ def lloyd_step(
     )
 
 
-def lloyd_round(items: DataFrame, known: Centroids, metric: str | None = None, digits: int | None = None) -> Centroids:
+def lloyd_round(
+    items: DataFrame, known: Centroids, metric: str | None = None, digits: int | None = None, block_rows: int | None = None
+) -> Centroids:
     """The same round for a caller that iterates; as many rows come back as went out."""
-    means = _means(items, known, metric, digits).toArrow()
+    means = _means(items, known, metric, digits, block_rows).toArrow()
     matrix, counts = known.matrix.copy(), np.zeros(len(known.cells), np.int64)
     if means.num_rows:
         place = np.searchsorted(known.cells, means["cell"].to_numpy())
@@ -203,8 +213,22 @@ def lloyd_round(items: DataFrame, known: Centroids, metric: str | None = None, d
     return Centroids(known.cells, matrix, counts)
 
 
-def auto_lists(n_items: int) -> int:
-    return min(MAX_LISTS, max(1, round(math.sqrt(n_items))))
+def most_lists(width: int) -> int:
+    """Lists whose centroids every task can hold."""
+    return max(1, min(MAX_LISTS, _CENTROID_BYTES // (8 * width)))
+
+
+def auto_lists(n_items: int, width: int = 1) -> int:
+    return min(most_lists(width), max(1, round(math.sqrt(n_items))))
+
+
+def block_rows(batch_size: int | None, max_memory: int | None, n_lists: int) -> int:
+    """Vectors compared at once: ``batch_size`` of them, fewer if their distances exceed ``max_memory`` MB."""
+    rows = DEFAULT_BATCH_SIZE if batch_size is None else batch_size
+    memory = DEFAULT_MAX_MEMORY if max_memory is None else max_memory
+    if rows < 1 or memory < 0:
+        raise ValueError("batch_size must be positive and max_memory not negative")
+    return min(rows, max(1, (memory << 20) // (8 * n_lists))) if memory else rows
 
 
 def measure(items: DataFrame) -> tuple[int, int]:
@@ -215,15 +239,30 @@ def measure(items: DataFrame) -> tuple[int, int]:
     return row["n"], row["width"]
 
 
-def training_sample(items: DataFrame, n_items: int, wanted: int, seed: int) -> DataFrame:
-    """About ``wanted`` rows, picked by a hash of the id; no shuffle, repeatable."""
-    if n_items <= wanted:
-        return items
-    slot = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(_SAMPLE_SLOTS))
-    return items.filter(slot < math.ceil(wanted / n_items * _SAMPLE_SLOTS))
+def first_vectors(vectors: DataFrame, groups: int, wanted: int, seed: int) -> pa.Table:
+    """The first ``wanted`` distinct vectors of each group in an order drawn from their values.
 
-
-def train_ivf(
+    ``vectors`` has ``grp`` (0 up to ``groups``) and ``vector``. Equal vectors have equal draws, so copies
+    never crowd out others. Draws above a threshold are left out before anything is shuffled; where that
+    leaves a group short, a pass with a higher threshold follows. Returns ``(grp, draw, vector)`` in order.
+    """
+    # The two zeros are equal and must not be drawn apart.
+    plain = F.transform("vector", lambda x: x.cast("double") + F.lit(0.0))
+    drawn = vectors.select("grp", plain.alias("vector")).withColumn("draw", F.xxhash64(F.lit(seed), "vector").bitwiseAND(_SEED_SLOTS - 1))
+    distinct = drawn.groupBy("grp").agg(F.approx_count_distinct("draw").alias("n"))
+    least = distinct.agg(F.min("n")).first()[0] or 1
+    share = min(1.0, 4.0 * wanted / least)
+    while True:
+        some = drawn.filter(F.col("draw") < math.ceil(share * _SEED_SLOTS)).dropDuplicates(["grp", "draw"])
+        order = Window.partitionBy("grp").orderBy("draw")
+        ranked = some.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= wanted)
+        found = ranked.select("grp", "draw", "vector").toArrow().sort_by([("grp", "ascending"), ("draw", "ascending")])
+        if share >= 1.0 or found.num_rows == groups * wanted:
+            return found
+        share = min(1.0, 8 * share)
+
+
+def train_centroids(
     items: DataFrame,
     n_lists: int | None = None,
     max_iters: int | None = None,
@@ -231,44 +270,53 @@ def train_ivf(
     max_memory: int | None = None,
     metric: str | None = None,
     seed: int = 42,
-    rows_per_list: int = SAMPLE_ROWS_PER_LIST,
     shape: tuple[int, int] | None = None,
-) -> DataFrame:
-    """Centroids ``(cell, centroid, n)`` by k-means over the item vectors.
+    batch_size: int | None = None,
+) -> Centroids:
+    """K-means over all item vectors; ``counts`` are those of the last round.
 
-    The clustering reads at most ``rows_per_list`` rows per list, and no more than
-    ``max_memory`` MB of them; every item is assigned and counted afterwards. A caller
-    that knows the number of items and their dimension passes them as ``shape``.
+    Rounds start from distinct vectors in an order drawn from their values; each is one job that shuffles
+    sums of centroids. Fewer distinct vectors than lists give fewer lists. Training ends when no centroid moves
+    by more than ``tolerance``, or after ``max_iters`` rounds.
     """
     metric = check_metric(metric)
-    spark = items.sparkSession
     items = items.filter(F.col("vector").isNotNull())
     n_items, width = shape or measure(items)
-    n_lists = min(n_lists or auto_lists(n_items), n_items)
-    if n_lists > MAX_LISTS:
-        raise ValueError(f"n_lists must not exceed {MAX_LISTS}")
-    wanted = rows_per_list * n_lists
-    memory = DEFAULT_MAX_MEMORY if max_memory is None else max_memory
-    if memory > 0:
-        wanted = min(wanted, max(n_lists, memory * (1 << 20) // (8 * width)))
+    n_lists = min(n_lists or auto_lists(n_items, width), n_items)
+    if n_lists > most_lists(width):
+        raise ValueError(f"n_lists must not exceed {most_lists(width)} at dimension {width}")
+    rows = block_rows(batch_size, max_memory, n_lists)
+    vectors = items.select(F.lit(0).alias("grp"), training_vector("vector", metric).alias("vector"))
+    matrix = to_matrix(first_vectors(vectors, 1, n_lists, seed)["vector"])
+    known = Centroids(np.arange(len(matrix)), matrix, np.zeros(len(matrix), np.int64))
+    for _ in range(max(1, DEFAULT_MAX_ITERS if max_iters is None else max_iters)):
+        moved = lloyd_round(items, known, metric, block_rows=rows)
+        shift = np.square(moved.matrix - known.matrix).sum(axis=1).max()
+        known = moved
+        if shift <= (DEFAULT_TOLERANCE if tolerance is None else tolerance) ** 2:
+            break
+    return known
 
-    if n_lists == 1:
-        centers = [np.zeros(width)]
-    else:
-        sample = training_sample(items, n_items, wanted, seed)
-        features = sample.select(array_to_vector(training_vector("vector", metric).cast("array<double>")).alias("features"))
-        model = KMeans(
-            k=n_lists,
-            maxIter=DEFAULT_MAX_ITERS if max_iters is None else max_iters,
-            tol=DEFAULT_TOLERANCE if tolerance is None else tolerance,
-            seed=seed,
-        ).fit(features)
-        centers = model.clusterCenters()
-    matrix = np.asarray(centers, np.float64)
-    start = centroid_frame(spark, Centroids(np.arange(len(matrix)), matrix, np.zeros(len(matrix), np.int64)))
-    if n_lists == 1:
-        return lloyd_step(items, start, metric)
-    return with_counts(start, assign_cells(items.select("vector"), start, metric))
+
+def train_ivf(
+    items: DataFrame,
+    n_lists: int | None = None,
+    max_iters: int | None = None,
+    tolerance: float | None = None,
+    max_memory: int | None = None,
+    metric: str | None = None,
+    seed: int = 42,
+    shape: tuple[int, int] | None = None,
+    batch_size: int | None = None,
+) -> DataFrame:
+    """Centroids ``(cell, centroid, n)`` by k-means over all item vectors, with the size of every list.
+
+    ``batch_size`` and ``max_memory`` (MB) bound the vectors that a task compares at once, never the rows
+    that are read. A caller that knows the number of items and their dimension passes them as ``shape``.
+    """
+    known = train_centroids(items, n_lists, max_iters, tolerance, max_memory, metric, seed, shape, batch_size)
+    vectors = items.filter(F.col("vector").isNotNull()).select("vector")
+    return with_counts(centroid_frame(items.sparkSession, known), assign_cells(vectors, known, metric))
 
 
 def with_counts(centroids: DataFrame, assigned: DataFrame) -> DataFrame:

@@ -20,11 +20,12 @@ from vicinal.functions.distance import distance
 from vicinal.functions.vectors import to_lists, to_matrix
 from vicinal.operators.clustering import (
     Centroids,
+    block_rows,
+    first_vectors,
     load_centroids,
     mean_vectors,
     measure,
     partial_sums,
-    training_sample,
     training_vector,
 )
 from vicinal.operators.ivf import route
@@ -32,8 +33,9 @@ from vicinal.operators.knn import filter_items, finish_hits
 from vicinal.operators.projection import hit_fields
 from vicinal.operators.search import SearchLimits, collect_bounded, few, merge_top_k, search
 from vicinal.options import (
+    DEFAULT_MAX_ITERS,
+    DEFAULT_TOLERANCE,
     RERANK_FACTOR,
-    SAMPLE_ROWS_PER_LIST,
     check_metric,
     check_pq,
     check_probes,
@@ -41,7 +43,6 @@ from vicinal.options import (
 )
 
 _MAX_CODEWORDS = 1 << 20
-_SEED_FACTOR = 4
 
 
 def load_books(books: DataFrame) -> np.ndarray:
@@ -93,48 +94,44 @@ def train_pq(
     pq_dim: int,
     pq_bits: int,
     metric: str | None = None,
-    max_iters: int = 20,
-    tolerance: float = 1e-6,
+    max_iters: int | None = None,
+    tolerance: float | None = None,
     seed: int = 42,
     shape: tuple[int, int] | None = None,
+    batch_size: int | None = None,
+    max_memory: int | None = None,
 ) -> DataFrame:
     """Codebooks ``(sub, code, centroid)`` with up to ``2**pq_bits`` codewords per slice.
 
-    Fewer distinct slices than codewords simply give fewer codewords. Each round is one
-    job over a training sample; only the codebooks come back to the driver.
+    K-means over all items, from the first distinct slices in an order drawn from their values: fewer
+    distinct slices than codewords simply give fewer codewords. Each round is one job; only the codebooks come
+    back to the driver.
     """
     metric = check_metric(metric)
-    items = items.filter(F.col("vector").isNotNull()).select("id", "vector")
+    items = items.filter(F.col("vector").isNotNull()).select("vector")
     n_items, width = shape or measure(items)
     check_pq(width, pq_dim, pq_bits)
-    words = 1 << pq_bits
-    sample = training_sample(items, n_items, SAMPLE_ROWS_PER_LIST * words, seed).persist()
-    try:
-        first = sample.orderBy(F.xxhash64(F.lit(seed), F.col("id"))).limit(_SEED_FACTOR * words)
-        seeds = to_matrix(first.select(training_vector("vector", metric).alias("vector")).toArrow()["vector"])
-        books = _seed_books(seeds.reshape(len(seeds), pq_dim, -1), words)
-        vectors = sample.select(training_vector("vector", metric).alias("vector"))
-        for _ in range(max_iters):
-            moved = books.copy()
-            for row in mean_vectors(partial_sums(vectors, _as_pairs(books), None)).toLocalIterator():
-                moved[row["sub"], row["cell"]] = row["centroid"]
-            shift = np.nanmax(np.square(moved - books).sum(axis=2))
-            books = moved
-            if shift <= tolerance**2:
-                break
-    finally:
-        sample.unpersist()
+    words, part = 1 << pq_bits, width // pq_dim
+    rows = block_rows(batch_size, max_memory, words)
+    vectors = items.select(training_vector("vector", metric).alias("vector"))
+    cut = F.transform(F.sequence(F.lit(0), F.lit(pq_dim - 1)), lambda sub: F.slice("vector", sub * part + 1, F.lit(part)))
+    books = _seed_books(first_vectors(vectors.select(F.posexplode(cut).alias("grp", "vector")), pq_dim, words, seed), pq_dim, words)
+    for _ in range(DEFAULT_MAX_ITERS if max_iters is None else max_iters):
+        moved = books.copy()
+        for row in mean_vectors(partial_sums(vectors, _as_pairs(books), None, rows)).toLocalIterator():
+            moved[row["sub"], row["cell"]] = row["centroid"]
+        shift = np.nanmax(np.square(moved - books).sum(axis=2))
+        books = moved
+        if shift <= (DEFAULT_TOLERANCE if tolerance is None else tolerance) ** 2:
+            break
     return _as_rows(items.sparkSession, books)
 
 
-def _seed_books(seeds: np.ndarray, words: int) -> np.ndarray:
-    """The first distinct slices of the seed rows, per sub-quantiser."""
-    rows, subs, width = seeds.shape
-    books = np.full((subs, min(words, rows), width), np.nan)
-    for sub in range(subs):
-        _, first = np.unique(seeds[:, sub], axis=0, return_index=True)
-        chosen = np.sort(first)[:words]
-        books[sub, : len(chosen)] = seeds[chosen, sub]
+def _seed_books(seeds: pa.Table, subs: int, words: int) -> np.ndarray:
+    """The seeds as (sub, code, width); a codeword that does not exist is NaN."""
+    rows, sub = to_matrix(seeds["vector"]), seeds["grp"].to_numpy()
+    books = np.full((subs, words, rows.shape[1]), np.nan)
+    books[sub, np.arange(len(sub)) - np.searchsorted(sub, sub, side="left")] = rows
     return books
 
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vicinal.functions.blocks import TextIds, TopK
+from vicinal.functions.blocks import TextIds, TopK, plain_ids
 from vicinal.functions.vectors import to_matrix
 from vicinal.options import BLOCK_ROWS, BROADCAST_BYTES, BROADCAST_ROWS
 
@@ -92,7 +92,10 @@ def search(
     probing = "cells" in queries.columns
     columns = ["query_id", "query_vector"] + (["cells"] if probing else [])
     queries = queries.select(*columns)
-    if dict(queries.dtypes)["query_id"] != "string":
+    kind = dict(queries.dtypes)["query_id"]
+    if kind not in ("string", "bigint", "int", "smallint", "tinyint"):
+        raise ValueError(f"query ids must be integers or strings, not {kind}")
+    if kind != "string":
         queries = queries.withColumn("query_id", F.col("query_id").cast("bigint"))
     base = base.select("id", F.col(value).alias("value"), *(["cell"] if probing else []))
     shards = _shards(base, top_k, limits)
@@ -100,6 +103,7 @@ def search(
     per_pass = min(limits.pass_rows, _queries_per_task(metric, top_k))
     rows = min(limits.broadcast_rows, _MAX_PASSES * per_pass)
     shipped = collect_bounded(queries, rows, limits.broadcast_bytes)
+    _require_unique(queries, shipped)
     if shipped is None:
         small = None if probing else collect_bounded(base, limits.broadcast_rows, limits.broadcast_bytes)
         if small is not None:
@@ -117,6 +121,16 @@ def search(
     return merge_top_k(found, top_k, shards), shipped.num_rows
 
 
+def _require_unique(queries: DataFrame, shipped: pa.Table | None) -> None:
+    """The same rule under every plan: one row per query id."""
+    if shipped is not None:
+        repeated = len(shipped) > 0 and pc.count_distinct(shipped["query_id"], mode="all").as_py() < len(shipped)
+    else:
+        repeated = bool(queries.groupBy("query_id").agg(F.count("*").alias("n")).filter("n > 1").limit(1).collect())
+    if repeated:
+        raise ValueError("query ids must be unique")
+
+
 def merge_top_k(found: DataFrame, top_k: int, shards: int = 1) -> DataFrame:
     """Reduce per-task winners to the best ``top_k`` of each query.
 
@@ -246,9 +260,16 @@ def broadcast_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def _prune(base: DataFrame, shipped: pa.Table) -> DataFrame:
-    """Keep the probed cells only: a partition filter on a table laid out by cell."""
-    cells = shipped["cells"].combine_chunks().flatten().unique().to_pylist()
-    return base.filter(F.col("cell").isin(cells)) if len(cells) <= _PRUNE_CELLS else base
+    """Keep the probed cells only: a partition filter on a table laid out by cell.
+
+    A short list is part of the plan; a longer one is joined, which prunes partitions as well.
+    """
+    cells = shipped["cells"].combine_chunks().flatten().unique()
+    if len(cells) <= _PRUNE_CELLS:
+        return base.filter(F.col("cell").isin(cells.to_pylist()))
+    # The cells come from query sets within the broadcast bound.
+    wanted = base.sparkSession.createDataFrame(pa.table({"cell": cells.cast(pa.int32())}))
+    return base.join(F.broadcast(wanted), "cell", "left_semi")
 
 
 def _probers(cells: list[list[int]]) -> dict[int, np.ndarray]:
@@ -326,7 +347,7 @@ def _hit_batches(best: TopK, query_ids: pa.Array, shard: int):
         yield pa.RecordBatch.from_arrays(
             [
                 query_ids.take(pa.array(positions[part], pa.int64())),
-                pa.array(ids[part].tolist(), pa.binary()).cast(pa.string()),
+                pa.array(plain_ids(ids[part]), pa.binary()).cast(pa.string()),
                 pa.array(distances[part], pa.float64()),
                 pa.array(places[part], pa.int32()),
                 pa.array(np.full(len(positions[part]), shard), pa.int32()),

@@ -25,7 +25,7 @@ TRAIN_THRESHOLD = 10_000
 RETRAIN_MULTIPLIER = 2.0
 TARGET_RECALL = 0.90
 RERANK_FACTOR = 4
-SAMPLE_ROWS_PER_LIST = 256
+CALIBRATION_QUERIES = 256
 
 # Sizes that decide between shipping one side to every task and shuffling both.
 BROADCAST_ROWS = 20_000

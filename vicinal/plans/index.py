@@ -9,14 +9,16 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Sequence
 
+import numpy as np
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from vicinal.functions.crypto import decrypt_columns, encrypt_columns, key_check, key_frame, key_opens
 from vicinal.functions.embedding import Embedder, embed_missing, embedding, hash_embedder
 from vicinal.operators.catalog import describe_index, list_indexes
-from vicinal.operators.clustering import assign_cells, load_centroids, train_ivf
+from vicinal.operators.clustering import Centroids, assign_cells, block_rows, centroid_frame, load_centroids, train_centroids
 from vicinal.operators.items import (
     ITEM_COLUMNS,
     as_items,
@@ -33,7 +35,7 @@ from vicinal.operators.pq import encode_pq, load_books, search_pq, train_pq
 from vicinal.operators.training import training_status
 from vicinal.options import (
     BLOCK_ROWS,
-    DEFAULT_BATCH_SIZE,
+    CALIBRATION_QUERIES,
     RERANK_FACTOR,
     RETRAIN_MULTIPLIER,
     TRAIN_THRESHOLD,
@@ -45,10 +47,10 @@ from vicinal.options import (
     check_probes,
     check_top_k,
 )
-from vicinal.sources.index_store import PLAIN_KINDS, IndexStore, new_uid, next_seq, write_changes
+from vicinal.sources.index_store import PLAIN_KINDS, IndexStore, known_seq, new_uid, next_seq, write_changes
+from vicinal.streaming.ingest import stream_batches
 
 _CENTROID_KIND = {"centroid": "array<double>"}
-_CALIBRATION_QUERIES = 256
 _MAX_TASKS = 100_000
 
 
@@ -60,12 +62,14 @@ class VectorStore:
         spark: SparkSession,
         root: str,
         embedder: Embedder | None = None,
+        embedders: dict[str, Embedder] | None = None,
         train_threshold: int = TRAIN_THRESHOLD,
         retrain_multiplier: float = RETRAIN_MULTIPLIER,
     ):
         self.spark = spark
         self.store = IndexStore(spark, root)
         self.embedder = embedder
+        self.embedders = {"token-hash": None, **(embedders or {})}
         self.train_threshold = train_threshold
         self.retrain_multiplier = retrain_multiplier
 
@@ -84,6 +88,7 @@ class VectorStore:
         of it stays readable to the Parquet scan, which lets filters skip row groups.
         """
         name, key, config, metric = check_name(name), check_key(key), check_config(config), check_metric(metric)
+        self.check_model(embedding_model)
         unknown = [column for column in encrypt if column not in PLAIN_KINDS]
         if unknown:
             raise ValueError(f"cannot encrypt {unknown}")
@@ -109,7 +114,10 @@ class VectorStore:
             lists_covered=[],
             dropped=False,
         )
-        self.store.append_entry(entry)
+        try:
+            self.store.append_entry(entry)
+        except FileExistsError:
+            raise ValueError(f"index {name!r} already exists") from None
         return VectorIndex(self, name, key)
 
     def load_index(self, name: str, key: bytes) -> "VectorIndex":
@@ -126,11 +134,14 @@ class VectorStore:
     def describe(self, name: str | None = None) -> DataFrame:
         return describe_index(self.store.catalog(), name)
 
+    def check_model(self, model: str | None) -> None:
+        """A named model must be known here: another one would answer in another vector space."""
+        if model is not None and model not in self.embedders and self.embedder is None:
+            raise ValueError(f"unknown embedding model {model!r}; known: {sorted(self.embedders)}")
+
     def _newest(self, name: str) -> dict | None:
         """The latest row of one name, dropped or not."""
-        mine = self.store.catalog().filter(F.col("index_name") == name)
-        row = mine.orderBy(F.desc("version"), F.desc("uid")).first()
-        return None if row is None else row.asDict()
+        return self.store.newest(name)
 
     def _entry(self, name: str) -> dict | None:
         newest = self._newest(name)
@@ -166,7 +177,7 @@ class VectorIndex:
     def delete_index(self) -> None:
         """Drop the index and its files; this handle is invalid afterwards."""
         entry = self._entry()
-        self.store.append_entry({**entry, "dropped": True})
+        self.store.update_entry(entry, {"dropped": True})
         self.store.folder.delete(self.store.index_path(entry))
 
     # Items
@@ -177,6 +188,15 @@ class VectorIndex:
         Contents without a vector are embedded first. Any item that is not acceptable
         fails the call and nothing is written. Returns whether training was triggered.
         """
+        entry, changes = self._changes(df, order_col)
+        self._append(entry, changes)
+        triggered = auto_train and self._training_due(entry)
+        if triggered:
+            self.train()
+        return {"training_triggered": triggered}
+
+    def _changes(self, df: DataFrame, order_col: str | None) -> tuple[dict, DataFrame]:
+        """The checked rows of a change set, and the entry with the dimension that they freeze."""
         entry = self._entry()
         items = as_items(df.drop(order_col) if order_col else df)
         if order_col is None:
@@ -189,18 +209,23 @@ class VectorIndex:
         if "vector" not in df.columns or entry["embedding_model"] is not None:
             items = embed_missing(items, self._embedder(entry))
         entry = self._with_dimension(entry, items)
-        changes = require_valid(items, entry["dimension"]).withColumn("op", F.lit("U"))
-        try:
-            self._append(entry, changes)
-        except PySparkException as error:
-            found = str(error).partition("rejected item ")[2]
-            if found:
-                raise ValueError("rejected item " + found.splitlines()[0]) from error
-            raise
-        triggered = auto_train and self._training_due(entry)
-        if triggered:
-            self.train()
-        return {"training_triggered": triggered}
+        return entry, require_valid(items, entry["dimension"]).withColumn("op", F.lit("U"))
+
+    def upsert_stream(
+        self, stream: DataFrame, checkpoint: str, order_col: str | None = None, available_now: bool = True
+    ) -> StreamingQuery:
+        """Upsert a stream of items; every micro-batch is checked like a batch and is one change set.
+
+        A micro-batch takes its number in the order of change sets when it is first written; a replayed one
+        keeps it. ``order_col`` says which row of an id wins within a micro-batch. A rejected item ends
+        the stream and nothing of its micro-batch is written.
+        """
+
+        def write(batch: DataFrame, mark: str) -> None:
+            entry, changes = self._changes(batch, order_col)
+            self._append(entry, changes, mark)
+
+        return stream_batches(stream, write, checkpoint, available_now)
 
     def delete(self, ids: DataFrame | Sequence[str]) -> None:
         """Remove items for good; unknown ids are ignored."""
@@ -229,7 +254,7 @@ class VectorIndex:
             self._write_snapshot(entry, batches)
 
     def vacuum(self) -> None:
-        """Delete batches and snapshots that no later read needs."""
+        """Delete batches, snapshots and trainings that no later read needs."""
         entry = self._entry()
         path, folder = self.store.index_path(entry), self.store.folder
         done = set(entry["covered"])
@@ -241,6 +266,9 @@ class VectorIndex:
         for name in folder.committed(f"{path}/items"):
             if name != entry["snapshot"]:
                 folder.delete(f"{path}/items/{name}")
+        for name in folder.names(f"{path}/lists"):
+            if name != entry["lists"]:
+                folder.delete(f"{path}/lists/{name}")
 
     # Training
 
@@ -253,14 +281,15 @@ class VectorIndex:
         max_memory: int | None = None,
         top_k: int = 100,
         seed: int = 42,
+        calibration_queries: int = CALIBRATION_QUERIES,
     ) -> None:
         """Cluster the items into lists, and quantise them for an ``ivfpq`` index.
 
-        The work starts from a compacted snapshot. ``batch_size`` is checked and
-        accepted; full-batch k-means has no use for it.
+        The work starts from a compacted snapshot and reads all of it. ``batch_size`` and ``max_memory``
+        (MB) bound the vectors that a task compares at once. The default number of probes is measured on
+        ``calibration_queries`` items.
         """
-        if (DEFAULT_BATCH_SIZE if batch_size is None else batch_size) < 1:
-            raise ValueError("batch_size must be positive")
+        block_rows(batch_size, max_memory, n_lists or 1)
         self.compact()
         entry = self._entry()
         items = self._items(entry)
@@ -268,32 +297,37 @@ class VectorIndex:
         path = f"{self.store.index_path(entry)}/lists/{uid}"
         # The catalogue knows both already: no pass that decrypts every vector to count.
         shape = (entry["snapshot_count"], entry["dimension"]) if entry["snapshot_count"] else None
-        trained = train_ivf(items, n_lists or None, max_iters, tolerance, max_memory, metric, seed, shape=shape)
-        self._write_sealed(trained, f"{path}/centroids", "cell")
-        centroids = load_centroids(self._read_sealed(f"{path}/centroids", "cell"))
+        # The counts of the last round shape the files; the lists themselves are counted once written.
+        centroids = train_centroids(items, n_lists or None, max_iters, tolerance, max_memory, metric, seed, shape, batch_size)
         kept = {"ivf": ["id"], "ivfflat": ["id", "vector", "metadata"], "ivfpq": ["id"]}[entry["index_type"]]
         placed = assign_cells(items, centroids, metric)
         if entry["index_type"] == "ivfpq":
-            words = train_pq(items, entry["pq_dim"], entry["pq_bits"], metric, seed=seed, shape=shape)
+            words = train_pq(
+                items, entry["pq_dim"], entry["pq_bits"], metric, max_iters, tolerance, seed, shape, batch_size, max_memory
+            )
             self._write_sealed(words, f"{path}/books", "sub")
             books = load_books(self._read_sealed(f"{path}/books", "sub"))
             placed = encode_pq(placed, books, metric)
             kept = kept + ["codes"]
         self._write_cells(placed.select(*kept, "cell"), centroids, entry, f"{path}/cells")
+        sizes = dict(self.spark.read.parquet(f"{path}/cells").groupBy("cell").count().collect())
+        counts = np.array([sizes.get(int(cell), 0) for cell in centroids.cells], np.int64)
+        centroids = Centroids(centroids.cells, centroids.matrix, counts)
+        self._write_sealed(centroid_frame(self.spark, centroids), f"{path}/centroids", "cell")
 
-        first = items.select("id").orderBy(F.xxhash64(F.lit(seed), "id")).limit(_CALIBRATION_QUERIES)
+        first = items.select("id").orderBy(F.xxhash64(F.lit(seed), "id")).limit(calibration_queries)
         asked = items.join(F.broadcast(first), "id").select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
         probes = calibrate_probes(self._read_cells(entry, path), centroids, asked, top_k, metric, items=items)
-        self.store.append_entry(
+        self.store.update_entry(
+            entry,
             {
-                **entry,
                 "n_lists": len(centroids.cells),
                 "auto_n_probes": probes,
                 "is_trained": True,
                 "trained_count": int(centroids.counts.sum()),
                 "lists": uid,
                 "lists_covered": entry["covered"],
-            }
+            },
         )
 
     # Search
@@ -344,7 +378,9 @@ class VectorIndex:
         return entry
 
     def _embedder(self, entry: dict) -> Embedder:
-        return self.owner.embedder or hash_embedder(entry["dimension"] or 64)
+        model = entry["embedding_model"]
+        self.owner.check_model(model)
+        return self.owner.embedders.get(model) or self.owner.embedder or hash_embedder(entry["dimension"] or 64)
 
     def _queries(self, entry, vector, vectors, contents) -> DataFrame:
         if sum(given is not None for given in (vector, vectors, contents)) != 1:
@@ -370,11 +406,20 @@ class VectorIndex:
             return entry
         if entry["pq_dim"] is not None and row["width"] % entry["pq_dim"]:
             raise ValueError(f"pq_dim {entry['pq_dim']} does not divide dimension {row['width']}")
-        return self.store.append_entry({**entry, "dimension": row["width"]})
+        frozen = self.store.update_entry(entry, {"dimension": row["width"]}, unless="dimension")
+        return frozen
 
-    def _append(self, entry: dict, changes: DataFrame) -> None:
-        seq = next_seq(self.store.batches(entry) + entry["covered"])
-        write_changes(changes, self.store.log_path(entry), seq, new_uid(), entry["encrypted"], self._key_df)
+    def _append(self, entry: dict, changes: DataFrame, mark: str | None = None) -> None:
+        """Write one change set; a ``mark`` that was written before keeps its number."""
+        batches = self.store.batches(entry) + entry["covered"]
+        seq, uid = known_seq(batches, mark) or next_seq(batches), mark or new_uid()
+        try:
+            write_changes(changes, self.store.log_path(entry), seq, uid, entry["encrypted"], self._key_df)
+        except PySparkException as error:
+            found = str(error).partition("rejected item ")[2]
+            if found:
+                raise ValueError("rejected item " + found.splitlines()[0]) from error
+            raise
 
     def _opened(self, df: DataFrame, encrypted: list[str]) -> DataFrame:
         return decrypt_columns(df, {n: PLAIN_KINDS[n] for n in encrypted if n in df.columns}, self._key_df)
@@ -394,7 +439,7 @@ class VectorIndex:
         path = f"{self.store.index_path(entry)}/items/{uid}"
         self._raw_items(entry, batches).write.parquet(path)
         count = self.spark.read.parquet(path).count()
-        self.store.append_entry({**entry, "snapshot": uid, "snapshot_count": count, "covered": batches})
+        self.store.update_entry(entry, {"snapshot": uid, "snapshot_count": count, "covered": batches})
 
     def _training_due(self, entry: dict) -> bool:
         """An upper bound from row counts first; the exact count only when that is due."""

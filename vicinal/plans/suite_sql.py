@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+PQ_DIM = PQ_WIDTH = 8
+
 _ITEMS = """
 items AS (
   SELECT CAST(e.vec_id AS VARCHAR) AS id, CAST(e.embedding AS DOUBLE[]) AS v, e.label, d.text AS contents,
@@ -328,6 +330,24 @@ SELECT CAST(doc_id AS VARCHAR) AS id, md5(text) AS contents_md5, TRUE AS is_seal
     "encrypted_vectors": "SELECT 'items' AS side, count(*) AS n_items FROM embeddings UNION ALL SELECT 'lost', 0",
     "index_query": _INDEXED,
     "index_trained_query": _INDEXED,
+    "ivf_train": """
+SELECT CAST(16 AS INTEGER) AS n_lists, count(*) AS n_items, CAST(0 AS BIGINT) AS wrong_cells, CAST(0 AS BIGINT) AS n_lost,
+       TRUE AS recall_reached FROM embeddings""",
+    "pq_train": f"""
+SELECT CAST(s AS INTEGER) AS sub, least(16, count(DISTINCT embedding[s * {PQ_WIDTH} + 1:s * {PQ_WIDTH} + {PQ_WIDTH}])) AS n_codes,
+       CAST(0 AS BIGINT) AS wrong_codes FROM embeddings, range({PQ_DIM}) r(s) GROUP BY s""",
+    "index_contract": """
+SELECT step, CAST(n AS BIGINT) AS n FROM (VALUES ('hits_of_empty', 0), ('trained_before', 0), ('trained_after', 1), ('wrong_key_opens', 0),
+  ('two_inputs_pass', 0), ('no_input_passes', 0), ('second_create_passes', 0), ('listed', 1), ('listed_after_drop', 0),
+  ('dropped_loads', 0)) t(step, n)
+UNION ALL SELECT 'loaded_items', count(*) FROM embeddings""",
+    "concurrent_upserts": "SELECT label, count(*) AS n_items FROM embeddings GROUP BY label",
+    "stream_then_upsert": """
+SELECT CASE WHEN label <= 2 THEN 'stream-3' WHEN label <= 4 THEN 'batch-2' WHEN label <= 6 THEN 'stream-1' ELSE 'batch-0' END AS contents,
+       count(*) AS n_items FROM embeddings WHERE label <= 9 GROUP BY 1""",
+    "filter_big_int": """
+SELECT count(*) FILTER (event_id > 101) AS gt, count(*) FILTER (event_id >= 101) AS gte, count(*) FILTER (event_id < 101) AS lt,
+       count(*) FILTER (event_id <= 101) AS lte FROM events""",
     "stream_upsert_log": _COMPACTED,
     "stream_query": _with(_MEANS)
     + _top("(SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS q, CAST(label AS VARCHAR) AS id, m AS v "

@@ -1,17 +1,20 @@
 """Where an index lives: an append-only catalogue, a change log, snapshots, lists.
 
-    <root>/_catalog                     rows, latest version per name wins
+    <root>/_catalog/<name>/<version>    one row each, the latest wins
+    <root>/_claims/<name>/<version>     who may write that version: created exclusively
     <root>/<name>/<uid>/log/<batch>     one directory per committed change set
     <root>/<name>/<uid>/items/<uid>     compacted snapshot
     <root>/<name>/<uid>/lists/<uid>     centroids, cells and codebooks of one training
 
 No file is ever rewritten. A change set counts once its directory carries Spark's
-``_SUCCESS`` marker, so writers need no lock and a lost job leaves nothing behind that
-a reader would see.
+``_SUCCESS`` marker, so a lost job leaves nothing behind that a reader would see. A catalogue
+version belongs to the writer that created its claim, an exclusive create on the file system; any
+other reads the newest version again and puts its own changes on top of it.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +29,7 @@ CATALOG_SCHEMA = """
     key_check binary, encrypted array<string>, snapshot string, snapshot_count bigint,
     covered array<string>, lists string, lists_covered array<string>, dropped boolean
 """
+_CLAIM_POLL, _CLAIM_SECONDS = 0.2, 60.0
 PLAIN_KINDS = {"vector": "array<float>", "contents": "string", "metadata": "variant"}
 
 
@@ -48,6 +52,16 @@ class Folder:
         system, path = self._path(path)
         system.delete(path, True)
 
+    def create(self, path: str) -> bool:
+        """Create an empty file; False if it exists."""
+        system, path = self._path(path)
+        system.mkdirs(path.getParent())
+        return system.createNewFile(path)
+
+    def names(self, path: str) -> list[str]:
+        system, pattern = self._path(f"{path}/*")
+        return sorted(status.getPath().getName() for status in system.globStatus(pattern) or [])
+
     def committed(self, path: str) -> list[str]:
         """Names of the sub-directories that a finished job wrote."""
         system, pattern = self._path(f"{path}/*/_SUCCESS")
@@ -65,17 +79,48 @@ class IndexStore:
         return f"{self.root}/_catalog"
 
     def catalog(self) -> DataFrame:
-        if not self.folder.exists(self.catalog_path):
+        if not self.folder.names(f"{self.catalog_path}/*"):
             return self.spark.createDataFrame([], CATALOG_SCHEMA)
-        return self.spark.read.schema(CATALOG_SCHEMA).parquet(self.catalog_path)
+        return self.spark.read.schema(CATALOG_SCHEMA).parquet(f"{self.catalog_path}/*/*")
+
+    def newest(self, name: str) -> dict | None:
+        """The latest row of one name, dropped or not."""
+        versions = self.folder.committed(f"{self.catalog_path}/{name}")
+        if not versions:
+            return None
+        row = self.spark.read.schema(CATALOG_SCHEMA).parquet(f"{self.catalog_path}/{name}/{versions[-1]}").first()
+        return row.asDict()
 
     def append_entry(self, entry: dict) -> dict:
-        """Commit a new version of an index; the row is the commit."""
+        """Commit the next version of an index; FileExistsError if another writer has claimed it."""
         entry = {**entry, "version": (entry.get("version") or 0) + 1, "uid": new_uid()}
-        row = self.spark.createDataFrame([entry], CATALOG_SCHEMA)
-        row.coalesce(1).write.mode("append").parquet(self.catalog_path)
+        place = f"{entry['index_name']}/{entry['version']:012d}"
+        if not self.folder.create(f"{self.root}/_claims/{place}"):
+            raise FileExistsError(place)
+        self.spark.createDataFrame([entry], CATALOG_SCHEMA).coalesce(1).write.parquet(f"{self.catalog_path}/{place}")
         return entry
 
+    def update_entry(self, entry: dict, changes: dict, unless: str | None = None) -> dict:
+        """Commit changes on top of the newest version of this index.
+
+        With ``unless`` nothing is written if that field has a value by then. A claim whose writer has died
+        is passed over after ``_CLAIM_SECONDS``.
+        """
+        waited, skipped = 0.0, 0
+        while True:
+            newest = self.newest(entry["index_name"])
+            if newest is None or newest["dropped"] or newest["index_uid"] != entry["index_uid"]:
+                raise LookupError(f"no index named {entry['index_name']!r}")
+            if unless is not None and newest[unless] is not None:
+                return newest
+            try:
+                return self.append_entry({**newest, **changes, "version": newest["version"] + skipped})
+            except FileExistsError:
+                time.sleep(_CLAIM_POLL)
+                waited += _CLAIM_POLL
+                if waited > _CLAIM_SECONDS:
+                    waited, skipped = 0.0, skipped + 1
+
     def index_path(self, entry: dict) -> str:
         return f"{self.root}/{entry['index_name']}/{entry['index_uid']}"
 
@@ -120,6 +165,11 @@ def next_seq(batches: list[str]) -> int:
     return 1 + max((int(name.split("-", 1)[0]) for name in batches), default=0)
 
 
+def known_seq(batches: list[str], mark: str | None) -> int | None:
+    """The number under which a marked change set was written, if it was."""
+    return next((int(name.split("-", 1)[0]) for name in batches if mark and name.split("-", 1)[1] == mark), None)
+
+
 def write_changes(
     changes: DataFrame,
     log_path: str,

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from vicinal.operators.items import latest
-from vicinal.sources.index_store import write_changes
-
-_BATCHES_PER_VERSION = 1 << 32
+from vicinal.sources.index_store import Folder, known_seq, next_seq, write_changes
 
 
 def upsert_stream(
     stream: DataFrame,
     log_path: str,
     checkpoint: str,
-    version: int = 0,
     order_col: str | None = None,
     encrypted: list[str] | None = None,
     key_df: DataFrame | None = None,
@@ -25,19 +23,26 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Append a stream of ``(id, vector, contents, metadata, op)`` to a change log.
 
-    Each micro-batch becomes one log batch under the sequence number
-    ``version * 2**32 + batch id``. A replayed micro-batch overwrites its own directory,
-    so a restart adds nothing twice. ``order_col`` says which change of an id wins
-    within a micro-batch; it must be given unless ids are unique there. A stream that
-    carries its own ``seq`` keeps it: the greatest one wins whatever order the changes
-    arrive in, and late ones lose. All writers of such a log then number that way.
+    Each micro-batch becomes one log batch under the next number of the log, as a batch write would; a
+    replayed micro-batch overwrites its own directory and keeps its number, so a restart adds nothing
+    twice. ``order_col`` says which change of an id wins within a micro-batch; it must be given unless ids
+    are unique there. A stream that carries its own ``seq`` keeps it: the greatest one wins whatever order the
+    changes arrive in. Rows are taken as they are: ``VectorIndex.upsert_stream`` checks them.
     """
+    folder = Folder(stream.sparkSession)
 
-    def append(batch: DataFrame, batch_id: int) -> None:
+    def append(batch: DataFrame, mark: str) -> None:
         changes = batch if order_col is None else latest(batch, [order_col])
-        write_changes(changes, log_path, version * _BATCHES_PER_VERSION + batch_id, "stream", encrypted, key_df)
+        known = folder.committed(log_path)
+        write_changes(changes, log_path, known_seq(known, mark) or next_seq(known), mark, encrypted, key_df)
+
+    return stream_batches(stream, append, checkpoint, available_now)
+
 
-    return _start(stream, append, checkpoint, available_now)
+def stream_batches(stream: DataFrame, write: Callable[[DataFrame, str], None], checkpoint: str, available_now: bool) -> StreamingQuery:
+    """Hand every micro-batch to ``write`` with a mark that is the same when it is replayed."""
+    source = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    return _start(stream, lambda batch, batch_id: write(batch, f"stream-{source}-{batch_id}"), checkpoint, available_now)
 
 
 def query_stream(
