@@ -17,6 +17,7 @@ from __future__ import annotations
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,12 @@ class Folder:
         """Create an empty file; False if it exists."""
         system, path = self._path(path)
         system.mkdirs(path.getParent())
-        return system.createNewFile(path)
+        try:
+            return system.createNewFile(path)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
 
     def names(self, path: str) -> list[str]:
         system, pattern = self._path(f"{path}/*")
