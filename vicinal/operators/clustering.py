@@ -30,6 +30,8 @@ from vicinal.options import (
 MAX_LISTS = 1 << 18
 _CENTROID_BYTES = 512 << 20
 _DENSE_CELLS = 1 << 22
+# Wider vectors are added up component by component, with a row for each.
+_SUMMED_WIDTH = 128
 _SEED_SLOTS = 1 << 40
 
 
@@ -167,8 +169,13 @@ def _sum_batches(books, sums):
             )
 
 
-def mean_vectors(sums: DataFrame) -> DataFrame:
-    """Add up the per-task sums: ``(sub, cell, centroid, n)``."""
+def mean_vectors(sums: DataFrame, width: int) -> DataFrame:
+    """Add up the per-task sums of vectors of one width: ``(sub, cell, centroid, n)``."""
+    if width <= _SUMMED_WIDTH:
+        each = [F.sum(F.get("total", F.lit(n))).alias(f"x{n}") for n in range(width)]
+        added = sums.groupBy("sub", "cell").agg(F.sum("n").alias("n"), *each)
+        means = F.array(*[F.col(f"x{n}") / F.col("n") for n in range(width)])
+        return added.select("sub", "cell", means.alias("centroid"), "n")
     flat = sums.select("sub", "cell", "n", F.posexplode("total").alias("pos", "x"))
     added = flat.groupBy("sub", "cell", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
     # At most one row per vector component is collected per centroid.
@@ -182,7 +189,7 @@ def mean_vectors(sums: DataFrame) -> DataFrame:
 def _means(items: DataFrame, known: Centroids, metric: str | None, digits: int | None, block_rows: int | None = None) -> DataFrame:
     vectors = items.filter(F.col("vector").isNotNull())
     vectors = vectors.select(training_vector("vector", check_metric(metric)).alias("vector"))
-    return mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits, block_rows)).select("cell", "centroid", "n")
+    return mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits, block_rows), known.matrix.shape[1]).select("cell", "centroid", "n")
 
 
 def lloyd_step(
@@ -286,15 +293,19 @@ def train_centroids(
     if n_lists > most_lists(width):
         raise ValueError(f"n_lists must not exceed {most_lists(width)} at dimension {width}")
     rows = block_rows(batch_size, max_memory, n_lists)
-    vectors = items.select(F.lit(0).alias("grp"), training_vector("vector", metric).alias("vector"))
-    matrix = to_matrix(first_vectors(vectors, 1, n_lists, seed)["vector"])
-    known = Centroids(np.arange(len(matrix)), matrix, np.zeros(len(matrix), np.int64))
-    for _ in range(max(1, DEFAULT_MAX_ITERS if max_iters is None else max_iters)):
-        moved = lloyd_round(items, known, metric, block_rows=rows)
-        shift = np.square(moved.matrix - known.matrix).sum(axis=1).max()
-        known = moved
-        if shift <= (DEFAULT_TOLERANCE if tolerance is None else tolerance) ** 2:
-            break
+    # Decrypted and scaled once for all rounds; a lost part is computed again.
+    vectors = items.select(training_vector("vector", metric).alias("vector")).persist()
+    try:
+        matrix = to_matrix(first_vectors(vectors.select(F.lit(0).alias("grp"), "vector"), 1, n_lists, seed)["vector"])
+        known = Centroids(np.arange(len(matrix)), matrix, np.zeros(len(matrix), np.int64))
+        for _ in range(max(1, DEFAULT_MAX_ITERS if max_iters is None else max_iters)):
+            moved = lloyd_round(vectors, known, block_rows=rows)
+            shift = np.square(moved.matrix - known.matrix).sum(axis=1).max()
+            known = moved
+            if shift <= (DEFAULT_TOLERANCE if tolerance is None else tolerance) ** 2:
+                break
+    finally:
+        vectors.unpersist()
     return known
 
 

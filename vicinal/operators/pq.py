@@ -82,7 +82,7 @@ def pq_step(items: DataFrame, books: DataFrame, metric: str | None = None, digit
     vectors = items.filter(F.col("vector").isNotNull())
     vectors = vectors.select(training_vector("vector", check_metric(metric)).alias("vector"))
     known = load_books(books)
-    means = mean_vectors(partial_sums(vectors, _as_pairs(known), digits)).withColumnRenamed("cell", "code")
+    means = mean_vectors(partial_sums(vectors, _as_pairs(known), digits), known.shape[2]).withColumnRenamed("cell", "code")
     before = _as_rows(items.sparkSession, known).withColumnRenamed("centroid", "before")
     return before.join(means, ["sub", "code"], "left").select(
         "sub", "code", F.coalesce("centroid", "before").alias("centroid"), F.coalesce("n", F.lit(0)).alias("n")
@@ -113,17 +113,21 @@ def train_pq(
     check_pq(width, pq_dim, pq_bits)
     words, part = 1 << pq_bits, width // pq_dim
     rows = block_rows(batch_size, max_memory, words)
-    vectors = items.select(training_vector("vector", metric).alias("vector"))
-    cut = F.transform(F.sequence(F.lit(0), F.lit(pq_dim - 1)), lambda sub: F.slice("vector", sub * part + 1, F.lit(part)))
-    books = _seed_books(first_vectors(vectors.select(F.posexplode(cut).alias("grp", "vector")), pq_dim, words, seed), pq_dim, words)
-    for _ in range(DEFAULT_MAX_ITERS if max_iters is None else max_iters):
-        moved = books.copy()
-        for row in mean_vectors(partial_sums(vectors, _as_pairs(books), None, rows)).toLocalIterator():
-            moved[row["sub"], row["cell"]] = row["centroid"]
-        shift = np.nanmax(np.square(moved - books).sum(axis=2))
-        books = moved
-        if shift <= (DEFAULT_TOLERANCE if tolerance is None else tolerance) ** 2:
-            break
+    vectors = items.select(training_vector("vector", metric).alias("vector")).persist()
+    try:
+        cut = F.transform(F.sequence(F.lit(0), F.lit(pq_dim - 1)), lambda sub: F.slice("vector", sub * part + 1, F.lit(part)))
+        seeds = first_vectors(vectors.select(F.posexplode(cut).alias("grp", "vector")), pq_dim, words, seed)
+        books = _seed_books(seeds, pq_dim, words)
+        for _ in range(DEFAULT_MAX_ITERS if max_iters is None else max_iters):
+            moved = books.copy()
+            for row in mean_vectors(partial_sums(vectors, _as_pairs(books), None, rows), part).collect():
+                moved[row["sub"], row["cell"]] = row["centroid"]
+            shift = np.nanmax(np.square(moved - books).sum(axis=2))
+            books = moved
+            if shift <= (DEFAULT_TOLERANCE if tolerance is None else tolerance) ** 2:
+                break
+    finally:
+        vectors.unpersist()
     return _as_rows(items.sparkSession, books)
 
 
