@@ -57,6 +57,13 @@ class Folder:
         """Create an empty file; False if it exists."""
         system, path = self._path(path)
         system.mkdirs(path.getParent())
+        if system.getUri().getScheme() == "file":
+            # Hadoop's local file system looks first and creates then, which two writers may do at once.
+            try:
+                with open(path.toUri().getPath(), "x"):
+                    return True
+            except FileExistsError:
+                return False
         try:
             return system.createNewFile(path)
         except Py4JJavaError as error:
