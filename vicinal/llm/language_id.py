@@ -37,10 +37,11 @@ def _letters() -> np.ndarray:
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The letters of all texts in lower case, anything else 0, and where each text begins.
 
-    Two zeros follow every text, so no n-gram reaches from one text to the next.
+    Two zeros stand before every text and after the last, so an n-gram that begins in the part of a text,
+    zeros included, has letters of that text alone.
     """
     lower = [t.lower() for t in texts]
-    points = np.frombuffer("\0\0".join([*lower, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    points = np.frombuffer("\0\0".join(["", *lower, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     starts = np.cumsum([0] + [len(t) + 2 for t in lower])
     return np.where(_letters()[points], points, 0).astype(np.uint32), starts
 
@@ -83,7 +84,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
                 row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(starts))
                 seen = np.zeros((rows, FEATURES + 1), bool)
                 for features in _features(codes):
-                    seen[row[: len(features)], features] = True
+                    seen[row, features[: len(row)]] = True
                 seen[:, FEATURES] = True
                 sums += seen.sum(axis=0)
         kept = np.flatnonzero(sums)
