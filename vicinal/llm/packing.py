@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Search steps of one bin completion before its best filling so far is taken.
 MAX_STEPS = 4_000
+#: Nodes of the search over whole plans, and nodes times different lengths; fillings that a node branches over.
+MAX_NODES, MAX_LENGTHS, ALTERNATIVES = 2_000, 200_000, 8
 #: Texts of other white space are encoded whole, and words of other characters by the tokenizer.
 ODD_SPACE = regex.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u206f\u3000\ufeff]")
 PLAIN_WORD = regex.compile(r"[!-;=-~\u00a1-\u00ff]+")
@@ -219,30 +222,158 @@ def best_filling(gap: int, counts: np.ndarray, max_steps: int = MAX_STEPS) -> li
     return best
 
 
-def plan_sequences(counts: np.ndarray, capacity: int) -> np.ndarray:
-    """Slots for all pieces, from the number of pieces of each length.
+#: One sequence's lengths and the number of sequences that are filled so.
+Filling = tuple[list[int], int]
+
+
+def best_fit(counts: np.ndarray, capacity: int) -> list[Filling]:
+    """Best-fit-decreasing for all pieces: of the sequences that a piece fits into it joins the fullest.
 
-    Each round completes a bin around the longest remaining piece and repeats the filling as often as the
-    pieces last. Rows: length, first rank, last rank + 1, first sequence, offset, pieces of this length
-    in one sequence. The number of rows depends on the capacity, hardly on the number of pieces.
+    Sequences filled alike are one group. A piece joins the group with the least room that suffices, and so do
+    the next of its length until that room is used; a step splits at most one group, whatever the counts.
     """
-    left, taken = counts.astype(np.int64).copy(), np.zeros(len(counts), np.int64)
-    slots, sequence, longest = [], 0, capacity
+    rooms: list[int] = []
+    groups: dict[int, list[tuple[list[int], int]]] = {}
+    done: list[Filling] = []
+
+    def add(room: int, filling: list[int], copies: int) -> None:
+        if not room:
+            done.append((filling, copies))
+            return
+        if room not in groups:
+            groups[room] = []
+            insort(rooms, room)
+        groups[room].append((filling, copies))
+
+    for n in np.flatnonzero(counts)[::-1].tolist():
+        pieces = int(counts[n]) if n else 0
+        while pieces:
+            at = bisect_left(rooms, n)
+            if at < len(rooms):
+                room = rooms[at]
+                filling, copies = groups[room].pop()
+                if not groups[room]:
+                    del groups[room], rooms[at]
+            else:
+                room, filling, copies = capacity, [], pieces
+            k = room // n
+            full = min(copies, pieces // k)
+            pieces -= full * k
+            if full:
+                add(room - k * n, filling + [n] * k, full)
+            left = copies - full
+            if left and pieces:
+                # Fewer than k pieces are left; they share one sequence.
+                add(room - pieces * n, filling + [n] * pieces, 1)
+                left, pieces = left - 1, 0
+            if left and filling:
+                add(room, filling, left)
+    return done + [x for own in groups.values() for x in own]
+
+
+def _sequences(fillings: list[Filling]) -> int:
+    return sum(copies for _, copies in fillings)
+
+
+def least_sequences(counts: np.ndarray, capacity: int) -> int:
+    """No plan has fewer: the total over the capacity, and no two pieces of more than half share a sequence."""
+    total = int((counts * np.arange(len(counts))).sum())
+    return max(-(-total // capacity), int(counts[capacity // 2 + 1 :].sum()))
+
+
+def _complete_bins(counts: np.ndarray, capacity: int) -> list[Filling]:
+    """Rounds that fill a sequence around the longest remaining piece and repeat it as often as the pieces last."""
+    left, longest, fillings = counts.copy(), capacity, []
     while True:
         while longest > 0 and not left[longest]:
             longest -= 1
         if not longest:
-            break
+            return fillings
         left[longest] -= 1
         filling = [longest, *best_filling(capacity - longest, left)]
         left[longest] += 1
         used, times = np.unique(filling, return_counts=True)
         copies = int((left[used] // times).min())
+        left[used] -= copies * times
+        fillings.append((filling, copies))
+
+
+def fillings_around(longest: int, counts: np.ndarray, capacity: int) -> list[list[int]]:
+    """Fillings with the longest piece that no remaining piece fits into, those of least waste first."""
+    lengths = [n for n in np.flatnonzero(counts[: longest + 1])[::-1].tolist() if n]
+    left = {n: int(counts[n]) for n in lengths}
+    left[longest] -= 1
+    found, steps = [], 0
+
+    def search(rest: int, at: int, chosen: list[int]) -> None:
+        nonlocal steps
+        for k in range(at, len(lengths)):
+            n = lengths[k]
+            if n > rest or not left[n]:
+                continue
+            steps += 1
+            if steps > MAX_STEPS:
+                return
+            left[n] -= 1
+            search(rest - n, k, [*chosen, n])
+            left[n] += 1
+        if not any(n <= rest and left[n] for n in lengths):
+            found.append((rest, chosen))
+
+    search(capacity - longest, 0, [longest])
+    return [chosen for _, chosen in sorted(found, key=lambda x: (x[0], [-n for n in x[1]]))[:ALTERNATIVES]]
+
+
+def _branch(counts: np.ndarray, capacity: int, best: list[Filling]) -> list[Filling]:
+    """The best plan that branching over the fillings around the longest piece finds, starting from an incumbent.
+
+    A branch takes a filling as often as its pieces last, or half as often, and ends when its lower bound reaches the
+    incumbent; best fit completes every branch. The search ends with a plan that meets the lower bound, or after a fixed number of nodes.
+    """
+    least, fewest = least_sequences(counts, capacity), _sequences(best)
+    nodes = min(MAX_NODES, MAX_LENGTHS // max(1, np.count_nonzero(counts)))
+    stack = [(counts, [], 0, None, 0)]
+    while stack and nodes > 0 and fewest > least:
+        nodes -= 1
+        left, plan, used, filling, copies = stack.pop()
+        if filling is not None:
+            own, times = np.unique(filling, return_counts=True)
+            left, plan, used = left.copy(), [*plan, (filling, copies)], used + copies
+            left[own] -= copies * times
+        if used + least_sequences(left, capacity) >= fewest:
+            continue
+        whole = plan + best_fit(left, capacity)
+        if _sequences(whole) < fewest:
+            best, fewest = whole, _sequences(whole)
+        some = np.flatnonzero(left)
+        if not some[some > 0].size:
+            continue
+        for option in reversed(fillings_around(int(some[-1]), left, capacity)):
+            own, times = np.unique(option, return_counts=True)
+            most = int((left[own] // times).min())
+            stack += [(left, plan, used, option, n) for n in sorted({most, -(-most // 2)})]
+    return best
+
+
+def plan_sequences(counts: np.ndarray, capacity: int) -> np.ndarray:
+    """Slots for all pieces, from the number of pieces of each length.
+
+    The better of best-fit-decreasing and of completed bins is the incumbent of a branch and bound over whole plans,
+    unless it meets the lower bound; so no plan is longer than best fit. Rows: length, first rank, last rank + 1, first
+    sequence, offset, pieces of this length in one sequence. The number of rows depends on the capacity,
+    hardly on the number of pieces.
+    """
+    counts = counts.astype(np.int64)
+    fillings = _complete_bins(counts, capacity)
+    if _sequences(fillings) > least_sequences(counts, capacity):
+        fillings = _branch(counts, capacity, min(fillings, best_fit(counts, capacity), key=_sequences))
+    taken, slots, sequence = np.zeros(len(counts), np.int64), [], 0
+    for filling, copies in fillings:
+        used, times = np.unique(filling, return_counts=True)
         offset = 0
         for n, k in sorted(zip(used.tolist(), times.tolist()), reverse=True):
             slots.append((n, taken[n], taken[n] + copies * k, sequence, offset, k))
             taken[n] += copies * k
-            left[n] -= copies * k
             offset += n * k
         sequence += copies
     return np.array(sorted(slots), np.int64).reshape(-1, 6)
