@@ -276,7 +276,7 @@ def _block_links(members: DataFrame, num: int, den: int) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, id_col: str, text_col: str, size: int = 5, num: int = 80, den: int = 100
 ) -> DataFrame:
-    """``(id, n_shingles, component_id, text_hash)`` of every row.
+    """``(id, n_shingles, component_id, text_hash, class_component)`` of every row.
 
     Two texts link if their sets of word shingles have ``den * intersection >= num * union``; a component is
     named by the least id in it. Equal sets are one class and are never paired. Lists of shingles that few
@@ -287,7 +287,8 @@ def jaccard_components(
     Words are runs without blanks, ``A-Z`` in lower case. Texts without words, null ones included, have no
     shingles and are their own component. Sets are compared by 63-bit hashes of their shingles. A row
     without id takes part, but names a component only if all of it has none. Repeated rows are equal sets.
-    An empty table gives an empty result; other columns are not read.
+    ``class_component`` tells components apart where ids do not (null or repeated): the least set hash of the component,
+    null without shingles. An empty table gives an empty result; other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_text_hash"))
     frequent, list_length = frequent_shingles(stored(_sketches(rows, size, num, den, np.zeros(0, np.uint64)), "sketches"))
@@ -345,8 +346,9 @@ def jaccard_components(
     named = classes.select("cid", "rep").join(final.withColumnRenamed("node", "cid"), "cid", "left")
     named = named.withColumn("component", F.coalesce("component", "cid"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    names = named.join(least, "component").select("cid", "component_id")
+    names = named.join(least, "component").select("cid", "component_id", F.col("component").alias("class_component"))
     return sketches.join(names, "cid", "left").select(
         F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"), F.col("_text_hash").alias("text_hash"),
+        "class_component",
     )

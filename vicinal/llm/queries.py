@@ -28,7 +28,7 @@ RULES = (
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir), "doc_id", "text", size=3, num=90, den=100).drop("text_hash")
+    return jaccard_components(documents(spark, sf_dir), "doc_id", "text", size=3, num=90, den=100).drop("text_hash", "class_component")
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
