@@ -16,8 +16,10 @@ from vicinal.llm.word_hashes import windows, word_hashes, word_places
 WINDOW, LEAST_WORDS = 8, 4
 #: So many windows of an item, or half of them if that is less, make a document contaminated: 13 words in a row.
 ENOUGH = 6
-#: Items of fewer words are too common to be looked for.
+#: Items of fewer words have no template; they are looked for word by word.
 SHORTEST = 5
+#: How sentence beginnings are read in a window: as words, as names, either way the same; or all words as they are.
+AS_WORDS, AS_NAMES, ALIKE, EXACT = 0, 1, 2, 3
 
 #: Units that follow a number.
 UNITS = (
@@ -32,6 +34,7 @@ NUMBERS = (
     "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million"
 ).split()
 _NUMBER, _UNIT, _NAME = (np.uint64(k) for k in (1, 2, 3))
+_EXACT_SALT = np.uint64(0x5DEECE66D1CE4E5B)
 
 
 def _hashes_of(words: list[str]) -> np.ndarray:
@@ -46,24 +49,46 @@ def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
-def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For all words of all texts: the word's hash, its template hash, and the first word of each text.
+def _single_letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where letters of scripts without blanks begin and end, each a word; and the bytes of their punctuation.
 
-    Words are runs of letters and digits; a dot or comma between digits belongs to the number, other ASCII
-    punctuation separates. A word that begins with a digit, and a number word, becomes the number
-    placeholder; a unit right after one the unit placeholder; a capitalised word that begins no sentence the name
-    placeholder.
+    Thai, Lao, Burmese, Khmer, kana, bopomofo and Han letters; U+3000 to U+303F and full-width signs.
+    """
+    leads = np.flatnonzero(data >= 0xE0)
+    lead, second, third = data[leads], *(data[np.minimum(leads + k, len(data) - 1)] for k in (1, 2))
+    letter = (lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    letter |= (lead == 0xE1) & ((second >= 0x80) & (second <= 0x81) | (second == 0x82) & (third <= 0x9F) | (second >= 0x9E) & (second <= 0x9F))
+    letter |= (lead == 0xE3) & (second >= 0x81) | (lead >= 0xE4) & (lead <= 0xE9)
+    letter |= (lead == 0xEF) & (second >= 0xA4) & (second <= 0xAB) | (lead == 0xF0) & (second >= 0xA0)
+    wide = (second == 0xBC) & ((third <= 0x8F) | (third >= 0x9A) & (third <= 0xA0) | (third >= 0xBB))
+    wide |= (second == 0xBD) & ((third == 0x80) | (third >= 0x9B) & (third <= 0xA5))
+    signs = leads[(lead == 0xE3) & (second == 0x80) | (lead == 0xEF) & wide]
+    letters = leads[letter]
+    cuts = np.concatenate([letters, letters + np.where(data[letters] >= 0xF0, 4, 3)])
+    return np.minimum(cuts, len(data)), (signs[:, None] + np.arange(3)).ravel()
+
+
+def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For all words of all texts: the word's hash, its template hash, the same with names at sentence beginnings, and
+    the first word of each text.
+
+    Words are runs of letters and digits, and single letters of scripts without blanks; a dot or comma between digits
+    belongs to the number, other ASCII and full-width punctuation separates. A word that begins with a digit, and a
+    number word, becomes the number placeholder; a unit right after one the unit placeholder; a capitalised word the
+    name placeholder, one that begins a sentence only in the second template.
     """
     data, rows = text_bytes(texts)
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(len(rows), np.int64)
+        return *(np.zeros(0, np.uint64) for _ in range(3)), np.zeros(len(rows), np.int64)
     digit = (data >= 48) & (data <= 57)
     upper = (data >= 65) & (data <= 90)
     lower = (data >= 97) & (data <= 122)
     inside = digit | upper | lower | (data >= 128)
     point = (data == 46) | (data == 44)
     inside[1:-1] |= point[1:-1] & digit[:-2] & digit[2:]
-    starts, ends, first = word_places(inside, rows)
+    cuts, signs = _single_letters(data)
+    inside[signs] = False
+    starts, ends, first = word_places(inside, rows, cuts)
     words = word_hashes(data, starts, ends)
     number = digit[starts] | _within(words, _NUMBER_HASHES)
     after_number = np.zeros(len(words), bool)
@@ -80,49 +105,63 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     long_upper = (data[starts] == 0xC3) & (second >= 0x80) & (second <= 0x9E)
     tail = np.minimum(starts + np.where(long_upper, 2, 1), len(data) - 1)
     goes_on = (lower[tail] | (data[tail] >= 128)) & (tail < ends)
-    name = (upper[starts] | long_upper) & goes_on & ~begins
-    hashes = np.where(name, _NAME, words)
-    hashes = np.where(after_number & _within(words, _UNIT_HASHES), _UNIT, hashes)
-    return words, np.where(number, _NUMBER, hashes), first
-
-
-def _windows(texts: pa.Array, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each window size: its windows' hashes, texts and places, and all word and template hashes."""
-    words, hashes, first = template(texts)
+    capital = (upper[starts] | long_upper) & goes_on
+    found = []
+    for name in (capital & ~begins, capital):
+        hashes = np.where(name, _NAME, words)
+        hashes = np.where(after_number & _within(words, _UNIT_HASHES), _UNIT, hashes)
+        found.append(np.where(number, _NUMBER, hashes))
+    return words, *found, first
+
+
+def _windows(read: tuple, size: int, exact: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each way to read the texts: its number, its windows' hashes and places, and the hash of every word so read."""
+    words, hashes, names, first = read
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    plain = np.concatenate([[0], np.cumsum(hashes > 3)])
-    for size in sizes:
-        found = windows(hashes, size)
-        at = np.arange(len(found))
-        literal = plain[size:] - plain[: len(found)] if len(found) else np.zeros(0, np.int64)
-        whole = (row[: len(found)] == row[size - 1 :]) & (literal >= min(LEAST_WORDS, size - 1)) if len(found) else np.zeros(0, bool)
-        yield size, found, at[whole], row, first
+    count = max(0, len(words) - size + 1)
+    one_text = row[:count] == row[size - 1 :] if count else np.zeros(0, bool)
+    if exact:
+        yield EXACT, windows(words, size) ^ _EXACT_SALT, np.flatnonzero(one_text), words
+        return
+    differ = np.concatenate([[0], np.cumsum(hashes != names)])
+    alike = differ[size:] == differ[:count] if count else np.zeros(0, bool)
+    for way, some, own in ((ALIKE, hashes, alike), (AS_WORDS, hashes, ~alike), (AS_NAMES, names, ~alike)):
+        plain = np.concatenate([[0], np.cumsum(some > 3)])
+        literal = plain[size:] - plain[:count] if count else np.zeros(0, np.int64)
+        at = np.flatnonzero(one_text & own & (literal >= min(LEAST_WORDS, size - 1)))
+        if len(at):
+            yield way, windows(some, size), at, some
 
 
 def _item_windows(items: DataFrame, item_col: str, text_col: str, window: int) -> DataFrame:
-    """``(item_id, size, place, hash, words, slots)``: a short item is one window, any other all its windows."""
+    """``(item_id, size, way, place, hash, words, slots)``: a short item is one window, any other all its windows.
+
+    An item without a template window, and one of few words, gives the windows of its words as they are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
-                text = batch.column("_text").slice(n, 1)
-                words, hashes, _ = template(text)
+                read = template(batch.column("_text").slice(n, 1))
+                words = read[0]
                 size = min(window, len(words))
-                if size < min(SHORTEST, window):
+                if not size:
                     continue
-                for _, found, at, _, _ in _windows(text, [size]):
+                found = list(_windows(read, size, False)) if size >= min(SHORTEST, window) else []
+                for way, hashes, at, some in found or _windows(read, size, True):
+                    slots = np.where(some <= 3, some, 0).astype(np.uint64) if way != EXACT else np.zeros_like(words)
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("_item").take(pa.array(np.full(len(at), n))), pa.array(np.full(len(at), size), pa.int32()),
-                            pa.array(at, pa.int32()), pa.array(found[at].view(np.int64)),
-                            _lists(words, at, size), _lists(np.where(hashes <= 3, hashes, 0).astype(np.uint64), at, size),
+                            pa.array(np.full(len(at), way), pa.int32()), pa.array(at, pa.int32()), pa.array(hashes[at].view(np.int64)),
+                            _lists(words, at, size), _lists(slots, at, size),
                         ],
-                        ["item_id", "size", "place", "hash", "words", "slots"],
+                        ["item_id", "size", "way", "place", "hash", "words", "slots"],
                     )
 
     kind = dict(items.dtypes)[item_col]
     return items.select(F.col(item_col).alias("_item"), F.col(text_col).alias("_text")).mapInArrow(
-        run, f"item_id {kind}, size int, place int, hash bigint, words array<bigint>, slots array<bigint>"
+        run, f"item_id {kind}, size int, way int, place int, hash bigint, words array<bigint>, slots array<bigint>"
     )
 
 
@@ -131,15 +170,17 @@ def _lists(values: np.ndarray, at: np.ndarray, size: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * size, pa.int32()), pa.array(flat))
 
 
-def _document_windows(docs: DataFrame, sizes: list[int], bits: np.ndarray) -> DataFrame:
-    """``(_id, at, hash, texts)``: the windows of all texts whose hash an item may have."""
+def _document_windows(docs: DataFrame, sizes: list[tuple[int, bool]], bits: np.ndarray) -> DataFrame:
+    """``(_id, at, way, hash, said)``: the windows of all texts whose hash an item may have."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "_text"):
-                words = template(part.column("_text"))[0]
-                for size, found, at, row, first in _windows(part.column("_text"), sizes):
+                read = template(part.column("_text"))
+                words, first = read[0], read[-1]
+                row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+                for size, way, found, at, _ in ((size, *x) for size, exact in sizes for x in _windows(read, size, exact)):
                     place = found[at] % np.uint64(BITMAP_BITS)
                     word = shared.value[(place >> np.uint64(6)).astype(np.int64)]
                     kept = at[(word >> (place & np.uint64(63))) & np.uint64(1) == 1]
@@ -147,14 +188,14 @@ def _document_windows(docs: DataFrame, sizes: list[int], bits: np.ndarray) -> Da
                         rows = row[kept]
                         yield pa.RecordBatch.from_arrays(
                             [
-                                part.column("_id").take(pa.array(rows)), pa.array(kept - first[rows], pa.int64()),
+                                part.column("_id").take(pa.array(rows)), pa.array(kept - first[rows], pa.int64()), pa.array(np.full(len(kept), way), pa.int32()),
                                 pa.array(found[kept].view(np.int64)), _lists(words, kept, size),
                             ],
-                            ["_id", "at", "hash", "said"],
+                            ["_id", "at", "way", "hash", "said"],
                         )
 
     kind = dict(docs.dtypes)["_id"]
-    return docs.mapInArrow(run, f"_id {kind}, at bigint, hash bigint, said array<bigint>")
+    return docs.mapInArrow(run, f"_id {kind}, at bigint, way int, hash bigint, said array<bigint>")
 
 
 def _item_bits(items: DataFrame) -> np.ndarray:
@@ -178,36 +219,47 @@ def contaminated(
     alignments, others always. A document holds an item if ``ENOUGH`` of its windows, or half of
     them, are matched; ``changed`` tells that some placeholder has another value.
 
-    Items of fewer than five words are not looked for; a shorter item than a window is one window. Null and
+    Capitalised words that begin a sentence are read as words and as names, in alignments of their own. Items of fewer
+    than five words, or without a window of enough words that are no placeholders, are held if all their words
+    follow each other in the document. A shorter item than a window is one window. Null and
     empty texts match nothing, an empty table on either side gives an empty result. Rows with the same id are
     one document, null being an id like any other. Other columns are not read.
     """
     ours = stored(_item_windows(items, item_col, item_text_col, window), "items")
-    totals = ours.groupBy("item_id").agg(F.count_distinct("place").alias("item_windows"))
-    sizes = sorted(r["size"] for r in ours.select("size").distinct().collect())  # at most one for each size up to the window
+    totals = ours.groupBy("item_id").agg(
+        F.count_distinct("place").alias("item_windows"), F.max(F.col("way") == EXACT).alias("exact")
+    )
+    # At most two for each size up to the window.
+    sizes = sorted((r["size"], r["exact"]) for r in ours.select("size", (F.col("way") == EXACT).alias("exact")).distinct().collect())
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     found = stored(_document_windows(rows, sizes, _item_bits(ours)), "windows")
 
     pair = F.arrays_zip(F.col("slots").alias("kind"), F.col("words").alias("item"), F.col("said").alias("doc"))
     slots = F.filter(pair, lambda x: x["kind"] != 0)
-    matched = found.join(ours, "hash").select(
-        "_id", "item_id", (F.col("at") - F.col("place")).alias("shift"), "place", slots.alias("slots")
+    # Windows without a sentence beginning belong to both ways to read one.
+    theirs, own = F.col("found.way"), F.col("ours.way")
+    ways = F.when(own == EXACT, F.array(F.lit(EXACT))).when((theirs == AS_NAMES) | (own == AS_NAMES), F.array(F.lit(AS_NAMES))).when(
+        (theirs == AS_WORDS) | (own == AS_WORDS), F.array(F.lit(AS_WORDS))
+    ).otherwise(F.array(F.lit(AS_WORDS), F.lit(AS_NAMES)))
+    matched = found.alias("found").join(ours.alias("ours"), "hash").select(
+        "_id", "item_id", (F.col("at") - F.col("place")).alias("shift"), F.explode(ways).alias("way"), "place", slots.alias("slots")
     ).distinct()
     # Per alignment: the windows with and without placeholders, and which values stand for which.
-    aligned = matched.groupBy("_id", "item_id", "shift").agg(
+    aligned = matched.groupBy("_id", "item_id", "shift", "way").agg(
         F.collect_set("place").alias("all"), F.collect_set(F.when(F.size("slots") == 0, F.col("place"))).alias("plain"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
     )
     values = F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["item"])))
     consistent = F.size("slots") == F.size(values)
+    # An exact copy is counted at one distance alone.
     counted = aligned.select(
-        "_id", "item_id", F.when(consistent, F.col("all")).otherwise(F.col("plain")).alias("places"),
+        "_id", "item_id", F.when(F.col("way") == EXACT, F.col("shift")).alias("shift"), F.when(consistent, F.col("all")).otherwise(F.col("plain")).alias("places"),
         (consistent & F.exists("slots", lambda x: x["item"] != x["doc"])).alias("changed"),
     )
-    held = counted.select("_id", "item_id", "changed", F.explode("places").alias("place")).groupBy("_id", "item_id").agg(
+    held = counted.select("_id", "item_id", "shift", "changed", F.explode("places").alias("place")).groupBy("_id", "item_id", "shift").agg(
         F.count_distinct("place").alias("n_windows"), F.max("changed").alias("changed")
-    )
-    enough = F.least(F.lit(ENOUGH), F.ceil(F.col("item_windows") / 2))
+    ).groupBy("_id", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("changed").alias("changed"))
+    enough = F.when(F.col("exact"), F.col("item_windows")).otherwise(F.least(F.lit(ENOUGH), F.ceil(F.col("item_windows") / 2)))
     return held.join(totals, "item_id").filter(F.col("n_windows") >= enough).select(
         F.col("_id").alias(id_col), "item_id", "n_windows", "item_windows", "changed"
     )

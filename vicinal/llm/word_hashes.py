@@ -42,13 +42,16 @@ def blanks(data: np.ndarray) -> np.ndarray:
     return (data == 32) | ((data >= 9) & (data <= 13))
 
 
-def word_places(inside: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_places(inside: np.ndarray, rows: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where words start and end, and the first word of each row (one more entry than rows).
 
     ``inside`` is true at the bytes of words; ``rows`` is where each row begins and the last one ends.
+    No word goes across a place in ``cuts``.
     """
     first = np.zeros(len(inside) + 1, bool)
     first[rows] = True
+    if cuts is not None:
+        first[cuts] = True
     before = np.empty(len(inside), bool)
     before[:1] = False
     before[1:] = inside[:-1]
