@@ -101,7 +101,8 @@ def sample_vectors(sample: DataFrame) -> pd.DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "_text", 1):
+            for n in range(batch.num_rows):
+                part = batch.slice(n, 1)
                 found = np.concatenate(_features(_codes(_texts(part))[0]))
                 features, counts = np.unique(found[found < FEATURES], return_counts=True)
                 yield pa.RecordBatch.from_arrays(
