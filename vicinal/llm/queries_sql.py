@@ -93,4 +93,66 @@ FROM ruled LEFT JOIN hosts USING (host)
 """
 
 
-SQL: dict[str, str] = {"op1_jaccard_join": _JACCARD, "op4_sharding": _SHARD, "op6_url_filters": _url_sql()}
+#: CRC-32 of a text ``{0}`` by the table ``t`` of 256 entries, byte by byte.
+_CRC_TABLE = """table_of AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(i))
+)"""
+
+_WARC = """
+WITH paid AS (
+    SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), firsts AS (
+    SELECT payload, max(page_id) AS first FROM paid WHERE n >= 1000 GROUP BY payload HAVING count(*) > 1
+), marked AS (
+    SELECT p.*, CASE WHEN f.first IS NOT NULL AND p.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+    FROM paid p LEFT JOIN firsts f ON p.payload = f.payload
+)
+SELECT page_id, n AS payload_bytes, sha1(payload) AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM marked
+"""
+
+
+def _merkle_sql(below: int = 7, above: int = 4) -> str:
+    """As many levels as 16^7 documents of a source and 16^4 sources need; groups of one node stand still."""
+    def field(name: str) -> str:
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE octet_length(encode(CAST({name} AS VARCHAR))) || ':' || CAST({name} AS VARCHAR) END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+
+    steps, last, pos, total = [], "placed", "pos", "total"
+    for n in range(below + above):
+        group, at = ("g", f"{pos}") if n < below else ("0", f"{pos}")
+        if n == below:
+            steps.append(f"""top AS (SELECT *, digest AS subroot, dense_rank() OVER (ORDER BY g) - 1 AS tpos FROM {last}), wide AS (
+    SELECT * EXCLUDE (pos, total, tpos), tpos AS pos, max(tpos) OVER () + 1 AS total FROM top)""")
+            last = "wide"
+        steps.append(f"""node{n} AS (SELECT DISTINCT {group} AS h, pos, total, digest FROM {last}), run{n} AS (
+    SELECT h, pos // 16 AS up, list(digest ORDER BY pos) AS run FROM node{n} WHERE total > 1 GROUP BY ALL
+), met{n} AS (
+    SELECT l.*, array_to_string(r.run[1:pos % 16], '') AS x, array_to_string(r.run[pos % 16 + 2:], '') AS y, array_to_string(r.run, '') AS whole
+    FROM {last} l LEFT JOIN run{n} r ON l.{'g' if n < below else 'zero'} = r.h AND l.pos // 16 = r.up AND l.total > 1
+), level{n} AS (
+    SELECT * EXCLUDE (x, y, whole) REPLACE (CASE WHEN total > 1 THEN sha256(whole) ELSE digest END AS digest, CASE WHEN total > 1 THEN proof || x || y ELSE proof END AS proof,
+        CASE WHEN total > 1 THEN sha256(x || folded || y) ELSE folded END AS folded, pos // 16 AS pos, (total + 15) // 16 AS total) FROM met{n}
+)""")
+        last = f"level{n}"
+    return f"""
+WITH {_CRC_TABLE}, crcs AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(CAST(doc_id AS VARCHAR))),
+        lambda i: ascii(substr(CAST(doc_id AS VARCHAR), CAST(i + 1 AS BIGINT), 1))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+    FROM documents, table_of
+), leaves AS (
+    SELECT doc_id, {leaf('text')} AS leaf, CASE WHEN crc % 5 = 0 THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {leaf('text')} END AS folded,
+        CASE WHEN source IS NULL THEN 'g' ELSE 'g:' || source END AS g FROM crcs
+), placed AS (
+    SELECT doc_id, leaf, folded, g, 0 AS zero, '' AS proof, leaf AS digest, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY g) AS total FROM leaves
+), {", ".join(steps)}
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified FROM {last}
+"""
+
+
+SQL: dict[str, str] = {"op1_jaccard_join": _JACCARD, "op4_sharding": _SHARD, "op6_url_filters": _url_sql(), "op12_warc": _WARC, "op13_merkle_manifest": _merkle_sql()}
