@@ -22,10 +22,10 @@ from vicinal.llm.word_index import WordIndex, beyond_latin, rows_with
 # One task uses one core.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Search steps of one bin completion before its best filling so far is taken.
-MAX_STEPS = 4_000
-#: Nodes of the search over whole plans, and nodes times different lengths; fillings that a node branches over.
-MAX_NODES, MAX_LENGTHS, ALTERNATIVES = 2_000, 200_000, 8
+#: Steps of the search over whole plans in all: fillings looked at and groups that best fit makes. A few seconds on the driver.
+MAX_WORK = 1_000_000
+#: Steps of one enumeration of fillings, and the undominated ones that a node branches over.
+MAX_STEPS, ALTERNATIVES = 2_000, 8
 #: Texts of other white space are encoded whole, and words of other characters by the tokenizer.
 ODD_SPACE = regex.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u206f\u3000\ufeff]")
 PLAIN_WORD = regex.compile(r"[!-;=-~\u00a1-\u00ff]+")
@@ -170,56 +170,44 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, path: str, capacity:
     return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
-def best_filling(gap: int, counts: np.ndarray, max_steps: int = MAX_STEPS) -> list[int]:
+def _sums(length: int, copies: int, sums: int, mask: int) -> int:
+    """The sums in a bit set, with up to so many pieces of one length added."""
+    step = 1
+    while copies:
+        taken = min(step, copies)
+        sums |= sums << length * taken & mask
+        copies -= taken
+        step *= 2
+    return sums
+
+
+def _reachable(gap: int, lengths: list[int], counts: np.ndarray) -> list[int]:
+    """For every place in the falling list, the sums up to ``gap`` of pieces from there on, as bits."""
+    mask, sums, out = (1 << gap + 1) - 1, 1, [1]
+    for n in reversed(lengths):
+        sums = _sums(n, min(int(counts[n]), gap // n), sums, mask)
+        out.append(sums)
+    return out[::-1]
+
+
+def best_filling(gap: int, counts: np.ndarray) -> list[int]:
     """Lengths, longest first, that leave the least of the gap unused.
 
-    Depth-first over fillings in falling order of length, starting from best fit. A single length that
-    fills the rest exactly dominates any other filling of it; a branch ends when its waste cannot fall
-    below the incumbent's.
+    The sums that the pieces can reach are bit sets; of the fillings with the greatest sum the one with the
+    longest pieces is taken, which dominates the others.
     """
-    lengths = np.flatnonzero(counts[: gap + 1])[::-1]
-    lengths = lengths[lengths > 0].tolist()
-    left = {n: int(counts[n]) for n in lengths}
-    best, best_waste, steps = [], gap, 0
-    least = lengths[-1] if lengths else gap + 1
-    totals = np.cumsum([n * left[n] for n in lengths][::-1])[::-1].tolist()  # what lengths from here on can fill at most
-
-    def search(rest: int, at: int, chosen: list[int]) -> bool:
-        nonlocal best, best_waste, steps
-        if rest < best_waste:
-            best, best_waste = list(chosen), rest
-        if not best_waste:
-            return True
-        if rest < least:
-            return False
-        if left.get(rest, 0) > 0:
-            best, best_waste = [*chosen, rest], 0
-            return True
-        # The first length that fits, by binary search in falling order.
-        low, high = at, len(lengths)
-        while low < high:
-            mid = (low + high) // 2
-            low, high = (low, mid) if lengths[mid] <= rest else (mid + 1, high)
-        for k in range(low, len(lengths)):
-            if rest - totals[k] >= best_waste:
-                return False
-            n = lengths[k]
-            if left[n] <= 0:
-                continue
-            steps += 1
-            if steps > max_steps:
-                return True
-            left[n] -= 1
-            chosen.append(n)
-            done = search(rest - n, k, chosen)
-            chosen.pop()
-            left[n] += 1
-            if done:
-                return True
-        return False
-
-    search(gap, 0, [])
-    return best
+    if gap and counts[gap]:
+        return [gap]
+    lengths = [n for n in np.flatnonzero(counts[: gap + 1])[::-1].tolist() if n]
+    reach = _reachable(gap, lengths, counts)
+    rest, filling = reach[0].bit_length() - 1, []
+    for n, behind in zip(lengths, reach[1:]):
+        copies = min(int(counts[n]), rest // n)
+        while copies and not behind >> (rest - copies * n) & 1:
+            copies -= 1
+        filling += [n] * copies
+        rest -= copies * n
+    return filling
 
 
 #: One sequence's lengths and the number of sequences that are filled so.
@@ -276,9 +264,20 @@ def _sequences(fillings: list[Filling]) -> int:
 
 
 def least_sequences(counts: np.ndarray, capacity: int) -> int:
-    """No plan has fewer: the total over the capacity, and no two pieces of more than half share a sequence."""
-    total = int((counts * np.arange(len(counts))).sum())
-    return max(-(-total // capacity), int(counts[capacity // 2 + 1 :].sum()))
+    """No plan has fewer.
+
+    For every size k up to half the capacity: pieces of more than half stand alone, those that leave less than k
+    take nothing of k or more, and what pieces of k and more have over the room beside the others needs
+    sequences of its own. k = 0 is the total over the capacity.
+    """
+    number, size = np.cumsum(counts), np.cumsum(counts * np.arange(len(counts)))
+    half, k = capacity // 2, np.arange(capacity // 2 + 1)
+    below = np.maximum(k - 1, 0)
+    large = int(number[capacity] - number[half])
+    beside = number[capacity - k] - number[half]  # of more than half, with room for k
+    room = beside * capacity - (size[capacity - k] - size[half])
+    small = size[half] - np.where(k > 0, size[below], 0)
+    return large + max(0, int((-((room - small) // capacity)).max()))
 
 
 def _complete_bins(counts: np.ndarray, capacity: int) -> list[Filling]:
@@ -298,57 +297,92 @@ def _complete_bins(counts: np.ndarray, capacity: int) -> list[Filling]:
         fillings.append((filling, copies))
 
 
-def fillings_around(longest: int, counts: np.ndarray, capacity: int) -> list[list[int]]:
-    """Fillings with the longest piece that no remaining piece fits into, those of least waste first."""
-    lengths = [n for n in np.flatnonzero(counts[: longest + 1])[::-1].tolist() if n]
-    left = {n: int(counts[n]) for n in lengths}
-    left[longest] -= 1
-    found, steps = [], 0
+def _dominated(filling: list[tuple[int, int]], waste: int, left: dict[int, int], capacity: int) -> bool:
+    """Whether a piece that is left fits in place of some of the filling's, all of them no longer together than it.
+
+    What can be packed beside the filling can then be packed beside the other one.
+    """
+    mask, sums, several = (1 << capacity + 1) - 1, 1, 0
+    for n, copies in filling:
+        for _ in range(copies):
+            several |= (several | sums & ~1) << n & mask
+            sums |= sums << n & mask
+    taken = dict(filling)
+    for x, copies in left.items():
+        if copies > taken.get(x, 0):
+            low = max(0, x - waste)
+            if sums >> low & (1 << x - low) - 1 or several >> x & 1:
+                return True
+    return False
 
-    def search(rest: int, at: int, chosen: list[int]) -> None:
-        nonlocal steps
-        for k in range(at, len(lengths)):
-            n = lengths[k]
-            if n > rest or not left[n]:
-                continue
-            steps += 1
-            if steps > MAX_STEPS:
-                return
-            left[n] -= 1
-            search(rest - n, k, [*chosen, n])
-            left[n] += 1
-        if not any(n <= rest and left[n] for n in lengths):
-            found.append((rest, chosen))
 
-    search(capacity - longest, 0, [longest])
-    return [chosen for _, chosen in sorted(found, key=lambda x: (x[0], [-n for n in x[1]]))[:ALTERNATIVES]]
+def fillings_around(longest: int, counts: np.ndarray, capacity: int, most_waste: int) -> tuple[list[list[int]], int]:
+    """Undominated fillings with the longest piece and at most so much waste, those of least waste first; and the steps.
+
+    Lengths are taken in falling order, of each as many as fit or up to eight fewer. A branch ends where the sums that are still
+    reachable waste more than allowed.
+    """
+    gap = capacity - longest
+    left = {n: int(counts[n]) for n in np.flatnonzero(counts[: gap + 1])[::-1].tolist() if n}
+    if longest in left:
+        left[longest] -= 1
+    lengths = [n for n, copies in left.items() if copies]
+    own = np.zeros(gap + 1, np.int64)
+    own[lengths] = [left[n] for n in lengths]
+    reach = _reachable(gap, lengths, own)
+    found: list[tuple[int, list[tuple[int, int]]]] = []
+    stack: list[tuple[int, int, tuple]] = [(0, gap, ())]
+    steps = 0
+    while stack and steps < MAX_STEPS:
+        steps += 1
+        at, rest, chosen = stack.pop()
+        while at < len(lengths) and lengths[at] > rest:
+            at += 1
+        if rest - ((reach[at] & (1 << rest + 1) - 1).bit_length() - 1) > most_waste:
+            continue
+        if at == len(lengths) or not rest:
+            if not _dominated(list(chosen), rest, left, capacity):
+                found.append((rest, list(chosen)))
+            continue
+        n = lengths[at]
+        for copies in range(min(left[n], rest // n, 8) + 1):
+            more = min(left[n], rest // n) - copies
+            stack.append((at + 1, rest - more * n, (*chosen, (n, more)) if more else chosen))
+        stack[-min(left[n], rest // n, 8) - 1 :] = stack[-min(left[n], rest // n, 8) - 1 :][::-1]
+    best = sorted(found, key=lambda x: (x[0], [(-n, -c) for n, c in x[1]]))[:ALTERNATIVES]
+    return [[longest, *(n for n, copies in chosen for _ in range(copies))] for _, chosen in best], steps
 
 
 def _branch(counts: np.ndarray, capacity: int, best: list[Filling]) -> list[Filling]:
     """The best plan that branching over the fillings around the longest piece finds, starting from an incumbent.
 
     A branch takes a filling as often as its pieces last, or half as often, and ends when its lower bound reaches the
-    incumbent; best fit completes every branch. The search ends with a plan that meets the lower bound, or after a fixed number of nodes.
+    incumbent; a filling may waste what is left until then. Best fit completes every branch. The search ends with
+    a plan that meets the lower bound, or after a fixed amount of work.
     """
-    least, fewest = least_sequences(counts, capacity), _sequences(best)
-    nodes = min(MAX_NODES, MAX_LENGTHS // max(1, np.count_nonzero(counts)))
-    stack = [(counts, [], 0, None, 0)]
-    while stack and nodes > 0 and fewest > least:
-        nodes -= 1
+    least, fewest, work = least_sequences(counts, capacity), _sequences(best), 0
+    sizes = np.arange(len(counts))
+    stack: list = [(counts, [], 0, None, 0)]
+    while stack and work < MAX_WORK and fewest > least:
         left, plan, used, filling, copies = stack.pop()
         if filling is not None:
             own, times = np.unique(filling, return_counts=True)
             left, plan, used = left.copy(), [*plan, (filling, copies)], used + copies
             left[own] -= copies * times
+        work += 20
         if used + least_sequences(left, capacity) >= fewest:
             continue
-        whole = plan + best_fit(left, capacity)
-        if _sequences(whole) < fewest:
-            best, fewest = whole, _sequences(whole)
+        rest = best_fit(left, capacity)
+        work += 10 * len(rest)
+        if used + _sequences(rest) < fewest:
+            best, fewest = plan + rest, used + _sequences(rest)
         some = np.flatnonzero(left)
         if not some[some > 0].size:
             continue
-        for option in reversed(fillings_around(int(some[-1]), left, capacity)):
+        slack = (fewest - 1 - used) * capacity - int((left * sizes).sum())
+        options, steps = fillings_around(int(some[-1]), left, capacity, max(0, min(slack, capacity)))
+        work += 5 * steps + len(some)
+        for option in reversed(options):
             own, times = np.unique(option, return_counts=True)
             most = int((left[own] // times).min())
             stack += [(left, plan, used, option, n) for n in sorted({most, -(-most // 2)})]
