@@ -69,6 +69,8 @@ PQ_DIM = 8
 PQ_WIDTH = 8
 KEY = bytes(range(32))
 SOURCES = ["src1", "src2", "src5"]
+#: Recall in percent that each filter of ``recall_thresholds`` is asked for.
+RECALL_FLOORS = ((1, 95.0), (2, 90.0), (3, 100.0))
 
 
 def _meta(path: str, kind: str):
@@ -454,7 +456,7 @@ def recall_filtered(spark, sf_dir):
 
 def recall_thresholds(spark, sf_dir):
     """Filters whose recall stays below 0.95 of the floor asked for."""
-    floors = spark.createDataFrame([(1, 95.0), (2, 90.0), (3, 100.0)], "filter_id int, threshold double")
+    floors = spark.createDataFrame(list(RECALL_FLOORS), "filter_id int, threshold double")
     failed = evaluation.recall_failures(_filtered_recalls(spark, sf_dir), floors, 0.95)
     return failed.select(
         "filter_id", F.round("recall_percent", 4).alias("recall_percent"), F.round("floor", 4).alias("floor")

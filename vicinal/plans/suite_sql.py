@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from vicinal.plans.suite import RECALL_FLOORS
+
 PQ_DIM = PQ_WIDTH = 8
 
 _ITEMS = """
@@ -285,9 +287,9 @@ SELECT count(*) AS n_queries, round(avg(recall), 6) AS recall FROM shares""",
     "recall_filtered": _with(_ITEMS, _MEANS, _LISTS, _RECALL_LISTS)
     + " SELECT filter_id, n_queries, round(recall, 6) AS recall FROM recalls",
     "recall_thresholds": _with(_ITEMS, _MEANS, _LISTS, _RECALL_LISTS)
-    + """
+    + f"""
 SELECT filter_id, round(recall * 100, 4) AS recall_percent, round(threshold * 0.95, 4) AS floor
-FROM recalls JOIN (VALUES (1, 94.04::DOUBLE), (2, 91.05::DOUBLE), (3, 100.0::DOUBLE)) AS t(filter_id, threshold) USING (filter_id)
+FROM recalls JOIN (VALUES {", ".join(f"({n}, {floor}::DOUBLE)" for n, floor in RECALL_FLOORS)}) AS t(filter_id, threshold) USING (filter_id)
 WHERE recall * 100 < threshold * CAST(0.95 AS DOUBLE)""",
     "leak_check": _with(_ITEMS)
     + """,
