@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vicinal.operators.buckets import as_bucketed, bucket_count, bucket_of, fetch, fetch_now
 from vicinal.operators.projection import project_items
-from vicinal.options import check_dimension
+from vicinal.operators.search import collect_bounded
+from vicinal.options import BROADCAST_ROWS, DEFAULT_GET_INCLUDE, ITEM_FIELDS, check_dimension, check_include
 
 ITEM_SCHEMA = "id string, vector array<float>, contents string, metadata variant"
 ITEM_COLUMNS = ("id", "vector", "contents", "metadata")
@@ -114,13 +116,17 @@ def current_state(log: DataFrame, snapshot: DataFrame | None = None) -> DataFram
     """Items after replaying the change log over a snapshot.
 
     ``log`` is ``(id, vector, contents, metadata, op, seq, uid)``, with ``op`` 'U' or
-    'D'; the greatest ``(seq, uid)`` of an id wins.
+    'D'; the greatest ``(seq, uid)`` of an id wins. A snapshot laid out by ``bucket`` keeps the column.
     """
     changes = latest(log, ["seq", "uid"])
     written = changes.filter(F.col("op") == "U").select(*ITEM_COLUMNS)
     if snapshot is None:
         return written
-    return snapshot.select(*ITEM_COLUMNS).join(changes.select("id"), "id", "left_anti").unionByName(written)
+    buckets, columns = bucket_count(snapshot), list(ITEM_COLUMNS)
+    if buckets:
+        written, columns = written.withColumn("bucket", bucket_of("id", buckets)), [*columns, "bucket"]
+    state = snapshot.select(*columns).join(changes.select("id"), "id", "left_anti").unionByName(written)
+    return as_bucketed(state, buckets) if buckets else state
 
 
 def compact(log: DataFrame, snapshot: DataFrame | None = None) -> DataFrame:
@@ -134,15 +140,24 @@ def get_items(
     """Items in request order with an ``ordinal``; unknown ids are left out.
 
     ``ids`` is a list, or a DataFrame ``(ordinal, id)``. An id that is asked for twice
-    comes back once per position.
+    comes back once per position. Of items laid out by ``bucket`` only the partitions of the ids are read; a
+    DataFrame of ids is measured first.
     """
+    fields = check_include(include, DEFAULT_GET_INCLUDE, ITEM_FIELDS)
+    spark, small = items.sparkSession, True
     if isinstance(ids, DataFrame):
         asked = ids.select("ordinal", "id")
+        if bucket_count(items):
+            known = collect_bounded(asked, BROADCAST_ROWS)
+            small = known is not None
+            asked = spark.createDataFrame(known, asked.schema) if small else asked
+        else:
+            small = False
     else:
-        rows = list(enumerate(ids))
         # The caller holds this list in memory, which bounds what is broadcast.
-        asked = F.broadcast(items.sparkSession.createDataFrame(rows, "ordinal bigint, id string"))
-    return project_items(asked.join(items, "id"), include, lead=["ordinal"]).orderBy("ordinal")
+        asked = spark.createDataFrame(list(enumerate(ids)), "ordinal bigint, id string")
+    found = fetch_now(items, asked, fields) if small else fetch(items, asked, fields, False)
+    return project_items(found, include, lead=["ordinal"]).orderBy("ordinal")
 
 
 def list_ids(items: DataFrame) -> DataFrame:

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 
 from vicinal.functions.blocks import VectorMetric, nearest_rows
 from vicinal.functions.vectors import to_matrix
+from vicinal.operators.buckets import bucket_count, fetch, fetch_now
 from vicinal.operators.clustering import Centroids, load_centroids
 from vicinal.operators.knn import filter_items, finish_hits
 from vicinal.operators.projection import hit_fields
-from vicinal.operators.search import SearchLimits, few, search
+from vicinal.operators.search import SearchLimits, few, prune_cells, search, ship
 from vicinal.options import TARGET_RECALL, check_metric, check_probes, check_top_k
 
 
@@ -74,21 +75,29 @@ def probe(
     lacks is read from ``items``. Greedy takes the place of ``n_probes``: lists are
     visited in centroid order until they hold ``top_k`` rows. ``prune=False`` suits cells
     that are computed in the same plan rather than stored. Probing every list, which
-    is also what ``n_probes=None`` does, gives the exact answer.
+    is also what ``n_probes=None`` does, gives the exact answer. Where ``items`` are laid out by
+    ``bucket``, the entries of the probed lists are counted, and few of them open their buckets alone.
     """
     top_k, metric = check_top_k(top_k), check_metric(metric)
     fields = hit_fields(include)
     known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
     needed = ["vector"] + (["metadata"] if filters else [])
+    asked, shipped, limits = queries, None, limits or SearchLimits()
+    if len(known.cells):
+        asked = route(queries, known, metric, None if greedy else check_probes(n_probes), top_k if greedy else None, digits)
     base = cells
     if any(name not in cells.columns for name in needed):
-        base = cells.select("id", "cell").join(filter_items(items, filters).select("id", *needed), "id")
+        postings, small = cells.select("id", "cell"), False
+        if bucket_count(items) and len(known.cells):
+            shipped = ship(asked, VectorMetric(metric), top_k, limits)
+            if shipped is not None:
+                postings = prune_cells(postings, shipped)
+                small = few(postings.count())
+        known_items = filter_items(items, filters)
+        base = fetch_now(known_items, postings, ["vector"]) if small else fetch(known_items, postings, ["vector"], False)
     elif filters:
         base = filter_items(cells, filters)
-    asked = queries
-    if len(known.cells):
-        asked = route(queries, known, metric, None if greedy else check_probes(n_probes), top_k if greedy else None, digits)
-    hits, n_queries = search(base, asked, VectorMetric(metric), top_k, digits=digits, limits=limits, prune=prune)
+    hits, n_queries = search(base, asked, VectorMetric(metric), top_k, digits=digits, limits=limits, prune=prune, shipped=shipped)
     return finish_hits(hits, cells if items is None else items, fields, n_queries, top_k)
 
 

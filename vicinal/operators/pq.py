@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from vicinal.functions.blocks import CodeMetric, nearest_rows
 from vicinal.functions.distance import distance
 from vicinal.functions.vectors import to_lists, to_matrix
+from vicinal.operators.buckets import fetch
 from vicinal.operators.clustering import (
     Centroids,
     block_rows,
@@ -30,7 +31,7 @@ from vicinal.operators.clustering import (
 )
 from vicinal.operators.ivf import route
 from vicinal.operators.knn import filter_items, finish_hits
-from vicinal.operators.projection import hit_fields
+from vicinal.operators.projection import hit_fields, project_hits
 from vicinal.operators.search import SearchLimits, collect_bounded, few, merge_top_k, search
 from vicinal.options import (
     DEFAULT_MAX_ITERS,
@@ -207,11 +208,15 @@ def search_pq(
     if rerank > 0:
         small = n_queries is not None and few(n_queries * wanted)
         rough = hits.select("query_id", "id")
-        exact = items.select("id", "vector").join(F.broadcast(rough) if small else rough, "id")
+        # Few rows are fetched once, with all that hits carry; of many only those of the final hits.
+        carried = [name for name in fields if name != "distance"] if small else []
+        exact = fetch(items, rough, list(dict.fromkeys(["vector", *carried])), small)
         asked = queries.select("query_id", "query_vector")
         # The query set passed the broadcast bound when it was counted.
         exact = exact.join(F.broadcast(asked) if n_queries is not None else asked, "query_id")
         value = distance("query_vector", "vector", metric)
-        exact = exact.select("query_id", "id", (value if digits is None else F.round(value, digits)).alias("distance"))
-        hits = merge_top_k(exact, top_k)
+        exact = exact.select("query_id", "id", *carried, (value if digits is None else F.round(value, digits)).alias("distance"))
+        hits = merge_top_k(exact, top_k, carried=carried)
+        if carried:
+            return project_hits(hits, fields)
     return finish_hits(hits, items, fields, n_queries, top_k)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from vicinal.functions.blocks import TextIds, TopK, plain_ids
 from vicinal.functions.vectors import to_matrix
+from vicinal.operators.buckets import fetch
 from vicinal.options import BLOCK_ROWS, BROADCAST_BYTES, BROADCAST_ROWS
 
 _SPLIT_BYTES = 128 << 20
@@ -77,32 +78,28 @@ def search(
     digits: int | None = None,
     limits: SearchLimits | None = None,
     prune: bool = True,
+    shipped: pa.Table | None = None,
 ) -> tuple[DataFrame, int | None]:
     """Best ``top_k`` base rows per query as ``(query_id, rank, id, distance)``.
 
     ``base`` has ``id``, the ``value`` column and, when ``queries`` carries a ``cells``
     array, the ``cell`` it lies in. Query ids are unique. ``prune`` filters the base on
     the probed cells; it pays where cells are stored, not where they are computed in the
-    same plan. Also returns the number of queries when it was measured.
+    same plan. Also returns the number of queries when it was measured. ``shipped`` is what
+    ``ship`` returned for the same queries, where the caller asked for it.
 
     Rows without a value are skipped inside the tasks: a null filter in the plan would
     make Spark evaluate a value that comes from a Python function twice.
     """
     limits = limits or SearchLimits()
     probing = "cells" in queries.columns
-    columns = ["query_id", "query_vector"] + (["cells"] if probing else [])
-    queries = queries.select(*columns)
-    kind = dict(queries.dtypes)["query_id"]
-    if kind not in ("string", "bigint", "int", "smallint", "tinyint"):
-        raise ValueError(f"query ids must be integers or strings, not {kind}")
-    if kind != "string":
-        queries = queries.withColumn("query_id", F.col("query_id").cast("bigint"))
+    queries = _asked(queries)
     base = base.select("id", F.col(value).alias("value"), *(["cell"] if probing else []))
     shards = _shards(base, top_k, limits)
 
     per_pass = min(limits.pass_rows, _queries_per_task(metric, top_k))
-    rows = min(limits.broadcast_rows, _MAX_PASSES * per_pass)
-    shipped = collect_bounded(queries, rows, limits.broadcast_bytes)
+    if shipped is None:
+        shipped = ship(queries, metric, top_k, limits)
     _require_unique(queries, shipped)
     if shipped is None:
         small = None if probing else collect_bounded(base, limits.broadcast_rows, limits.broadcast_bytes)
@@ -111,7 +108,7 @@ def search(
         found = _by_blocks(base, queries, metric, top_k, digits, limits, shards)
         return merge_top_k(found, top_k, shards), None
     if probing and prune:
-        base = _prune(base, shipped)
+        base = prune_cells(base, shipped)
     # Where a task cannot hold the winners of all queries, scanning the base again for
     # the next ones is cheaper than shuffling copies of it.
     passes = [shipped.slice(start, per_pass) for start in range(0, max(1, shipped.num_rows), per_pass)]
@@ -121,6 +118,21 @@ def search(
     return merge_top_k(found, top_k, shards), shipped.num_rows
 
 
+def _asked(queries: DataFrame) -> DataFrame:
+    """The columns that a search reads, ids as 64-bit integers or strings."""
+    kind = dict(queries.dtypes)["query_id"]
+    if kind not in ("string", "bigint", "int", "smallint", "tinyint"):
+        raise ValueError(f"query ids must be integers or strings, not {kind}")
+    name = F.col("query_id") if kind == "string" else F.col("query_id").cast("bigint").alias("query_id")
+    return queries.select(name, "query_vector", *(["cells"] if "cells" in queries.columns else []))
+
+
+def ship(queries: DataFrame, metric, top_k: int, limits: SearchLimits) -> pa.Table | None:
+    """The query set on the driver if it fits the broadcast bound."""
+    per_pass = min(limits.pass_rows, _queries_per_task(metric, top_k))
+    return collect_bounded(_asked(queries), min(limits.broadcast_rows, _MAX_PASSES * per_pass), limits.broadcast_bytes)
+
+
 def _require_unique(queries: DataFrame, shipped: pa.Table | None) -> None:
     """The same rule under every plan: one row per query id."""
     if shipped is not None:
@@ -131,7 +143,7 @@ def _require_unique(queries: DataFrame, shipped: pa.Table | None) -> None:
         raise ValueError("query ids must be unique")
 
 
-def merge_top_k(found: DataFrame, top_k: int, shards: int = 1) -> DataFrame:
+def merge_top_k(found: DataFrame, top_k: int, shards: int = 1, carried: list[str] = []) -> DataFrame:  # noqa: B006
     """Reduce per-task winners to the best ``top_k`` of each query.
 
     With several shards a first round reduces the rows of one query in many tasks, so
@@ -143,16 +155,15 @@ def merge_top_k(found: DataFrame, top_k: int, shards: int = 1) -> DataFrame:
         found = found.withColumn("rank", F.row_number().over(partial)).filter(F.col("rank") <= top_k).drop("rank")
     final = Window.partitionBy("query_id").orderBy(*order)
     ranked = found.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= top_k)
-    return ranked.select("query_id", "rank", "id", "distance")
+    return ranked.select("query_id", "rank", "id", "distance", *carried)
 
 
 def attach(hits: DataFrame, items: DataFrame, fields: list[str], max_hits: int | None) -> DataFrame:
     """Fetch item fields for the hits only, after the search."""
     if not fields:
         return hits
-    wanted = items.select("id", *fields)
     # The bound on the hits is proven by the measured query count times top_k.
-    return wanted.join(F.broadcast(hits) if few(max_hits) else hits, "id")
+    return fetch(items, hits, fields, few(max_hits))
 
 
 def few(max_rows: int | None) -> bool:
@@ -259,7 +270,7 @@ def broadcast_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return df if table is None else F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
 
 
-def _prune(base: DataFrame, shipped: pa.Table) -> DataFrame:
+def prune_cells(base: DataFrame, shipped: pa.Table) -> DataFrame:
     """Keep the probed cells only: a partition filter on a table laid out by cell.
 
     A short list is part of the plan; a longer one is joined, which prunes partitions as well.

@@ -31,6 +31,9 @@ CALIBRATION_QUERIES = 256
 BROADCAST_ROWS = 20_000
 BROADCAST_BYTES = 128 << 20
 BLOCK_ROWS = 50_000
+# Bytes of a partition of the compacted items, and how many partitions there are at most.
+BUCKET_BYTES = 64 << 20
+MAX_BUCKETS = 10_000
 
 _NAME = re.compile(r"[A-Za-z0-9_-]+")
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vicinal.functions.crypto import decrypt_columns, encrypt_columns, key_check, key_frame, key_opens
 from vicinal.functions.embedding import Embedder, embed_missing, embedding, hash_embedder
+from vicinal.operators.buckets import bucket_of, fetch
 from vicinal.operators.catalog import describe_index, list_indexes
 from vicinal.operators.clustering import Centroids, assign_cells, block_rows, centroid_frame, load_centroids, train_centroids
 from vicinal.operators.items import (
@@ -35,7 +36,9 @@ from vicinal.operators.pq import encode_pq, load_books, search_pq, train_pq
 from vicinal.operators.training import training_status
 from vicinal.options import (
     BLOCK_ROWS,
+    BUCKET_BYTES,
     CALIBRATION_QUERIES,
+    MAX_BUCKETS,
     RERANK_FACTOR,
     RETRAIN_MULTIPLIER,
     TRAIN_THRESHOLD,
@@ -65,6 +68,7 @@ class VectorStore:
         embedders: dict[str, Embedder] | None = None,
         train_threshold: int = TRAIN_THRESHOLD,
         retrain_multiplier: float = RETRAIN_MULTIPLIER,
+        bucket_bytes: int = BUCKET_BYTES,
     ):
         self.spark = spark
         self.store = IndexStore(spark, root)
@@ -72,6 +76,7 @@ class VectorStore:
         self.embedders = {"token-hash": None, **(embedders or {})}
         self.train_threshold = train_threshold
         self.retrain_multiplier = retrain_multiplier
+        self.bucket_bytes = bucket_bytes
 
     def create_index(
         self,
@@ -110,6 +115,7 @@ class VectorStore:
             key_check=bytearray(key_check(self.spark, key, name)),
             encrypted=list(encrypt),
             snapshot_count=0,
+            parts=[],
             covered=[],
             lists_covered=[],
             dropped=False,
@@ -235,10 +241,11 @@ class VectorIndex:
         self._append(self._entry(), ids.select("id").distinct().withColumns(empty).withColumn("op", F.lit("D")))
 
     def items(self) -> DataFrame:
-        return self._items(self._entry())
+        return self._items(self._entry()).select(*ITEM_COLUMNS)
 
     def get(self, ids: DataFrame | Sequence[str], include: Iterable[str] | None = None) -> DataFrame:
-        return get_items(self.items(), ids, include)
+        """Items in the order asked for; of the snapshot only the buckets of the ids are read."""
+        return get_items(self._items(self._entry()), ids, include)
 
     def list_ids(self) -> DataFrame:
         return list_ids(self.items())
@@ -247,7 +254,7 @@ class VectorIndex:
         return self.list_ids().count()
 
     def compact(self) -> None:
-        """Fold the change log into a new snapshot."""
+        """Fold the change log into the snapshot; only the buckets that it touches are written anew."""
         entry = self._entry()
         batches = self.store.batches(entry)
         if set(batches) - set(entry["covered"]):
@@ -263,9 +270,14 @@ class VectorIndex:
         for name in self.store.batches(entry):
             if name in done:
                 folder.delete(f"{path}/log/{name}")
+        held = {f"gen={part['gen']}": {f"bucket={n}" for n in part["buckets"]} for part in entry["parts"] or []}
         for name in folder.committed(f"{path}/items"):
-            if name != entry["snapshot"]:
+            if name not in held:
                 folder.delete(f"{path}/items/{name}")
+                continue
+            for bucket in folder.names(f"{path}/items/{name}"):
+                if bucket.startswith("bucket=") and bucket not in held[name]:
+                    folder.delete(f"{path}/items/{name}/{bucket}")
         for name in folder.names(f"{path}/lists"):
             if name != entry["lists"]:
                 folder.delete(f"{path}/lists/{name}")
@@ -316,7 +328,7 @@ class VectorIndex:
         self._write_sealed(centroid_frame(self.spark, centroids), f"{path}/centroids", "cell")
 
         first = items.select("id").orderBy(F.xxhash64(F.lit(seed), "id")).limit(calibration_queries)
-        asked = items.join(F.broadcast(first), "id").select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
+        asked = fetch(items, first, ["vector"], True).select(F.col("id").alias("query_id"), F.col("vector").alias("query_vector"))
         probes = calibrate_probes(self._read_cells(entry, path), centroids, asked, top_k, metric, items=items)
         self.store.update_entry(
             entry,
@@ -435,11 +447,28 @@ class VectorIndex:
         return self._opened(self._raw_items(entry, self.store.batches(entry)), entry["encrypted"])
 
     def _write_snapshot(self, entry: dict, batches: list[str]) -> None:
-        uid = new_uid()
-        path = f"{self.store.index_path(entry)}/items/{uid}"
-        self._raw_items(entry, batches).write.parquet(path)
-        count = self.spark.read.parquet(path).count()
-        self.store.update_entry(entry, {"snapshot": uid, "snapshot_count": count, "covered": batches})
+        """Write a generation of the touched buckets, or of all where the number of buckets has to double."""
+        uid, folder = new_uid(), self.store.folder
+        fresh = [name for name in batches if name not in set(entry["covered"])]
+        log, snapshot = self.store.read_log(entry, fresh), self.store.read_snapshot(entry)
+        held = self.store.snapshot_size(entry) + sum(folder.size(f"{self.store.log_path(entry)}/{name}") for name in fresh)
+        buckets, parts = min(MAX_BUCKETS, max(1, math.ceil(held / self.owner.bucket_bytes))), []
+        if snapshot is None or buckets >= 2 * entry["buckets"]:
+            touched = list(range(buckets))
+            rows = current_state(log, snapshot)
+        else:
+            buckets = entry["buckets"]
+            touched = sorted(row[0] for row in log.select(bucket_of("id", buckets)).distinct().collect())
+            rows = current_state(log, snapshot.filter(F.col("bucket").isin(touched)))
+            for part in entry["parts"]:
+                left = sorted(set(part["buckets"]) - set(touched))
+                parts += [{"gen": part["gen"], "buckets": left}] if left else []
+        rows = rows.select(*ITEM_COLUMNS, bucket_of("id", buckets).alias("bucket"))
+        rows.repartition(max(1, len(touched)), "bucket").write.partitionBy("bucket").parquet(f"{self.store.items_path(entry)}/gen={uid}")
+        parts.append({"gen": uid, "buckets": touched})
+        changes = {"snapshot": uid, "buckets": buckets, "parts": parts, "covered": batches}
+        changes["snapshot_count"] = self.store.read_snapshot({**entry, **changes}).count()
+        self.store.update_entry(entry, changes)
 
     def _training_due(self, entry: dict) -> bool:
         """An upper bound from row counts first; the exact count only when that is due."""

@@ -44,7 +44,7 @@ from vicinal.operators.knn import knn_exact
 from vicinal.operators.pq import encode_pq, load_books, pq_step, search_pq, train_pq
 from vicinal.operators.search import broadcast_small, settle
 from vicinal.operators.training import training_status
-from vicinal.options import IVFFlat
+from vicinal.options import IVF, IVFPQ, IVFFlat
 from vicinal.plans.index import VectorStore
 from vicinal.session import shared_dir
 from vicinal.sources.index_store import log_schema
@@ -584,6 +584,61 @@ def index_trained_query(spark, sf_dir):
     return hits.select("query_id", "rank", "id", F.round("distance", DIGITS).alias("distance"), _meta("label", "int").alias("label"))
 
 
+def _trained(spark, sf_dir, config, bucket_bytes: int = 1 << 16, **options):
+    """An index over all vectors, trained, and changed afterwards; its snapshot has many small buckets."""
+    index = VectorStore(spark, shared_dir(spark, "index"), bucket_bytes=bucket_bytes).create_index("sample", KEY, config)
+    index.upsert(vector_items(spark, sf_dir), auto_train=False)
+    index.train(n_lists=8, max_iters=5, **options)
+    index.delete(_toxic_ids(spark, sf_dir))
+    return index
+
+
+def index_ivf_query(spark, sf_dir):
+    """Lists of ids alone, probed in full: vectors and metadata come from the buckets of the items."""
+    index = _trained(spark, sf_dir, IVF(64))
+    hits = index.query(query_vectors=label_queries(spark, sf_dir), top_k=TOP_K, n_probes=8, filters={"lang": "en"})
+    return hits.select("query_id", "rank", "id", F.round("distance", DIGITS).alias("distance"), _meta("label", "int").alias("label"))
+
+
+def _judged(spark, sf_dir, hits: DataFrame, floor: float) -> DataFrame:
+    """Hits against an exact search: how many, whether their distances are the true ones, and whether enough were found."""
+    left = delete_state(vector_items(spark, sf_dir), _toxic_ids(spark, sf_dir))
+    queries = settle(label_queries(spark, sf_dir))
+    truth = knn_exact(left, queries, TOP_K, include=["distance"])
+    told = hits.join(left.select("id", "vector"), "id").join(queries, "query_id")
+    true = F.abs(F.col("distance") - distance("query_vector", "vector", "euclidean")) < 1e-6
+    recall = evaluation.recall_at_k(truth, hits).select(F.lit("floor_reached").alias("what"), (F.col("recall") >= floor).cast("bigint").alias("n"))
+    counts = [told.filter(true).select(F.lit("true_hits").alias("what")), told.filter(~true).select(F.lit("untrue_hits").alias("what"))]
+    return _union([rows.groupBy("what").agg(F.count(F.lit(1)).alias("n")) for rows in counts] + [recall])
+
+
+def index_ivfpq_query(spark, sf_dir):
+    """Codes probed in full and re-ranked: the distances that come back are exact."""
+    index = _trained(spark, sf_dir, IVFPQ(64, 8, 6))
+    hits = index.query(query_vectors=label_queries(spark, sf_dir), top_k=TOP_K, n_probes=8, include=["distance"], rerank=10)
+    return _judged(spark, sf_dir, hits, 0.8)
+
+
+def index_probe_query(spark, sf_dir):
+    """As many probes as calibration chose."""
+    index = _trained(spark, sf_dir, IVFFlat(64))
+    hits = index.query(query_vectors=label_queries(spark, sf_dir), top_k=TOP_K, include=["distance"])
+    return _judged(spark, sf_dir, hits, 0.7)
+
+
+def index_get_after_compaction(spark, sf_dir):
+    """Items of a bucketed snapshot, of which a second compaction wrote some buckets anew, asked for in an order."""
+    index = VectorStore(spark, shared_dir(spark, "index"), bucket_bytes=1 << 16).create_index("sample", KEY, IVFFlat(64))
+    items = vector_items(spark, sf_dir)
+    index.upsert(items, auto_train=False)
+    index.compact()
+    index.delete(_toxic_ids(spark, sf_dir))
+    index.compact()
+    asked = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("ordinal"), F.col("doc_id").cast("string").alias("id"))
+    got = index.get(asked, ["vector", "metadata"])
+    return got.select("ordinal", "id", F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"), _meta("label", "int").alias("label"))
+
+
 def index_contract(spark, sf_dir):
     """What an index does at the edges of its life, as counts."""
     store = VectorStore(spark, shared_dir(spark, "index"))
@@ -682,7 +737,8 @@ QUERIES = {
         pq_codebooks, pq_encode, pq_search, pq_search_rerank, ivfpq_search, pq_train,
         recall_at_k, recall_filtered, recall_thresholds, leak_check, roundtrip_integrity, roundtrip_changes, id_prefix_count,
         content_query, embed_on_ingest, training_decision, catalog_list, catalog_describe,
-        encrypted_roundtrip, encrypted_vectors, index_query, index_trained_query, index_contract, concurrent_upserts,
+        encrypted_roundtrip, encrypted_vectors, index_query, index_trained_query, index_ivf_query, index_ivfpq_query,
+        index_probe_query, index_get_after_compaction, index_contract, concurrent_upserts,
         stream_upsert_log, stream_query, stream_then_upsert, filter_big_int,
     )
 }

