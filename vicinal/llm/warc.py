@@ -19,6 +19,8 @@ LEAST_BYTES = 1000
 RECORDS = 100_000
 #: Bytes that one range spans at most (a longer record alone), and the gap up to which neighbours are read together.
 RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
+#: Bytes of records that a task reads back.
+TASK_BYTES = 64 << 20
 #: Bytes that are looked at together while records are indexed, and that a batch of records holds.
 BLOCK_BYTES, BATCH_BYTES = 1 << 20, 8 << 20
 #: Fixed values of the format.
@@ -218,7 +220,8 @@ def read_records(selected: DataFrame, gap: int = GAP_BYTES, most: int = RANGE_BY
     """The records of the selected index rows, each with its payload (null in a revisit).
 
     The selection is grouped by file and stretch of ``most`` bytes, so a task's list is bounded; in each, sorted
-    ranges are coalesced and read at once. Repeated selections of a record return it once.
+    ranges are coalesced and read at once; the bytes of the selection say how many tasks there are. Repeated
+    selections of a record return it once.
     """
     schema = _arrow(RECORD)
 
@@ -238,8 +241,9 @@ def read_records(selected: DataFrame, gap: int = GAP_BYTES, most: int = RANGE_BY
 
         yield from _batches(rows(), schema)
 
-    stretch = F.floor(F.col("offset") / most).alias("stretch")
-    grouped = selected.groupBy("archive", stretch).agg(F.collect_set(F.struct("offset", "length")).alias("spans"))
+    tasks = max(1, -(-(selected.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    dealt = selected.select("archive", F.floor(F.col("offset") / most).alias("stretch"), "offset", "length").repartition(tasks, "archive", "stretch")
+    grouped = dealt.groupBy("archive", "stretch").agg(F.collect_set(F.struct("offset", "length")).alias("spans"))
     return grouped.select("archive", "spans").mapInArrow(fetch, RECORD)
 
 
