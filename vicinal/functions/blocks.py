@@ -19,6 +19,8 @@ from vicinal.functions.vectors import to_matrix
 _BLOCK_QUERIES = 512
 _BLOCK_ROWS = 256
 _PAIR_ROWS = 1 << 16
+# Candidates that are held before the first trim at most.
+_HELD = 1 << 22
 _UNIT = np.finfo(np.float64).eps
 
 
@@ -194,10 +196,17 @@ class TopK:
         self.digits = digits
         self.margin = 0.0 if digits is None else 10.0**-digits
         self.bound = np.full(n_queries, np.inf)
-        self.room = max(2 * n_queries * k, 1 << 12)
+        self.most = None
+        self.room = max(min(2 * n_queries * k, _HELD), 1 << 12)
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.n_held = 0
 
+    def within(self, most: np.ndarray) -> "TopK":
+        """Keep rows up to a distance per query alone, of which at least ``k`` rows are known."""
+        self.most = most
+        self.bound = np.minimum(self.bound, most)
+        return self
+
     def offer(self, picked: np.ndarray, rows: np.ndarray, ids: np.ndarray) -> None:
         """Compare the picked queries with every row."""
         height = max(_BLOCK_ROWS, _BLOCK_QUERIES * _BLOCK_ROWS // max(1, len(picked)))
@@ -223,10 +232,15 @@ class TopK:
         distances = self.scorer.pairs(queries, rows, row_at)
         if self.digits is not None:
             distances = np.round(distances, self.digits) + 0.0
+        if self.most is not None:
+            kept = distances <= self.most[queries]
+            queries, distances, row_at = queries[kept], distances[kept], row_at[kept]
         self.held.append((queries, distances, ids[row_at]))
         self.n_held += len(queries)
         if self.n_held > self.room:
             self._trim()
+            # Where the winners alone need more room, they get it.
+            self.room = max(self.room, 2 * self.n_held)
 
     def _widened(self, distances: np.ndarray) -> np.ndarray:
         return self.scorer.to_key(distances + np.abs(distances) * 8 * _UNIT + self.margin)
@@ -238,7 +252,7 @@ class TopK:
         place = np.arange(len(queries)) - np.searchsorted(queries, queries, side="left")
         kept = place < self.k
         full = place == self.k - 1
-        self.bound[queries[full]] = distances[full]
+        self.bound[queries[full]] = np.minimum(self.bound[queries[full]], distances[full])
         self.held = [(queries[kept], distances[kept], ids[kept])]
         self.n_held = int(kept.sum())
 

@@ -20,6 +20,39 @@ from vicinal.operators.search import SearchLimits, few, prune_cells, search, shi
 from vicinal.options import TARGET_RECALL, check_metric, check_probes, check_top_k
 
 
+# Distances that are ranked at once while lists are visited in order.
+_RANKED = 1 << 22
+_FIRST_LISTS = 32
+
+
+def visited_lists(rows: np.ndarray, known: Centroids, metric: str, enough: int, least: int, digits: int | None) -> list[np.ndarray]:
+    """Per query the nearest lists until those before hold ``enough`` rows, ``least`` lists at any rate.
+
+    Few nearest lists are looked up first, four times as many for the queries that these do not suffice. Queries
+    go in slices, so that the memory does not grow with the number of lists.
+    """
+    places, total = np.arange(len(known.cells)), len(known.cells)
+    visits: list = [[]] * len(rows)
+    if not total:
+        return visits
+    todo, width = np.arange(len(rows)), min(total, max(least, _FIRST_LISTS))
+    while len(todo):
+        short = []
+        step = max(1, _RANKED // width)
+        for part in (todo[at : at + step] for at in range(0, len(todo), step)):
+            # Places ascend with the cell number, so ties go to the smaller cell.
+            _, _, found = nearest_rows(rows[part], known.matrix, places, metric, width, digits)
+            ranked = found.reshape(len(part), width)
+            held = np.cumsum(known.counts[ranked], axis=1)
+            whole = (held[:, -1] >= enough) | (width == total)
+            taken = (held - known.counts[ranked] < enough) | (np.arange(width) < least)
+            for at in np.flatnonzero(whole).tolist():
+                visits[part[at]] = known.cells[ranked[at][taken[at]]]
+            short.append(part[~whole])
+        todo, width = np.concatenate(short), min(total, 4 * width)
+    return visits
+
+
 def route(
     queries: DataFrame,
     centroids: Centroids,
@@ -30,8 +63,8 @@ def route(
 ) -> DataFrame:
     """Add ``cells``, the lists each query visits, nearest first.
 
-    With ``greedy_rows`` a query visits lists until those before hold that many rows;
-    otherwise it visits the ``n_probes`` nearest.
+    With ``greedy_rows`` a query visits lists until those before hold that many rows, and ``n_probes`` lists
+    at any rate if both are given; otherwise it visits the ``n_probes`` nearest.
     """
     limit = len(centroids.cells) if n_probes is None else min(n_probes, len(centroids.cells))
     sent = queries.sparkSession.sparkContext.broadcast(centroids)
@@ -39,15 +72,8 @@ def route(
     def visit(vectors: pa.Array) -> pa.Array:
         known = sent.value
         rows = to_matrix(vectors)
-        places = np.arange(len(known.cells))
-        # Places ascend with the cell number, so ties still go to the smaller cell.
-        _, _, found = nearest_rows(rows, known.matrix, places, metric, limit, digits)
-        ranked = found.reshape(len(rows), limit)
-        if greedy_rows is None:
-            return pa.array(list(known.cells[ranked]), pa.list_(pa.int32()))
-        before = np.cumsum(known.counts[ranked], axis=1) - known.counts[ranked]
-        visits = [known.cells[row[held < greedy_rows]] for row, held in zip(ranked, before)]
-        return pa.array(visits, pa.list_(pa.int32()))
+        enough, least = (0, limit) if greedy_rows is None else (greedy_rows, n_probes or 0)
+        return pa.array(visited_lists(rows, known, metric, enough, min(least, len(known.cells)), digits), pa.list_(pa.int32()))
 
     visit.__annotations__ = {"vectors": pa.Array, "return": pa.Array}
     visits = F.arrow_udf(visit, T.ArrayType(T.IntegerType()))
@@ -68,6 +94,7 @@ def probe(
     digits: int | None = None,
     limits: SearchLimits | None = None,
     prune: bool = True,
+    matching: Centroids | None = None,
 ) -> DataFrame:
     """The ``top_k`` closest items among the probed lists.
 
@@ -77,6 +104,8 @@ def probe(
     that are computed in the same plan rather than stored. Probing every list, which
     is also what ``n_probes=None`` does, gives the exact answer. Where ``items`` are laid out by
     ``bucket``, the entries of the probed lists are counted, and few of them open their buckets alone.
+    ``matching`` are the lists with the rows that satisfy the filter, of ``matching_lists``: ``n_probes`` of them are
+    visited, and further ones until they hold as many matching rows as ``n_probes`` lists hold rows.
     """
     top_k, metric = check_top_k(top_k), check_metric(metric)
     fields = hit_fields(include)
@@ -84,7 +113,7 @@ def probe(
     needed = ["vector"] + (["metadata"] if filters else [])
     asked, shipped, limits = queries, None, limits or SearchLimits()
     if len(known.cells):
-        asked = route(queries, known, metric, None if greedy else check_probes(n_probes), top_k if greedy else None, digits)
+        asked = _routed(queries, known, metric, top_k, n_probes, greedy, matching, digits)
     base = cells
     if any(name not in cells.columns for name in needed):
         postings, small = cells.select("id", "cell"), False
@@ -101,6 +130,33 @@ def probe(
     return finish_hits(hits, cells if items is None else items, fields, n_queries, top_k)
 
 
+def _routed(queries, known: Centroids, metric: str, top_k: int, n_probes, greedy: bool, matching: Centroids | None, digits) -> DataFrame:
+    if greedy:
+        return route(queries, known if matching is None else matching, metric, None, top_k, digits)
+    if matching is None or n_probes is None:
+        return route(queries, known, metric, check_probes(n_probes), None, digits)
+    return route(queries, matching, metric, check_probes(n_probes), rows_of_probes(known, n_probes), digits)
+
+
+def rows_of_probes(known: Centroids, n_probes: int) -> int:
+    """The rows that so many lists hold on average."""
+    return int(np.ceil(known.counts.sum() * min(1.0, n_probes / max(1, len(known.cells)))))
+
+
+def matching_lists(cells: DataFrame, known: Centroids, filters: dict, items: DataFrame | None = None) -> Centroids:
+    """The lists that hold items which satisfy the filter, with how many of them.
+
+    One aggregation under the filter; a row per list comes back, and there are no more lists than are shipped.
+    """
+    if "metadata" in cells.columns:
+        chosen = filter_items(cells, filters).select("cell")
+    else:
+        chosen = cells.select("id", "cell").join(filter_items(items, filters).select("id"), "id", "left_semi")
+    counts = dict(chosen.groupBy("cell").count().collect())
+    number = np.array([counts.get(int(cell), 0) for cell in known.cells], np.int64)
+    return Centroids(known.cells[number > 0], known.matrix[number > 0], number[number > 0])
+
+
 def calibrate_probes(
     cells: DataFrame,
     centroids: DataFrame | Centroids,

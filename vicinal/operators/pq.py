@@ -29,7 +29,7 @@ from vicinal.operators.clustering import (
     partial_sums,
     training_vector,
 )
-from vicinal.operators.ivf import route
+from vicinal.operators.ivf import _routed
 from vicinal.operators.knn import filter_items, finish_hits
 from vicinal.operators.projection import hit_fields, project_hits
 from vicinal.operators.search import SearchLimits, collect_bounded, few, merge_top_k, search
@@ -39,7 +39,6 @@ from vicinal.options import (
     RERANK_FACTOR,
     check_metric,
     check_pq,
-    check_probes,
     check_top_k,
 )
 
@@ -188,11 +187,12 @@ def search_pq(
     digits: int | None = None,
     limits: SearchLimits | None = None,
     prune: bool = True,
+    matching: Centroids | None = None,
 ) -> DataFrame:
     """Search the codes, then order the best ``rerank * top_k`` by exact distance.
 
     ``codes`` is ``(id, codes)`` and, when ``centroids`` are given, ``cell``. With
-    ``rerank=0`` the approximate distances are returned as they are.
+    ``rerank=0`` the approximate distances are returned as they are. ``matching`` is as for ``probe``.
     """
     top_k, metric = check_top_k(top_k), check_metric(metric)
     fields = hit_fields(include)
@@ -202,7 +202,7 @@ def search_pq(
     asked = queries
     if centroids is not None:
         known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
-        asked = route(queries, known, metric, None if greedy else check_probes(n_probes), top_k if greedy else None, digits)
+        asked = _routed(queries, known, metric, top_k, n_probes, greedy, matching, digits)
     wanted = top_k * max(1, rerank)
     hits, n_queries = search(codes, asked, CodeMetric(metric, array), wanted, "codes", digits, limits, prune)
     if rerank > 0:

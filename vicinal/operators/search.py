@@ -4,7 +4,9 @@ Three plans, chosen by measured sizes:
 
 * The query set fits the broadcast bound: it is shipped and every task streams its own
   split of the base table past it. The base is scanned where it lies; only ``k`` rows
-  per query and task are shuffled. With a large ``k`` the queries take several passes.
+  per query and task are shuffled. Over many tasks a part of them goes first: what lies
+  beyond the ``k`` best of that part is then never emitted, so that the rows that are
+  shuffled grow with the root of the number of tasks, and all queries take one pass.
 * The base fits instead: it is shipped, every task streams its split of the queries, and
   the answer of a query is complete in its task. Nothing is shuffled.
 * Neither fits: base and queries are cut into blocks of a bounded number of rows
@@ -33,6 +35,8 @@ from vicinal.options import BLOCK_ROWS, BROADCAST_BYTES, BROADCAST_ROWS
 
 _SPLIT_BYTES = 128 << 20
 _MERGE_ROWS = 1_000_000
+_EMIT_ROWS = 5_000_000
+_UNKNOWN_BYTES = 1 << 50
 _ATTACH_ROWS = 500_000
 _PRUNE_CELLS = 10_000
 _HELD_ROWS = 1_000_000
@@ -49,6 +53,7 @@ class SearchLimits:
     pass_rows: int = BROADCAST_ROWS
     block_rows: int = BLOCK_ROWS
     merge_rows: int = _MERGE_ROWS
+    emit_rows: int = _EMIT_ROWS
 
 
 def collect_bounded(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> pa.Table | None:
@@ -109,15 +114,42 @@ def search(
         return merge_top_k(found, top_k, shards), None
     if probing and prune:
         base = prune_cells(base, shipped)
-    # Where a task cannot hold the winners of all queries, scanning the base again for
-    # the next ones is cheaper than shuffling copies of it.
-    passes = [shipped.slice(start, per_pass) for start in range(0, max(1, shipped.num_rows), per_pass)]
-    found = reduce(
-        DataFrame.unionByName, [_by_broadcast(base, queries, part, metric, top_k, digits, shards) for part in passes]
-    )
+    found = candidates(base, queries, shipped, metric, top_k, digits, limits, shards)
     return merge_top_k(found, top_k, shards), shipped.num_rows
 
 
+def candidates(base, queries, shipped, metric, top_k, digits, limits, shards: int = 1) -> DataFrame:
+    """What the tasks emit for a shipped query set.
+
+    Where ``k`` rows from each task would be many, every n-th task goes first, n about the root of their number.
+    The ``k``-th distance that a query has there bounds its true one, so the others emit what lies within. The
+    result is the same whatever those tasks hold; rows in an order that keeps near ones together only loosen the bound.
+    """
+    per_pass = min(limits.pass_rows, _queries_per_task(metric, top_k))
+
+    def scan(size: int, stride: int, most: np.ndarray | None) -> DataFrame:
+        parts = range(0, max(1, shipped.num_rows), size)
+        found = [
+            _by_broadcast(base, queries, shipped.slice(n, size), metric, top_k, digits, shards, stride, None if most is None else most[n : n + size])
+            for n in parts
+        ]
+        return reduce(DataFrame.unionByName, found)
+
+    tasks = _tasks(base)
+    if tasks * top_k * shipped.num_rows <= limits.emit_rows or tasks < 4:
+        # Where a task cannot hold the winners of all queries, the base is scanned again for the next ones.
+        return scan(per_pass, 1, None)
+    # An estimate of no known size says nothing about the number of tasks.
+    stride = max(2, round(math.sqrt(tasks if scanned_bytes(base) < _UNKNOWN_BYTES else _shuffle_tasks(base))))
+    first = merge_top_k(scan(per_pass, stride, None), top_k, shards).filter(F.col("rank") == top_k).select("query_id", "distance").toArrow()
+    most = np.full(shipped.num_rows, np.inf)
+    at = pc.index_in(first["query_id"], shipped["query_id"].combine_chunks()).to_numpy(zero_copy_only=False)
+    most[at.astype(np.int64)] = first["distance"].to_numpy()
+    # A query with a bound emits few rows: all of them go in one pass, but for the size of their lookup tables.
+    bounded = np.isfinite(most).all()
+    return scan(min(limits.pass_rows, metric.max_queries) if bounded else per_pass, 1, most)
+
+
 def _asked(queries: DataFrame) -> DataFrame:
     """The columns that a search reads, ids as 64-bit integers or strings."""
     kind = dict(queries.dtypes)["query_id"]
@@ -187,13 +219,19 @@ def scanned_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(n).stats().sizeInBytes()) for n in range(leaves.size()))
 
 
-def _shards(base: DataFrame, top_k: int, limits: SearchLimits) -> int:
-    """How many first-round groups the winners of one query need.
+def _tasks(base: DataFrame) -> int:
+    """About how many tasks read the base: input splits, or shuffle partitions after a join."""
+    splits = math.ceil(min(scanned_bytes(base), _UNKNOWN_BYTES) / _SPLIT_BYTES)
+    return max(splits, _shuffle_tasks(base))
 
-    The base arrives in input splits, or in shuffle partitions after a join.
-    """
-    splits = math.ceil(min(scanned_bytes(base), 1 << 50) / _SPLIT_BYTES)
-    tasks = max(splits, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+def _shuffle_tasks(base: DataFrame) -> int:
+    return int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _shards(base: DataFrame, top_k: int, limits: SearchLimits) -> int:
+    """How many first-round groups the winners of one query need."""
+    tasks = _tasks(base)
     return 1 if tasks * top_k <= limits.merge_rows else math.ceil(math.sqrt(tasks))
 
 
@@ -202,7 +240,8 @@ def _hit_schema(queries: DataFrame) -> str:
     return f"query_id {kind}, id string, distance double, place int, shard int"
 
 
-def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards) -> DataFrame:
+def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards, stride: int = 1, most: np.ndarray | None = None) -> DataFrame:
+    """The best rows of every task, or of every ``stride``-th; the others do not read their split."""
     spark = base.sparkSession
     probing = "cells" in shipped.column_names
     load = spark.sparkContext.broadcast(
@@ -210,15 +249,18 @@ def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards) -> Data
             "ids": shipped["query_id"].combine_chunks(),
             "vectors": to_matrix(shipped["query_vector"]),
             "cells": shipped["cells"].to_pylist() if probing else None,
+            "most": most,
         }
     )
 
     def scan(batches):
         sent = load.value
         ids = sent["ids"]
-        if not len(ids):
+        if not len(ids) or TaskContext.get().partitionId() % stride:
             return
         best = TopK(metric.bind(sent["vectors"]), len(ids), top_k, digits)
+        if sent["most"] is not None:
+            best.within(sent["most"])
         everyone = np.arange(len(ids))
         probers = None if sent["cells"] is None else _probers(sent["cells"])
         for batch in batches:

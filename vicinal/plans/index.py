@@ -30,7 +30,7 @@ from vicinal.operators.items import (
     list_ids,
     require_valid,
 )
-from vicinal.operators.ivf import calibrate_probes, probe
+from vicinal.operators.ivf import calibrate_probes, matching_lists, probe
 from vicinal.operators.knn import knn_exact
 from vicinal.operators.pq import encode_pq, load_books, search_pq, train_pq
 from vicinal.operators.training import training_status
@@ -360,7 +360,8 @@ class VectorIndex:
 
         Exactly one of a vector, a batch of vectors and contents is given; a batch is a
         list, or a DataFrame ``(query_id, query_vector)``. An untrained index is searched
-        exactly. Without ``n_probes`` the value calibrated at training is used.
+        exactly. Without ``n_probes`` the value calibrated at training is used; under a filter, as many lists
+        as hold that many rows that match.
         """
         entry, top_k = self._entry(), check_top_k(top_k)
         queries = self._queries(entry, query_vector, query_vectors, query_contents)
@@ -375,6 +376,9 @@ class VectorIndex:
         options.update(n_probes=n_probes or entry["auto_n_probes"], greedy=greedy)
         check_probes(n_probes)
         items = self._items(entry)
+        if filters and n_probes is None and not greedy:
+            # What calibration found holds for rows that match.
+            options["matching"] = matching_lists(cells, centroids, filters, items)
         if books is not None:
             hits = search_pq(cells, books, items, queries, rerank=rerank, centroids=centroids, **options)
         else:

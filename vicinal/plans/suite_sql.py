@@ -174,6 +174,7 @@ queries AS (
   SELECT CAST(0 AS BIGINT) AS query_id, list(x ORDER BY pos) AS q FROM (SELECT pos, avg(x) AS x FROM parts GROUP BY pos))"""
     + _top("(SELECT * FROM queries, items)"),
     "knn_batch_euclidean": _exact(),
+    "knn_bounded": _exact(),
     "knn_batch_cosine": _exact(metric="cosine"),
     "knn_batch_dot": _exact(metric="dot_product"),
     "knn_include_vector": _exact(extra=", CAST(len(v) AS INTEGER) AS width, round(list_sum(v), 4) AS total"),
@@ -337,8 +338,10 @@ SELECT CAST(doc_id AS VARCHAR) AS id, md5(text) AS contents_md5, TRUE AS is_seal
     "index_query": _INDEXED,
     "index_trained_query": _INDEXED,
     "index_ivf_query": _INDEXED,
-    "index_ivfpq_query": _JUDGED,
+    "index_ivfpq_query": _INDEXED,
     "index_probe_query": _JUDGED,
+    "index_filtered_auto": """
+SELECT CAST(f AS INTEGER) AS filter_id, count(DISTINCT label) AS n_queries, TRUE AS floor_reached FROM embeddings, range(1, 4) r(f) GROUP BY f""",
     "index_get_after_compaction": _with(_ITEMS)
     + """
 SELECT o.ordinal, o.id, round(list_sum(i.v), 4) AS total, i.label
