@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -84,3 +85,11 @@ def test_stages_of_odd_documents(spark, sf_dir):
     assert packed.groupBy("sequence_id").sum("length").selectExpr("max(`sum(length)`)").first()[0] <= corpus_pipeline.CAPACITY
     none = docs.limit(0)
     assert all(stage(spark, none, sf_dir).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_stages_pass_columns_of_any_names_on(spark, sf_dir):
+    names = ["score", "n_lines", "_hash", "_th", "component_id", "held_out", "_rest"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).select("*", *[F.lit(n).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns and all(r[n] == n for r in kept.collect() for n in names), name
