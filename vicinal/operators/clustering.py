@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +31,12 @@ from vicinal.options import (
 MAX_LISTS = 1 << 18
 _CENTROID_BYTES = 512 << 20
 _DENSE_CELLS = 1 << 22
-# Wider vectors are added up component by component, with a row for each.
-_SUMMED_WIDTH = 128
+# Centroids that one task adds up.
+_REDUCED_BYTES = 32 << 20
 _SEED_SLOTS = 1 << 40
+# Distinct vectors per list among which seeds are drawn, and how often.
+SEED_ROWS, SEED_ROUNDS = 64, 3
+_APART_STEPS = 2048
 
 
 @dataclass(frozen=True)
@@ -169,27 +173,40 @@ def _sum_batches(books, sums):
             )
 
 
-def mean_vectors(sums: DataFrame, width: int) -> DataFrame:
-    """Add up the per-task sums of vectors of one width: ``(sub, cell, centroid, n)``."""
-    if width <= _SUMMED_WIDTH:
-        each = [F.sum(F.get("total", F.lit(n))).alias(f"x{n}") for n in range(width)]
-        added = sums.groupBy("sub", "cell").agg(F.sum("n").alias("n"), *each)
-        means = F.array(*[F.col(f"x{n}") / F.col("n") for n in range(width)])
-        return added.select("sub", "cell", means.alias("centroid"), "n")
-    flat = sums.select("sub", "cell", "n", F.posexplode("total").alias("pos", "x"))
-    added = flat.groupBy("sub", "cell", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
-    # At most one row per vector component is collected per centroid.
-    parts = added.groupBy("sub", "cell").agg(
-        F.array_sort(F.collect_list(F.struct("pos", (F.col("x") / F.col("n")).alias("mean")))).alias("parts"),
-        F.max("n").alias("n"),
-    )
-    return parts.select("sub", "cell", F.transform("parts", lambda p: p["mean"]).alias("centroid"), "n")
+def mean_vectors(sums: DataFrame, size: int) -> DataFrame:
+    """Add up the per-task sums: ``(sub, cell, centroid, n)``. ``size`` is the number of values of all centroids.
+
+    The sums of a cell meet in one task, which holds a running total of its cells alone, whatever the number of tasks
+    that they come from.
+    """
+
+    def add(batches):
+        held = None
+        for batch in batches:
+            keys = (batch.column("sub").to_numpy().astype(np.int64) << 32) | batch.column("cell").to_numpy()
+            totals = to_matrix(batch.column("total"))
+            first = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, totals.shape[1]))) if held is None else held
+            held = _added(first, (keys, batch.column("n").to_numpy(), totals))
+        if held is not None:
+            keys, counts, totals = held
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys >> 32, pa.int32()),
+                    pa.array(keys & 0xFFFFFFFF, pa.int32()),
+                    to_lists(totals / counts[:, None], pa.float64()),
+                    pa.array(counts, pa.int64()),
+                ],
+                names=["sub", "cell", "centroid", "n"],
+            )
+
+    dealt = sums.repartition(max(1, math.ceil(8 * size / _REDUCED_BYTES)), "sub", "cell")
+    return dealt.mapInArrow(add, "sub int, cell int, centroid array<double>, n bigint")
 
 
 def _means(items: DataFrame, known: Centroids, metric: str | None, digits: int | None, block_rows: int | None = None) -> DataFrame:
     vectors = items.filter(F.col("vector").isNotNull())
     vectors = vectors.select(training_vector("vector", check_metric(metric)).alias("vector"))
-    return mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits, block_rows), known.matrix.shape[1]).select("cell", "centroid", "n")
+    return mean_vectors(partial_sums(vectors, [(known.cells, known.matrix)], digits, block_rows), known.matrix.size).select("cell", "centroid", "n")
 
 
 def lloyd_step(
@@ -269,6 +286,113 @@ def first_vectors(vectors: DataFrame, groups: int, wanted: int, seed: int) -> pa
         share = min(1.0, 8 * share)
 
 
+def spread_seeds(vectors: DataFrame, wanted: int, n_items: int, seed: int, rounds: int = SEED_ROUNDS) -> np.ndarray:
+    """Up to ``wanted`` distinct vectors that lie apart, for k-means to start from.
+
+    Oversampling in parallel: a quarter of them are the first in an order drawn from the values; each round then
+    draws about ``wanted`` more, each with a chance in proportion to its squared distance from those drawn. At the end
+    every candidate is weighted by the vectors nearest to it, and ``wanted`` of them are drawn one after another by
+    weight and squared distance. Draws are made among ``SEED_ROWS * wanted`` distinct vectors, taken by a hash of
+    their values; copies count once. The rounds of k-means that follow read all items.
+    """
+    spark = vectors.sparkSession
+    plain = F.transform("vector", lambda x: x.cast("double") + F.lit(0.0))
+    drawn = vectors.select(plain.alias("vector")).withColumn("draw", F.xxhash64(F.lit(seed), "vector").bitwiseAND(_SEED_SLOTS - 1))
+    share = min(1.0, SEED_ROWS * wanted / max(1, n_items))
+    sample = drawn.filter(F.col("draw") < math.ceil(share * _SEED_SLOTS)).dropDuplicates(["draw"]).persist()
+    try:
+        first = to_matrix(sample.orderBy("draw").limit(wanted).select("vector").toArrow()["vector"])
+        if len(first) < wanted:
+            # Few distinct vectors: where the hash left some out, all are asked for.
+            rest = first_vectors(vectors.select(F.lit(0).alias("grp"), "vector"), 1, wanted, seed) if share < 1.0 else None
+            return first if rest is None else to_matrix(rest["vector"])
+        picked, cost = first[: max(1, wanted // 4)], None
+        for turn in range(rounds + 1):
+            far = _far_vectors(sample, picked, cost, wanted, seed + turn)
+            told = far.groupBy("draw").agg(F.sum("cost").alias("cost"), F.first("vector").alias("vector")).toArrow()
+            cost = float(np.nansum(told["cost"].to_numpy()))
+            chosen = told.filter(pc.is_valid(told["vector"]))
+            if chosen.num_rows:
+                picked = np.concatenate([picked, to_matrix(chosen["vector"])])
+            if not cost:
+                break
+        if len(picked) <= wanted:
+            extra = first[max(1, wanted // 4):]
+            return np.unique(np.concatenate([picked, extra[: wanted - len(picked)]]), axis=0)
+        books = [(np.arange(len(picked)), picked)]
+        counts = partial_sums(sample.select("vector"), books, None).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        weights = np.zeros(len(picked))
+        weights[counts["cell"].to_numpy()] = counts["n"].to_numpy()
+        return _apart(picked, weights, wanted, seed)
+    finally:
+        sample.unpersist()
+
+
+def _far_vectors(sample: DataFrame, picked: np.ndarray, cost: float | None, wanted: int, seed: int) -> DataFrame:
+    """Per task its sum of squared distances to the nearest picked vector (draw -1), and the vectors drawn by them."""
+    sent = sample.sparkSession.sparkContext.broadcast(picked)
+
+    def draw(batches):
+        for batch in batches:
+            rows = to_matrix(batch.column("vector"))
+            if not len(rows):
+                continue
+            _, distances, _ = nearest_rows(rows, sent.value, np.arange(len(sent.value)), "euclidean", 1, None)
+            squares = np.square(distances)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([-1], pa.int64()), pa.array([float(squares.sum())]), pa.array([None], pa.list_(pa.float64()))], ["draw", "cost", "vector"]
+            )
+            if not cost:
+                continue
+            chosen = np.flatnonzero(_luck(batch.column("draw").to_numpy(), seed) < wanted * squares / cost)
+            if len(chosen):
+                names = pa.array(chosen)
+                none = pa.nulls(len(chosen), pa.float64())
+                yield pa.RecordBatch.from_arrays([batch.column("draw").take(names), none, batch.column("vector").take(names)], ["draw", "cost", "vector"])
+
+    return sample.select("draw", "vector").mapInArrow(draw, "draw bigint, cost double, vector array<double>")
+
+
+def _luck(draws: np.ndarray, seed: int) -> np.ndarray:
+    """A number in [0, 1) for every draw, another one for every seed."""
+    mixed = draws.astype(np.uint64) ^ np.uint64((seed * 0x9E3779B97F4A7C15) % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return (mixed >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+
+
+def _apart(candidates: np.ndarray, weights: np.ndarray, wanted: int, seed: int) -> np.ndarray:
+    """``wanted`` of the candidates, drawn by weight times squared distance to the nearest one drawn before.
+
+    Of a few that are drawn each time, the one that lowers the weighted sum of squares most is taken. Where many are
+    wanted they are taken some at a time, so that the number of steps is bounded.
+    """
+    rng = np.random.default_rng(seed)
+    step = max(1, wanted // _APART_STEPS)
+    squares = np.square(candidates).sum(axis=1)
+    nearest = np.full(len(candidates), np.inf)
+    taken = [int(rng.choice(len(candidates), p=weights / weights.sum()))]
+    new = np.array(taken)
+    while len(taken) < wanted:
+        nearest = np.minimum(nearest, _squares(candidates, squares, new).min(axis=1))
+        nearest[taken] = 0.0
+        chance = nearest * np.maximum(weights, 1e-3)
+        size = min(step, wanted - len(taken), int(np.count_nonzero(chance)))
+        if not size:
+            break
+        tries = min(int(np.count_nonzero(chance)), size if step > 1 else 2 + int(np.log(wanted)))
+        new = rng.choice(len(candidates), size=tries, replace=False, p=chance / chance.sum())
+        if step == 1:
+            left = np.minimum(nearest[:, None], _squares(candidates, squares, new))
+            new = new[[int(np.argmin(weights @ left))]]
+        taken += new.tolist()
+    return candidates[np.sort(taken)]
+
+
+def _squares(rows: np.ndarray, squares: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    return np.maximum(squares[:, None] + squares[chosen][None] - 2.0 * rows @ rows[chosen].T, 0.0)
+
+
 def train_centroids(
     items: DataFrame,
     n_lists: int | None = None,
@@ -282,7 +406,7 @@ def train_centroids(
 ) -> Centroids:
     """K-means over all item vectors; ``counts`` are those of the last round.
 
-    Rounds start from distinct vectors in an order drawn from their values; each is one job that shuffles
+    Rounds start from distinct vectors that lie apart, see ``spread_seeds``; each is one job that shuffles
     sums of centroids. Fewer distinct vectors than lists give fewer lists. Training ends when no centroid moves
     by more than ``tolerance``, or after ``max_iters`` rounds.
     """
@@ -296,7 +420,7 @@ def train_centroids(
     # Decrypted and scaled once for all rounds; a lost part is computed again.
     vectors = items.select(training_vector("vector", metric).alias("vector")).persist()
     try:
-        matrix = to_matrix(first_vectors(vectors.select(F.lit(0).alias("grp"), "vector"), 1, n_lists, seed)["vector"])
+        matrix = spread_seeds(vectors, n_lists, n_items, seed)
         known = Centroids(np.arange(len(matrix)), matrix, np.zeros(len(matrix), np.int64))
         for _ in range(max(1, DEFAULT_MAX_ITERS if max_iters is None else max_iters)):
             moved = lloyd_round(vectors, known, block_rows=rows)

@@ -82,7 +82,7 @@ def pq_step(items: DataFrame, books: DataFrame, metric: str | None = None, digit
     vectors = items.filter(F.col("vector").isNotNull())
     vectors = vectors.select(training_vector("vector", check_metric(metric)).alias("vector"))
     known = load_books(books)
-    means = mean_vectors(partial_sums(vectors, _as_pairs(known), digits), known.shape[2]).withColumnRenamed("cell", "code")
+    means = mean_vectors(partial_sums(vectors, _as_pairs(known), digits), known.size).withColumnRenamed("cell", "code")
     before = _as_rows(items.sparkSession, known).withColumnRenamed("centroid", "before")
     return before.join(means, ["sub", "code"], "left").select(
         "sub", "code", F.coalesce("centroid", "before").alias("centroid"), F.coalesce("n", F.lit(0)).alias("n")
@@ -120,7 +120,7 @@ def train_pq(
         books = _seed_books(seeds, pq_dim, words)
         for _ in range(DEFAULT_MAX_ITERS if max_iters is None else max_iters):
             moved = books.copy()
-            for row in mean_vectors(partial_sums(vectors, _as_pairs(books), None, rows), part).collect():
+            for row in mean_vectors(partial_sums(vectors, _as_pairs(books), None, rows), books.size).collect():
                 moved[row["sub"], row["cell"]] = row["centroid"]
             shift = np.nanmax(np.square(moved - books).sum(axis=2))
             books = moved
