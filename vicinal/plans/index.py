@@ -50,7 +50,7 @@ from vicinal.options import (
     check_probes,
     check_top_k,
 )
-from vicinal.sources.index_store import PLAIN_KINDS, IndexStore, known_seq, new_uid, next_seq, write_changes
+from vicinal.sources.index_store import LEASE_SECONDS, PLAIN_KINDS, IndexStore, known_seq, new_uid, next_seq, write_changes
 from vicinal.streaming.ingest import stream_batches
 
 _CENTROID_KIND = {"centroid": "array<double>"}
@@ -69,9 +69,10 @@ class VectorStore:
         train_threshold: int = TRAIN_THRESHOLD,
         retrain_multiplier: float = RETRAIN_MULTIPLIER,
         bucket_bytes: int = BUCKET_BYTES,
+        lease_seconds: float = LEASE_SECONDS,
     ):
         self.spark = spark
-        self.store = IndexStore(spark, root)
+        self.store = IndexStore(spark, root, lease_seconds)
         self.embedder = embedder
         self.embedders = {"token-hash": None, **(embedders or {})}
         self.train_threshold = train_threshold
@@ -137,6 +138,10 @@ class VectorStore:
     def list_indexes(self) -> DataFrame:
         return list_indexes(self.store.catalog())
 
+    def training_running(self) -> DataFrame:
+        """``(index_name, n_trainings)`` of the indexes that are being trained just now, here or elsewhere."""
+        return self.spark.createDataFrame(self.store.running_trainings(), "index_name string, n_trainings int")
+
     def describe(self, name: str | None = None) -> DataFrame:
         return describe_index(self.store.catalog(), name)
 
@@ -173,12 +178,13 @@ class VectorIndex:
         return self._entry()["is_trained"]
 
     def status(self) -> DataFrame:
-        """Trained or not, at which size, and whether training is due."""
+        """Trained or not, at which size, whether training is due and whether one runs."""
         entry = self._entry()
         row = (self.name, entry["is_trained"], entry["trained_count"])
         catalog = self.spark.createDataFrame([row], "index_name string, is_trained boolean, trained_count bigint")
         counts = self._items(entry).agg(F.count("*").alias("n_items")).withColumn("index_name", F.lit(self.name))
-        return training_status(catalog, counts, self.owner.train_threshold, self.owner.retrain_multiplier)
+        known = training_status(catalog, counts, self.owner.train_threshold, self.owner.retrain_multiplier)
+        return known.withColumn("is_training", F.lit(self.name in dict(self.store.running_trainings())))
 
     def delete_index(self) -> None:
         """Drop the index and its files; this handle is invalid afterwards."""
@@ -299,9 +305,13 @@ class VectorIndex:
 
         The work starts from a compacted snapshot and reads all of it. ``batch_size`` and ``max_memory``
         (MB) bound the vectors that a task compares at once. The default number of probes is measured on
-        ``calibration_queries`` items.
+        ``calibration_queries`` items. While it runs the index is listed by ``training_running``.
         """
         block_rows(batch_size, max_memory, n_lists or 1)
+        with self.store.training_mark(self._entry()):
+            self._train(n_lists, batch_size, max_iters, tolerance, max_memory, top_k, seed, calibration_queries)
+
+    def _train(self, n_lists, batch_size, max_iters, tolerance, max_memory, top_k, seed, calibration_queries) -> None:
         self.compact()
         entry = self._entry()
         items = self._items(entry)

@@ -7,6 +7,7 @@ Distances are rounded to six decimals before they are ranked; ids break ties.
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,7 @@ from vicinal.operators.training import training_status
 from vicinal.options import IVF, IVFPQ, IVFFlat
 from vicinal.plans.index import VectorStore
 from vicinal.session import shared_dir
-from vicinal.sources.index_store import log_schema
+from vicinal.sources.index_store import LeaseLost, log_schema
 from vicinal.sources.item_files import read_items_json, write_items_json
 from vicinal.sources.sample_tables import (
     change_log,
@@ -691,6 +692,47 @@ def _refused(error: type, call) -> int:
     return 0
 
 
+def training_running(spark, sf_dir):
+    """The list of running trainings before, while and after an index over all vectors is trained."""
+    store = VectorStore(spark, shared_dir(spark, "index"))
+    index = store.create_index("sample", KEY, IVFFlat(64), encrypt=())
+    index.upsert(vector_items(spark, sf_dir), auto_train=False)
+    seen = {"before": store.training_running().count(), "during": 0}
+    with ThreadPoolExecutor(1) as pool:
+        job = pool.submit(index.train, n_lists=4, max_iters=2)
+        while not job.done():
+            seen["during"] = max(seen["during"], len(store.store.running_trainings()))
+            time.sleep(0.1)
+        job.result()
+    seen["after"] = store.training_running().count()
+    counts = spark.createDataFrame(list(seen.items()), "step string, n bigint")
+    return counts.unionByName(index.status().select(F.lit("trained_items").alias("step"), F.col("trained_count").alias("n")))
+
+
+def dead_claim_taken_over(spark, sf_dir):
+    """A writer that died between its claim and its row: the next one takes over, and a late one fails."""
+    store = VectorStore(spark, shared_dir(spark, "index"), lease_seconds=600.0)
+    folder, root = store.store.folder, store.store.root
+    folder.create(f"{root}/_claims/sample/{1:012d}/000")
+    found = {"created_within_lease": 1 - _refused(ValueError, lambda: store.create_index("sample", KEY, IVFFlat(64), encrypt=()))}
+    # The lease runs out.
+    store.store.lease_seconds = 0.0
+    index = store.create_index("sample", KEY, IVFFlat(64), encrypt=())
+    index.upsert(vector_items(spark, sf_dir), auto_train=False)
+    entry = index._entry()
+    folder.create(f"{root}/_claims/sample/{entry['version'] + 1:012d}/000")
+    index.compact()
+    found["late_writer_passes"] = 1 - _refused(LeaseLost, lambda: _write_late(store.store, entry))
+    found["compacted_items"] = index._entry()["snapshot_count"]
+    return spark.createDataFrame(list(found.items()), "step string, n bigint")
+
+
+def _write_late(store, entry: dict) -> None:
+    """What the first claimant does when it goes on after all."""
+    claims = f"{store.root}/_claims/{entry['index_name']}/{entry['version'] + 1:012d}"
+    store._require_lease(claims, 0)
+
+
 def concurrent_upserts(spark, sf_dir):
     """One upsert per label, all at once, into an index that has no dimension yet."""
     index = VectorStore(spark, shared_dir(spark, "index")).create_index("shared", KEY, encrypt=())
@@ -760,6 +802,7 @@ QUERIES = {
         content_query, embed_on_ingest, training_decision, catalog_list, catalog_describe,
         encrypted_roundtrip, encrypted_vectors, index_query, index_trained_query, index_ivf_query, index_ivfpq_query,
         index_probe_query, index_filtered_auto, knn_bounded, index_get_after_compaction, index_contract, concurrent_upserts,
+        training_running, dead_claim_taken_over,
         stream_upsert_log, stream_query, stream_then_upsert, filter_big_int,
     )
 }

@@ -358,6 +358,12 @@ SELECT step, CAST(n AS BIGINT) AS n FROM (VALUES ('hits_of_empty', 0), ('trained
   ('two_inputs_pass', 0), ('no_input_passes', 0), ('second_create_passes', 0), ('listed', 1), ('listed_after_drop', 0),
   ('dropped_loads', 0)) t(step, n)
 UNION ALL SELECT 'loaded_items', count(*) FROM embeddings""",
+    "training_running": """
+SELECT step, CAST(n AS BIGINT) AS n FROM (VALUES ('before', 0), ('during', 1), ('after', 0)) t(step, n)
+UNION ALL SELECT 'trained_items', count(*) FROM embeddings""",
+    "dead_claim_taken_over": """
+SELECT step, CAST(n AS BIGINT) AS n FROM (VALUES ('created_within_lease', 0), ('late_writer_passes', 0)) t(step, n)
+UNION ALL SELECT 'compacted_items', count(*) FROM embeddings""",
     "concurrent_upserts": "SELECT label, count(*) AS n_items FROM embeddings GROUP BY label",
     "stream_then_upsert": """
 SELECT CASE WHEN label <= 2 THEN 'stream-3' WHEN label <= 4 THEN 'batch-2' WHEN label <= 6 THEN 'stream-1' ELSE 'batch-0' END AS contents,

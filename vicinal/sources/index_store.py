@@ -1,7 +1,8 @@
 """Where an index lives: an append-only catalogue, a change log, snapshots, lists.
 
-    <root>/_catalog/<name>/<version>    one row each, the latest wins
-    <root>/_claims/<name>/<version>     who may write that version: created exclusively
+    <root>/_catalog/<name>/<version>-<attempt>   one row each, the latest wins
+    <root>/_claims/<name>/<version>/<attempt>    who may write that version: created exclusively
+    <root>/_training/<name>/<uid>                a training that runs, renewed while it does
     <root>/<name>/<uid>/log/<batch>     one directory per committed change set
     <root>/<name>/<uid>/items/gen=<uid>/bucket=<n>  compacted items, by a hash of the id
     <root>/<name>/<uid>/lists/<uid>     centroids, cells and codebooks of one training
@@ -11,14 +12,22 @@ No file is ever rewritten. A change set counts once its directory carries Spark'
 version belongs to the writer that created its claim, an exclusive create on the file system; any
 other reads the newest version again and puts its own changes on top of it.
 
+A claim is a lease. Once it is older than the lease and its version is still not there, another writer takes the next
+attempt; readers follow the highest attempt that was committed. A writer looks at the claims before its row
+becomes visible and again afterwards, while one that takes over looks at the catalogue after it has claimed; so
+one of the two sees the other, and a writer that lost its lease fails instead of believing that it committed.
+
 The snapshot is the sum of its generations: a compaction writes the buckets anew that the change set touches,
 and the catalogue says which generation holds which buckets.
 """
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -36,10 +45,16 @@ CATALOG_SCHEMA = """
     covered array<string>, lists string, lists_covered array<string>, dropped boolean,
     buckets int, parts array<struct<gen:string,buckets:array<int>>>
 """
-_CLAIM_POLL, _CLAIM_SECONDS = 0.2, 60.0
+_CLAIM_POLL = 0.2
+#: Seconds after which a claim, or the mark of a training, counts as dead unless it was renewed.
+LEASE_SECONDS = 60.0
 PLAIN_KINDS = {"vector": "array<float>", "contents": "string", "metadata": "variant"}
 
 
+class LeaseLost(RuntimeError):
+    """Another writer has taken over what this one had claimed; its change may not count."""
+
+
 class Folder:
     """The few file-system calls Spark has no DataFrame for, on any Hadoop file system."""
 
@@ -82,6 +97,15 @@ class Folder:
         system, path = self._path(path)
         return system.getContentSummary(path).getLength() if system.exists(path) else 0
 
+    def age(self, path: str) -> float:
+        """Seconds since the file was written or renewed, by this machine's clock."""
+        system, path = self._path(path)
+        return time.time() - system.getFileStatus(path).getModificationTime() / 1000.0
+
+    def renew(self, path: str) -> None:
+        system, path = self._path(path)
+        system.setTimes(path, int(time.time() * 1000), -1)
+
     def names(self, path: str) -> list[str]:
         system, pattern = self._path(f"{path}/*")
         return sorted(status.getPath().getName() for status in system.globStatus(pattern) or [])
@@ -93,10 +117,11 @@ class Folder:
 
 
 class IndexStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, lease_seconds: float = LEASE_SECONDS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.folder = Folder(spark)
+        self.lease_seconds = lease_seconds
 
     @property
     def catalog_path(self) -> str:
@@ -116,21 +141,51 @@ class IndexStore:
         return row.asDict()
 
     def append_entry(self, entry: dict) -> dict:
-        """Commit the next version of an index; FileExistsError if another writer has claimed it."""
-        entry = {**entry, "version": (entry.get("version") or 0) + 1, "uid": new_uid()}
-        place = f"{entry['index_name']}/{entry['version']:012d}"
-        if not self.folder.create(f"{self.root}/_claims/{place}"):
-            raise FileExistsError(place)
-        self.spark.createDataFrame([entry], CATALOG_SCHEMA).coalesce(1).write.parquet(f"{self.catalog_path}/{place}")
+        """Commit the next version of an index.
+
+        FileExistsError if another writer has committed it, or claimed it within the lease; LeaseLost if this one was
+        so slow that another took over.
+        """
+        name, version = entry["index_name"], (entry.get("version") or 0) + 1
+        claims, attempt = f"{self.root}/_claims/{name}/{version:012d}", self._next_attempt(name, version)
+        if not self.folder.create(f"{claims}/{attempt:03d}"):
+            raise FileExistsError(claims)
+        if self._committed(name, version):
+            raise FileExistsError(claims)
+        # The attempt leads the uid, so that of two rows of one version the higher attempt counts.
+        entry = {**entry, "version": version, "uid": f"{attempt:03d}-{new_uid()}"}
+        self._require_lease(claims, attempt)
+        self._write_entry(entry, f"{self.catalog_path}/{name}/{version:012d}-{attempt:03d}")
+        self._require_lease(claims, attempt)
         return entry
 
+    def _write_entry(self, entry: dict, path: str) -> None:
+        self.spark.createDataFrame([entry], CATALOG_SCHEMA).coalesce(1).write.parquet(path)
+
+    def _committed(self, name: str, version: int) -> bool:
+        return any(v.startswith(f"{version:012d}-") for v in self.folder.committed(f"{self.catalog_path}/{name}"))
+
+    def _next_attempt(self, name: str, version: int) -> int:
+        """0, or one more than an attempt whose lease has run out."""
+        claims = f"{self.root}/_claims/{name}/{version:012d}"
+        attempts = self.folder.names(claims)
+        if not attempts:
+            return 0
+        if self._committed(name, version) or self.folder.age(f"{claims}/{attempts[-1]}") < self.lease_seconds:
+            raise FileExistsError(claims)
+        return int(attempts[-1]) + 1
+
+    def _require_lease(self, claims: str, attempt: int) -> None:
+        newest = self.folder.names(claims)[-1]
+        if int(newest) != attempt:
+            raise LeaseLost(f"another writer took over {claims} as attempt {newest}; read the catalogue and try again")
+
     def update_entry(self, entry: dict, changes: dict, unless: str | None = None) -> dict:
         """Commit changes on top of the newest version of this index.
 
-        With ``unless`` nothing is written if that field has a value by then. A claim whose writer has died
-        is passed over after ``_CLAIM_SECONDS``.
+        With ``unless`` nothing is written if that field has a value by then. Waits for other writers, for a
+        dead one as long as its lease.
         """
-        waited, skipped = 0.0, 0
         while True:
             newest = self.newest(entry["index_name"])
             if newest is None or newest["dropped"] or newest["index_uid"] != entry["index_uid"]:
@@ -138,12 +193,42 @@ class IndexStore:
             if unless is not None and newest[unless] is not None:
                 return newest
             try:
-                return self.append_entry({**newest, **changes, "version": newest["version"] + skipped})
+                return self.append_entry({**newest, **changes})
             except FileExistsError:
                 time.sleep(_CLAIM_POLL)
-                waited += _CLAIM_POLL
-                if waited > _CLAIM_SECONDS:
-                    waited, skipped = 0.0, skipped + 1
+
+    @contextmanager
+    def training_mark(self, entry: dict) -> Iterator[None]:
+        """A mark that says that this index is being trained, renewed until the training ends."""
+        mark, ended = f"{self.root}/_training/{entry['index_name']}/{new_uid()}", threading.Event()
+        self.folder.create(mark)
+
+        def renew() -> None:
+            while not ended.wait(self.lease_seconds / 4):
+                self.folder.renew(mark)
+
+        keeper = threading.Thread(target=renew, daemon=True)
+        keeper.start()
+        try:
+            yield
+        finally:
+            ended.set()
+            keeper.join()
+            self.folder.delete(mark)
+
+    def running_trainings(self) -> list[tuple[str, int]]:
+        """Names of the indexes in training and how many trainings of each; marks that were not renewed are dead."""
+        base, found = f"{self.root}/_training", []
+        for name in self.folder.names(base):
+            alive = sum(self._renewed(f"{base}/{name}/{mark}") for mark in self.folder.names(f"{base}/{name}"))
+            found += [(name, alive)] if alive else []
+        return found
+
+    def _renewed(self, mark: str) -> bool:
+        try:
+            return self.folder.age(mark) < self.lease_seconds
+        except Py4JJavaError:  # it ended meanwhile
+            return False
 
     def index_path(self, entry: dict) -> str:
         return f"{self.root}/{entry['index_name']}/{entry['index_uid']}"
@@ -175,8 +260,13 @@ class IndexStore:
         return f"{self.index_path(entry)}/items"
 
     def snapshot_size(self, entry: dict) -> int:
-        base = self.items_path(entry)
-        return sum(self.folder.size(f"{base}/gen={p['gen']}/bucket={n}") for p in entry["parts"] or [] for n in p["buckets"])
+        """About the bytes of the living buckets: each generation's by the share of its buckets that live."""
+        base, total = self.items_path(entry), 0
+        for part in entry["parts"] or []:
+            path = f"{base}/gen={part['gen']}"
+            written = sum(name.startswith("bucket=") for name in self.folder.names(path))
+            total += self.folder.size(path) * min(1.0, len(part["buckets"]) / max(1, written))
+        return int(total)
 
 
 def new_uid() -> str:
