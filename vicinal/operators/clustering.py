@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vicinal.functions.blocks import nearest_rows
+from vicinal.functions.centroid_tree import CentroidTree, nearest_place, plant
 from vicinal.functions.distance import normalise
 from vicinal.functions.vectors import to_lists, to_matrix
 from vicinal.operators.search import collect_bounded
@@ -77,28 +78,37 @@ def training_vector(vector: Column | str, metric: str) -> Column:
 
 def nearest_cell(spark, vector: Column, centroids: Centroids, digits: int | None = None) -> Column:
     """The closest centroid's cell as a column expression, ties to the smaller cell."""
-    sent = spark.sparkContext.broadcast(centroids)
+    sent = spark.sparkContext.broadcast((centroids, plant(centroids.matrix)))
 
     def assign(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
             return pa.array([], pa.int32())
-        known = sent.value
+        known, tree = sent.value
         present = np.flatnonzero(vectors.is_valid().to_numpy(zero_copy_only=False))
         cells = np.full(len(vectors), -1, np.int64)
         if len(present):
             rows = to_matrix(vectors.take(pa.array(present)))
-            at, _, found = nearest_rows(rows, known.matrix, known.cells, "euclidean", 1, digits)
-            cells[present[at]] = found
+            cells[present] = known.cells[_places(rows, known.matrix, tree, digits)]
         return pa.array(cells, pa.int32(), mask=cells < 0)
 
     assign.__annotations__ = {"vectors": pa.Array, "return": pa.Array}
     return F.arrow_udf(assign, T.IntegerType())(vector)
 
 
+def _places(rows: np.ndarray, matrix: np.ndarray, tree: CentroidTree | None, digits: int | None) -> np.ndarray:
+    """The place of the nearest centroid of every row; places ascend with the cell, so ties go to the smaller one."""
+    if tree is not None:
+        return nearest_place(rows, tree, digits)[0]
+    at, _, found = nearest_rows(rows, matrix, np.arange(len(matrix)), "euclidean", 1, digits)
+    places = np.zeros(len(rows), np.int64)
+    places[at] = found
+    return places
+
+
 def assign_cells(
     items: DataFrame, centroids: DataFrame | Centroids, metric: str | None = None, digits: int | None = None
 ) -> DataFrame:
-    """Add ``cell``, the nearest centroid of each vector. No shuffle."""
+    """Add ``cell``, the nearest centroid of each vector. No shuffle; many centroids are searched through a tree."""
     known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
     vector = training_vector("vector", check_metric(metric))
     return items.withColumn("cell", nearest_cell(items.sparkSession, vector, known, digits))
@@ -112,7 +122,7 @@ def partial_sums(
     At most ``block_rows`` vectors are compared with the centroids at once. ``books`` has one ``(cells, matrix)`` pair per slice of the vector, the slices
     lying side by side: one pair for coarse lists, several for product quantisation.
     """
-    sent = vectors.sparkSession.sparkContext.broadcast(books)
+    sent = vectors.sparkSession.sparkContext.broadcast([(cells, matrix, plant(matrix)) for cells, matrix in books])
     dense = sum(matrix.size for _, matrix in books) <= _DENSE_CELLS
 
     def add(batches):
@@ -122,11 +132,10 @@ def partial_sums(
         for batch in (part.slice(at, step) for part in batches for at in range(0, part.num_rows, step)):
             rows = to_matrix(batch.column(0))
             sums, start = [], 0
-            for cells, matrix in books:
-                part = rows[:, start : start + matrix.shape[1]]
+            for cells, matrix, tree in books:
+                part = np.ascontiguousarray(rows[:, start : start + matrix.shape[1]])
                 start += matrix.shape[1]
-                at, _, found = nearest_rows(part, matrix, np.arange(len(cells)), "euclidean", 1, digits)
-                sums.append(_group_sums(part[at], found, len(cells) if dense else None))
+                sums.append(_group_sums(part, _places(part, matrix, tree, digits), len(cells) if dense else None))
             if held is None:
                 held = sums
             elif dense:
@@ -159,7 +168,7 @@ def _added(one, two):
 
 
 def _sum_batches(books, sums):
-    for sub, ((cells, _), (present, counts, totals)) in enumerate(zip(books, sums)):
+    for sub, ((cells, _, _), (present, counts, totals)) in enumerate(zip(books, sums)):
         used = np.flatnonzero(counts)
         if len(used):
             yield pa.RecordBatch.from_arrays(
