@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,12 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps: Spark deletes them once the driver has collected their plans."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
