@@ -28,7 +28,8 @@ SENSITIVE = re.compile(
     r"password|passwd|passphrase|pwd|secret|token|api_?key|access_?key|private_?key|auth|credential|bearer|signature",
     re.IGNORECASE | re.ASCII,
 )
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+CANDIDATE_LEAST = 12
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{CANDIDATE_LEAST},}}")
 #: Code points between a sensitive word and the candidate, and of surrounding text that primes the compressor.
 REACH, AROUND = 48, 512
 #: Longest part of a candidate that is compressed at once; longer ones are measured part by part.
@@ -84,6 +85,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _candidates(text: str, start: int, stop: int) -> Iterator[re.Match]:
+    """Candidates that begin up to ``stop``; what lies behind is not looked at, so many words cost no more than the text."""
+    while first := CANDIDATE.search(text, start, min(len(text), stop + CANDIDATE_LEAST)):
+        whole = CANDIDATE.match(text, first.start())
+        yield whole
+        start = whole.end()
+
+
 def novel_spans(text: str, known: list[tuple[int, int, int]], least_bits: float = NOVEL_BITS) -> list[tuple[int, int, int]]:
     """Further spans: strings near a sensitive word that stay incompressible beside their surroundings.
 
@@ -94,9 +103,7 @@ def novel_spans(text: str, known: list[tuple[int, int, int]], least_bits: float
     last = 0
     for word in SENSITIVE.finditer(text):
         stop = min(len(text), word.end() + REACH)
-        for m in CANDIDATE.finditer(text, max(word.end(), last)):
-            if m.start() > stop:
-                break
+        for m in _candidates(text, max(word.end(), last), stop):
             last = m.end()
             while at < len(taken) and taken[at][1] <= m.start():
                 at += 1
