@@ -1,6 +1,7 @@
 """Seeds that lie apart, and means added up by cell."""
 
 import numpy as np
+import pytest
 
 from vicinal.operators.clustering import (
     Centroids,
@@ -9,6 +10,7 @@ from vicinal.operators.clustering import (
     first_vectors,
     lloyd_round,
     mean_vectors,
+    mini_batch_round,
     spread_seeds,
     train_centroids,
 )
@@ -76,3 +78,25 @@ def test_means_of_many_tasks(spark):
             total, count = np.sum([t for _, t in own], axis=0), sum(n for n, _ in own)
             assert got[key][0] == count and np.allclose(got[key][1], total / count)
     assert mean_vectors(sums.limit(0), 3).count() == 0
+
+
+def test_mini_batches_come_close_to_full_rounds(spark):
+    rng = np.random.default_rng(8)
+    middles = rng.normal(size=(12, 5)) * 6
+    matrix = (middles[:, None] + rng.normal(size=(12, 150, 5))).reshape(-1, 5).astype(np.float32)
+    frame = vectors_of(spark, matrix)
+    full = train_centroids(frame, 12, max_iters=6, seed=3)
+    mini = train_centroids(frame, 12, max_iters=12, seed=3, mini_batch=300)
+    assert error(matrix, mini.matrix) < 1.15 * error(matrix, full.matrix)
+    assert abs(mini.counts.sum() - len(matrix)) <= 12
+    one = train_centroids(frame, 12, max_iters=2, seed=3, mini_batch=10**6)
+    assert np.allclose(one.matrix, train_centroids(frame, 12, max_iters=2, seed=3).matrix)
+    with pytest.raises(ValueError):
+        train_centroids(frame, 12, mini_batch=0)
+
+
+def test_a_mini_batch_round_moves_by_the_share_of_rows(spark):
+    matrix = np.array([[0.0], [1.0], [2.0], [10.0], [11.0]])
+    known = Centroids(np.arange(2), np.array([[0.0], [9.0]]), np.array([3, 1]))
+    moved = mini_batch_round(vectors_of(spark, matrix), known, 0, 1)
+    assert np.allclose(moved.matrix, [[0.5], [9.0 + 1.5 * 2 / 3]]) and moved.counts.tolist() == [6, 3]

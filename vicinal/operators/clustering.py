@@ -246,6 +246,21 @@ def lloyd_round(
     return Centroids(known.cells, matrix, counts)
 
 
+def mini_batch_round(
+    vectors: DataFrame, known: Centroids, turn: int, slices: int, metric: str | None = None, block_rows: int | None = None
+) -> Centroids:
+    """A round over one hash slice of the vectors; ``counts`` says how many rows have moved each centroid so far.
+
+    A centroid moves towards the mean of its rows in the slice by their share of all rows that it has seen, so
+    it is at any time the mean of those rows under the centroids of their rounds.
+    """
+    own = vectors.filter(F.pmod(F.xxhash64("vector"), F.lit(slices)) == turn % slices)
+    found = lloyd_round(own, known, metric, block_rows=block_rows)
+    seen = known.counts + found.counts
+    share = found.counts / np.maximum(seen, 1)
+    return Centroids(known.cells, known.matrix + share[:, None] * (found.matrix - known.matrix), seen)
+
+
 def most_lists(width: int) -> int:
     """Lists whose centroids every task can hold."""
     return max(1, min(MAX_LISTS, _CENTROID_BYTES // (8 * width)))
@@ -412,14 +427,18 @@ def train_centroids(
     seed: int = 42,
     shape: tuple[int, int] | None = None,
     batch_size: int | None = None,
+    mini_batch: int | None = None,
 ) -> Centroids:
     """K-means over all item vectors; ``counts`` are those of the last round.
 
     Rounds start from distinct vectors that lie apart, see ``spread_seeds``; each is one job that shuffles
     sums of centroids. Fewer distinct vectors than lists give fewer lists. Training ends when no centroid moves
-    by more than ``tolerance``, or after ``max_iters`` rounds.
+    by more than ``tolerance``, or after ``max_iters`` rounds. With ``mini_batch`` a round takes a hash slice of about so
+    many rows, one slice after another, and training ends when a whole turn over the slices moves no centroid further.
     """
     metric = check_metric(metric)
+    if mini_batch is not None and mini_batch < 1:
+        raise ValueError("mini_batch must be positive")
     items = items.filter(F.col("vector").isNotNull())
     n_items, width = shape or measure(items)
     n_lists = min(n_lists or auto_lists(n_items, width), n_items)
@@ -431,14 +450,20 @@ def train_centroids(
     try:
         matrix = spread_seeds(vectors, n_lists, n_items, seed)
         known = Centroids(np.arange(len(matrix)), matrix, np.zeros(len(matrix), np.int64))
-        for _ in range(max(1, DEFAULT_MAX_ITERS if max_iters is None else max_iters)):
-            moved = lloyd_round(vectors, known, block_rows=rows)
-            shift = np.square(moved.matrix - known.matrix).sum(axis=1).max()
-            known = moved
-            if shift <= (DEFAULT_TOLERANCE if tolerance is None else tolerance) ** 2:
-                break
+        slices = math.ceil(n_items / mini_batch) if mini_batch else 1
+        before = known
+        for turn in range(max(1, DEFAULT_MAX_ITERS if max_iters is None else max_iters)):
+            known = lloyd_round(vectors, known, block_rows=rows) if slices == 1 else mini_batch_round(vectors, known, turn, slices, block_rows=rows)
+            if turn % slices == slices - 1:
+                shift = np.square(known.matrix - before.matrix).sum(axis=1).max()
+                before = known
+                if shift <= (DEFAULT_TOLERANCE if tolerance is None else tolerance) ** 2:
+                    break
     finally:
         vectors.unpersist()
+    if slices > 1 and known.counts.sum():
+        # About the rows of each list, from all slices that were seen.
+        known = Centroids(known.cells, known.matrix, np.round(known.counts * (n_items / known.counts.sum())).astype(np.int64))
     return known
 
 
@@ -452,13 +477,15 @@ def train_ivf(
     seed: int = 42,
     shape: tuple[int, int] | None = None,
     batch_size: int | None = None,
+    mini_batch: int | None = None,
 ) -> DataFrame:
     """Centroids ``(cell, centroid, n)`` by k-means over all item vectors, with the size of every list.
 
     ``batch_size`` and ``max_memory`` (MB) bound the vectors that a task compares at once, never the rows
     that are read. A caller that knows the number of items and their dimension passes them as ``shape``.
+    ``mini_batch`` rows make up a round where given.
     """
-    known = train_centroids(items, n_lists, max_iters, tolerance, max_memory, metric, seed, shape, batch_size)
+    known = train_centroids(items, n_lists, max_iters, tolerance, max_memory, metric, seed, shape, batch_size, mini_batch)
     vectors = items.filter(F.col("vector").isNotNull()).select("vector")
     return with_counts(centroid_frame(items.sparkSession, known), assign_cells(vectors, known, metric))
 

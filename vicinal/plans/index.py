@@ -300,18 +300,19 @@ class VectorIndex:
         top_k: int = 100,
         seed: int = 42,
         calibration_queries: int = CALIBRATION_QUERIES,
+        mini_batch: int | None = None,
     ) -> None:
         """Cluster the items into lists, and quantise them for an ``ivfpq`` index.
 
         The work starts from a compacted snapshot and reads all of it. ``batch_size`` and ``max_memory``
         (MB) bound the vectors that a task compares at once. The default number of probes is measured on
-        ``calibration_queries`` items. While it runs the index is listed by ``training_running``.
+        ``calibration_queries`` items. With ``mini_batch`` a round reads a slice of about so many items. While it runs the index is listed by ``training_running``.
         """
         block_rows(batch_size, max_memory, n_lists or 1)
         with self.store.training_mark(self._entry()):
-            self._train(n_lists, batch_size, max_iters, tolerance, max_memory, top_k, seed, calibration_queries)
+            self._train(n_lists, batch_size, max_iters, tolerance, max_memory, top_k, seed, calibration_queries, mini_batch)
 
-    def _train(self, n_lists, batch_size, max_iters, tolerance, max_memory, top_k, seed, calibration_queries) -> None:
+    def _train(self, n_lists, batch_size, max_iters, tolerance, max_memory, top_k, seed, calibration_queries, mini_batch) -> None:
         self.compact()
         entry = self._entry()
         items = self._items(entry)
@@ -320,7 +321,7 @@ class VectorIndex:
         # The catalogue knows both already: no pass that decrypts every vector to count.
         shape = (entry["snapshot_count"], entry["dimension"]) if entry["snapshot_count"] else None
         # The counts of the last round shape the files; the lists themselves are counted once written.
-        centroids = train_centroids(items, n_lists or None, max_iters, tolerance, max_memory, metric, seed, shape, batch_size)
+        centroids = train_centroids(items, n_lists or None, max_iters, tolerance, max_memory, metric, seed, shape, batch_size, mini_batch)
         kept = {"ivf": ["id"], "ivfflat": ["id", "vector", "metadata"], "ivfpq": ["id"]}[entry["index_type"]]
         placed = assign_cells(items, centroids, metric)
         if entry["index_type"] == "ivfpq":
