@@ -179,6 +179,61 @@ class CodeScorer:
         return self.from_key(keys)
 
 
+@dataclass(frozen=True)
+class ResidualMetric:
+    """The same for codes of what a vector differs by from the centroid of its list.
+
+    ``cells`` ascend; ``matrix`` has their centroids.
+    """
+
+    metric: str
+    books: np.ndarray
+    cells: np.ndarray
+    matrix: np.ndarray
+
+    @property
+    def max_queries(self) -> int:
+        return CodeMetric(self.metric, self.books).max_queries
+
+    def bind(self, queries: np.ndarray) -> "ResidualScorer":
+        return ResidualScorer(self, queries)
+
+
+class ResidualScorer(CodeScorer):
+    """Lookup tables for one list at a time: of the queries less its centroid, or of the queries and a sum for the list."""
+
+    def __init__(self, known: ResidualMetric, queries: np.ndarray):
+        subs, _, width = known.books.shape
+        if queries.shape[1] != subs * width:
+            raise ValueError(f"query dimension {queries.shape[1]} differs from {subs * width}")
+        self.metric, self.known = known.metric, known
+        self.queries = _unit(queries, np.sqrt(np.einsum("ij,ij->i", queries, queries))) if known.metric == "cosine" else queries
+        self.at = np.zeros(len(queries), np.int64)
+        self.entered: tuple | None = None
+
+    def enter(self, cell: int, picked: np.ndarray) -> None:
+        if self.entered is not None and self.entered[0] == cell and np.array_equal(self.entered[1], picked):
+            return
+        self.entered = (cell, picked)
+        centroid = self.known.matrix[np.searchsorted(self.known.cells, cell)]
+        own, books = self.queries[picked], self.known.books
+        if self.metric == "euclidean":
+            self.table, self.sums = CodeScorer("euclidean", books, own - centroid).table, np.zeros(len(own))
+        else:
+            self.table, self.sums = CodeScorer("dot_product", books, own).table, -(own @ centroid)
+        self.at[picked] = np.arange(len(picked))
+
+    def lowest(self, picked: np.ndarray, prepared: np.ndarray) -> np.ndarray:
+        return super().lowest(self.at[picked], prepared) + self.sums[self.at[picked]][:, None]
+
+    def pairs(self, picked: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        places = self.at[picked]
+        keys = np.zeros(len(picked))
+        for sub in range(rows.shape[1]):
+            keys += self.table[places, sub, rows[at, sub]]
+        return self.from_key(keys + self.sums[places])
+
+
 def _unit(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.divide(rows, lengths[:, None], out=np.zeros_like(rows), where=lengths[:, None] > 0.0)
 

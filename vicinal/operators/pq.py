@@ -11,11 +11,12 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vicinal.functions.blocks import CodeMetric, nearest_rows
+from vicinal.functions.blocks import CodeMetric, ResidualMetric, nearest_rows
 from vicinal.functions.distance import distance
 from vicinal.functions.vectors import to_lists, to_matrix
 from vicinal.operators.buckets import fetch
@@ -171,6 +172,47 @@ def _nearest_codes(spark: SparkSession, vector: Column, books: np.ndarray, digit
     return F.arrow_udf(encode, T.ArrayType(T.ShortType()))(vector)
 
 
+def residuals(placed: DataFrame, centroids: Centroids, metric: str | None = None) -> DataFrame:
+    """``placed`` with each vector less the centroid of its ``cell``; unit vectors under cosine."""
+    sent = placed.sparkSession.sparkContext.broadcast(centroids)
+
+    def less(vectors: pa.Array, cells: pa.Array) -> pa.Array:
+        known = sent.value
+        there = pc.and_(vectors.is_valid(), cells.is_valid()).to_numpy(zero_copy_only=False)
+        result: list = [None] * len(vectors)
+        at = np.flatnonzero(there)
+        if len(at):
+            rows = to_matrix(vectors.take(pa.array(at)))
+            rows = rows - known.matrix[np.searchsorted(known.cells, cells.take(pa.array(at)).to_numpy())]
+            for place, row in zip(at.tolist(), rows):
+                result[place] = row
+        return pa.array(result, pa.list_(pa.float64()))
+
+    less.__annotations__ = {"vectors": pa.Array, "cells": pa.Array, "return": pa.Array}
+    made = F.arrow_udf(less, T.ArrayType(T.DoubleType()))(training_vector("vector", check_metric(metric)), F.col("cell"))
+    return placed.withColumn("vector", made)
+
+
+def decode_pq(coded: DataFrame, books: DataFrame | np.ndarray, centroids: Centroids | None = None) -> DataFrame:
+    """Add ``decoded``, the vector that the codes stand for; with centroids, of residuals, added to that of the ``cell``."""
+    array = books if isinstance(books, np.ndarray) else load_books(books)
+    sent = coded.sparkSession.sparkContext.broadcast((array, centroids))
+
+    def decode(codes: pa.Array, cells: pa.Array) -> pa.Array:
+        words, known = sent.value
+        if not len(codes):
+            return pa.array([], pa.list_(pa.float64()))
+        rows = to_matrix(codes, np.int64)
+        made = words[np.arange(words.shape[0])[None], rows].reshape(len(rows), -1)
+        if known is not None:
+            made = made + known.matrix[np.searchsorted(known.cells, cells.to_numpy(zero_copy_only=False))]
+        return pa.array(list(made), pa.list_(pa.float64()))
+
+    decode.__annotations__ = {"codes": pa.Array, "cells": pa.Array, "return": pa.Array}
+    cell = F.col("cell") if "cell" in coded.columns else F.lit(0)
+    return coded.withColumn("decoded", F.arrow_udf(decode, T.ArrayType(T.DoubleType()))("codes", cell))
+
+
 def search_pq(
     codes: DataFrame,
     books: DataFrame | np.ndarray,
@@ -188,23 +230,29 @@ def search_pq(
     limits: SearchLimits | None = None,
     prune: bool = True,
     matching: Centroids | None = None,
+    residual: bool = False,
 ) -> DataFrame:
     """Search the codes, then order the best ``rerank * top_k`` by exact distance.
 
     ``codes`` is ``(id, codes)`` and, when ``centroids`` are given, ``cell``. With
     ``rerank=0`` the approximate distances are returned as they are. ``matching`` is as for ``probe``.
+    ``residual`` says that the codes are of ``residuals``; that needs centroids.
     """
     top_k, metric = check_top_k(top_k), check_metric(metric)
     fields = hit_fields(include)
     array = books if isinstance(books, np.ndarray) else load_books(books)
     if filters:
         codes = codes.join(filter_items(items, filters).select("id"), "id", "left_semi")
-    asked = queries
+    asked, scored = queries, CodeMetric(metric, array)
+    if residual and centroids is None:
+        raise ValueError("codes of residuals need the centroids")
     if centroids is not None:
         known = centroids if isinstance(centroids, Centroids) else load_centroids(centroids)
         asked = _routed(queries, known, metric, top_k, n_probes, greedy, matching, digits)
+        if residual:
+            scored = ResidualMetric(metric, array, known.cells, known.matrix)
     wanted = top_k * max(1, rerank)
-    hits, n_queries = search(codes, asked, CodeMetric(metric, array), wanted, "codes", digits, limits, prune)
+    hits, n_queries = search(codes, asked, scored, wanted, "codes", digits, limits, prune)
     if rerank > 0:
         small = n_queries is not None and few(n_queries * wanted)
         rough = hits.select("query_id", "id")

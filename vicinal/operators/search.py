@@ -278,6 +278,8 @@ def _by_broadcast(base, queries, shipped, metric, top_k, digits, shards, stride:
             for cell, part in zip(found, np.split(order, starts[1:])):
                 picked = probers.get(int(cell))
                 if picked is not None:
+                    if hasattr(best.scorer, "enter"):
+                        best.scorer.enter(int(cell), picked)
                     best.offer(picked, rows[part], TextIds(names.take(pa.array(part))))
         shard = TaskContext.get().partitionId() % shards
         yield from _hit_batches(best, ids, shard)
@@ -367,6 +369,8 @@ def _by_blocks(base, queries, metric, top_k, digits, limits, shards) -> DataFram
             return kinds.empty_table()
         scorer = metric.bind(to_matrix(asked["query_vector"]))
         best = TopK(scorer, asked.num_rows, top_k, digits)
+        if hasattr(scorer, "enter"):
+            scorer.enter(key[0].as_py(), np.arange(asked.num_rows))
         best.offer(np.arange(asked.num_rows), scorer.read(rows["value"]), TextIds(rows["id"].combine_chunks()))
         shard = int(key[1].as_py()) % shards
         batches = list(_hit_batches(best, asked["query_id"].combine_chunks(), shard))

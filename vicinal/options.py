@@ -56,11 +56,12 @@ class IVFFlat:
 
 @dataclass(frozen=True)
 class IVFPQ:
-    """Inverted lists that hold product-quantiser codes."""
+    """Inverted lists that hold product-quantiser codes, of what vectors differ by from their list's centroid."""
 
     dimension: int | None
     pq_dim: int
     pq_bits: int
+    residual: bool = True
     index_type = "ivfpq"
 
 

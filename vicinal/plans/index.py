@@ -32,7 +32,7 @@ from vicinal.operators.items import (
 )
 from vicinal.operators.ivf import calibrate_probes, matching_lists, probe
 from vicinal.operators.knn import knn_exact
-from vicinal.operators.pq import encode_pq, load_books, search_pq, train_pq
+from vicinal.operators.pq import encode_pq, load_books, residuals, search_pq, train_pq
 from vicinal.operators.training import training_status
 from vicinal.options import (
     BLOCK_ROWS,
@@ -111,6 +111,7 @@ class VectorStore:
             embedding_model=embedding_model,
             pq_dim=getattr(config, "pq_dim", None),
             pq_bits=getattr(config, "pq_bits", None),
+            residual=getattr(config, "residual", None),
             is_trained=False,
             trained_count=0,
             key_check=bytearray(key_check(self.spark, key, name)),
@@ -325,12 +326,13 @@ class VectorIndex:
         kept = {"ivf": ["id"], "ivfflat": ["id", "vector", "metadata"], "ivfpq": ["id"]}[entry["index_type"]]
         placed = assign_cells(items, centroids, metric)
         if entry["index_type"] == "ivfpq":
+            coded, space = self._to_code(entry, placed, centroids)
             words = train_pq(
-                items, entry["pq_dim"], entry["pq_bits"], metric, max_iters, tolerance, seed, shape, batch_size, max_memory
+                coded, entry["pq_dim"], entry["pq_bits"], space, max_iters, tolerance, seed, shape, batch_size, max_memory
             )
             self._write_sealed(words, f"{path}/books", "sub")
             books = load_books(self._read_sealed(f"{path}/books", "sub"))
-            placed = encode_pq(placed, books, metric)
+            placed = encode_pq(coded, books, space)
             kept = kept + ["codes"]
         self._write_cells(placed.select(*kept, "cell"), centroids, entry, f"{path}/cells")
         sizes = dict(self.spark.read.parquet(f"{path}/cells").groupBy("cell").count().collect())
@@ -391,7 +393,7 @@ class VectorIndex:
             # What calibration found holds for rows that match.
             options["matching"] = matching_lists(cells, centroids, filters, items)
         if books is not None:
-            hits = search_pq(cells, books, items, queries, rerank=rerank, centroids=centroids, **options)
+            hits = search_pq(cells, books, items, queries, rerank=rerank, centroids=centroids, residual=bool(entry["residual"]), **options)
         else:
             hits = probe(cells, centroids, queries, items=items, **options)
         return hits.orderBy("query_id", "rank")
@@ -495,6 +497,12 @@ class VectorIndex:
             return False
         return self._raw_items(entry, batches).select("id").count() >= limit
 
+    def _to_code(self, entry: dict, placed: DataFrame, centroids: Centroids) -> tuple[DataFrame, str]:
+        """What is quantised, and under which metric: residuals are compared as they are."""
+        if not entry["residual"]:
+            return placed, entry["metric"]
+        return residuals(placed, centroids, entry["metric"]), "euclidean"
+
     def _write_sealed(self, df: DataFrame, path: str, aad: str) -> None:
         encrypt_columns(df, ["centroid"], self._key_df, aad).write.parquet(path)
 
@@ -527,5 +535,6 @@ class VectorIndex:
         written = self._opened(changes.filter(F.col("op") == "U").select(*ITEM_COLUMNS), entry["encrypted"])
         added = assign_cells(written, centroids, entry["metric"])
         if books is not None:
-            added = encode_pq(added, books, entry["metric"])
+            coded, space = self._to_code(entry, added, centroids)
+            added = encode_pq(coded, books, space)
         return cells.join(changes.select("id"), "id", "left_anti").unionByName(added.select(*cells.columns))

@@ -42,7 +42,7 @@ from vicinal.operators.items import list_ids as list_item_ids
 from vicinal.operators.ivf import calibrate_probes, probe
 from vicinal.operators.knn import filter_matches as matching_ids
 from vicinal.operators.knn import knn_exact
-from vicinal.operators.pq import encode_pq, load_books, pq_step, search_pq, train_pq
+from vicinal.operators.pq import decode_pq, encode_pq, load_books, pq_step, residuals, search_pq, train_pq
 from vicinal.operators.search import SearchLimits, broadcast_small, settle
 from vicinal.operators.training import training_status
 from vicinal.options import IVF, IVFPQ, IVFFlat
@@ -432,6 +432,21 @@ def pq_train(spark, sf_dir):
 # Evaluation
 
 
+def pq_residual(spark, sf_dir):
+    """Codes of residuals against codes of the vectors, with the same bits: the decoded vectors lie nearer."""
+    items = vector_items(spark, sf_dir).select("id", "vector")
+    centroids = load_centroids(train_ivf(items, n_lists=16, max_iters=4))
+    placed = assign_cells(items, centroids)
+    less = residuals(placed, centroids)
+    spreads = []
+    for source, known in ((items, None), (less, centroids)):
+        books = load_books(train_pq(source, PQ_DIM, 4, max_iters=4))
+        decoded = decode_pq(encode_pq(source, books), books, known).select("id", "decoded").join(items, "id")
+        gap = distance("decoded", "vector", "euclidean")
+        spreads.append(decoded.agg(F.avg(gap * gap).alias("spread")).first()[0])
+    return items.agg(F.count(F.lit(1)).alias("n_items")).withColumn("nearer", F.lit(spreads[1] < spreads[0]))
+
+
 def recall_at_k(spark, sf_dir):
     items = vector_items(spark, sf_dir)
     truth = knn_exact(items, label_queries(spark, sf_dir), TOP_K, digits=DIGITS)
@@ -812,7 +827,7 @@ QUERIES = {
         upsert_insert_replace, upsert_idempotent, upsert_ordered, delete_ids, get_by_ids_ordered, list_ids,
         count_vectors, validate_event_items, compact_log, compact_over_snapshot,
         ivf_assign, ivf_centroids, ivf_probe, ivf_full_probe, ivf_greedy, ivf_filtered_probe, ivf_postings_probe, ivf_train, ivf_train_mini,
-        pq_codebooks, pq_encode, pq_search, pq_search_rerank, ivfpq_search, pq_train,
+        pq_codebooks, pq_encode, pq_search, pq_search_rerank, ivfpq_search, pq_train, pq_residual,
         recall_at_k, recall_filtered, recall_thresholds, leak_check, roundtrip_integrity, roundtrip_changes, id_prefix_count,
         content_query, embed_on_ingest, training_decision, catalog_list, catalog_describe,
         encrypted_roundtrip, encrypted_vectors, index_query, index_trained_query, index_ivf_query, index_ivfpq_query,

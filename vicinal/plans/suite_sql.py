@@ -350,6 +350,7 @@ WHERE o.toxic = 0""",
     "ivf_train": """
 SELECT CAST(16 AS INTEGER) AS n_lists, count(*) AS n_items, CAST(0 AS BIGINT) AS wrong_cells, CAST(0 AS BIGINT) AS n_lost,
        TRUE AS recall_reached FROM embeddings""",
+    "pq_residual": "SELECT count(*) AS n_items, TRUE AS nearer FROM embeddings",
     "ivf_train_mini": "SELECT count(*) AS n_items, CAST(0 AS BIGINT) AS n_lost, TRUE AS within FROM embeddings",
     "pq_train": f"""
 SELECT CAST(s AS INTEGER) AS sub, least(16, count(DISTINCT embedding[s * {PQ_WIDTH} + 1:s * {PQ_WIDTH} + {PQ_WIDTH}])) AS n_codes,

@@ -43,7 +43,7 @@ CATALOG_SCHEMA = """
     n_lists int, auto_n_probes int, is_trained boolean, trained_count bigint,
     key_check binary, encrypted array<string>, snapshot string, snapshot_count bigint,
     covered array<string>, lists string, lists_covered array<string>, dropped boolean,
-    buckets int, parts array<struct<gen:string,buckets:array<int>>>
+    buckets int, parts array<struct<gen:string,buckets:array<int>>>, residual boolean
 """
 _CLAIM_POLL = 0.2
 #: Seconds after which a claim, or the mark of a training, counts as dead unless it was renewed.
