@@ -5,6 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+from functools import lru_cache
+from sys import maxunicode
+from unicodedata import category
+
 import numpy as np
 import pyarrow as pa
 import regex
@@ -40,21 +44,44 @@ def whole_tokens(path: str) -> list[str]:
     ]
 
 
+@lru_cache(maxsize=4)
+def agreed_characters(path: str) -> np.ndarray:
+    """For every code point whether ``PRE_TOKENS`` and the tokenizer's own cutter take it for the same kind.
+
+    Both cut a letter, the character and a digit: a letter stays with the first, a number with the last, any other
+    character alone. White space but blank, tab and line ends does not count as agreed, since it is not cut at.
+    """
+    cut, own = regex.compile(PRE_TOKENS), Tokenizer.from_file(path).pre_tokenizer
+    agreed = np.zeros(maxunicode + 1, bool)
+    agreed[[9, 10, 13, 32]] = True
+    spaces = regex.compile(r"\s")
+    tried = [c for c in map(chr, range(maxunicode + 1)) if category(c) not in ("Cs", "Cn", "Co") and not spaces.match(c)]
+    for first in range(0, len(tried), 4096):
+        some = tried[first : first + 4096]
+        line = " ".join(f"a{c}1 !{c}!" for c in some)
+        mine, theirs = {m.span() for m in cut.finditer(line)}, {at for _, at in own.pre_tokenize_str(line)}
+        agreed[[ord(c) for c in some]] = True
+        # Every character has 7 places and the blank before them.
+        for start, _ in mine ^ theirs:
+            agreed[ord(some[(start + 1) // 8])] = False
+    return agreed
+
+
 class TokenCounter:
     """Tokens of whole texts.
 
     Merges never cross pre-tokens, and no pre-token goes on behind white space, but one blank before a word
     belongs to it. So a text is cut into words, each with its blank or without, and the white space that is
-    left; what each has is looked up by a 64-bit hash. Texts of other characters than Latin ones are left to
-    the tokenizer, since pattern engines differ in rare white space and new letters, as are special tokens.
+    left; what each has is looked up by a 64-bit hash. This holds for all scripts. Texts with characters that pattern
+    engines differ in, rare white space among them, are left to the tokenizer, as are texts with special tokens.
     """
 
-    def __init__(self, path: str, known: list[str]):
+    def __init__(self, path: str, known: list[str], agreed: np.ndarray):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole, self.merged = set(known), {}
+        self.whole, self.merged, self.agreed = set(known), {}, agreed
         self.cut = regex.compile(PRE_TOKENS).findall
         self.index = WordIndex(self._learn, self._forget)
         self._forget()
@@ -105,11 +132,18 @@ class TokenCounter:
         inner = np.isin(upto, starts[~with_blank]) & ~np.isin(upto, rows) & (upto - spaces > 1)
         cuts = upto[inner] - 1
         total += self._add(data, np.concatenate([spaces, cuts]), np.concatenate([np.where(inner, upto - 1, upto), upto[inner]]), rows)
-        odd = rows_with(beyond_latin(data), rows)
-        for n in np.flatnonzero(odd | self._has_special(data, rows)):
+        for n in np.flatnonzero(self._doubtful(data, rows) | self._has_special(data, rows)):
             total[n] = self._library(texts[int(n)].as_py())
         return total
 
+    def _doubtful(self, data: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Rows with a character of which it is not agreed what kind it is."""
+        found, own = rows_with(beyond_latin(data), rows), data.tobytes()
+        for n in np.flatnonzero(found):
+            points = np.frombuffer(own[rows[n] : rows[n + 1]].decode().encode("utf-32-le"), np.uint32)
+            found[n] = not self.agreed[points].all()
+        return found
+
     def _add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """The tokens between the given places, added up by row."""
         own = data.tobytes()
@@ -143,10 +177,10 @@ def count_tokens(docs: DataFrame, id_col: str, text_col: str, path: str) -> Data
     columns are not read.
     """
     _byte_level(path)
-    known = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+    known = docs.sparkSession.sparkContext.broadcast((whole_tokens(path), agreed_characters(path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = TokenCounter(path, known.value)
+        counter = TokenCounter(path, *known.value)
         for batch in batches:
             for part in text_slices(batch, "_text"):
                 ends = text_bytes(part.column("_text"))[1]
