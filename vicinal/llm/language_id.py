@@ -17,8 +17,10 @@ from vicinal.llm.common import text_slices
 
 #: Hashed n-gram features, and the longest n-gram.
 FEATURES, LONGEST = 1 << 15, 3
-#: Bound of the labelled rows that the classifier is fitted on, and of the languages it learns.
-MAX_ROWS, MAX_LANGUAGES = 2_000, 200
+#: Bound of the labelled rows that the classifier is fitted on; every language has at least one.
+MAX_ROWS = 2_000
+#: Languages whose weights are looked up at once.
+LANGUAGES_AT_ONCE = 64
 #: Rows of a batch that get a feature matrix at once.
 ROWS_AT_ONCE = 256
 #: Name for texts without a letter.
@@ -130,7 +132,9 @@ class LanguageModel:
         grams = np.zeros(len(texts))
         for features in _features(codes):
             places = np.minimum(starts[:-1], len(features) - 1)
-            logits += np.add.reduceat(self.weights[features], places, axis=0, dtype=np.float64)
+            for k in range(0, len(self.languages), LANGUAGES_AT_ONCE):
+                some = slice(k, k + LANGUAGES_AT_ONCE)
+                logits[:, some] += np.add.reduceat(self.weights[features, some], places, axis=0, dtype=np.float64)
             grams += np.add.reduceat(features < FEATURES, places, dtype=np.int64)
         has_letter = grams > 0
         logits = logits / np.maximum(grams, 1)[:, None] + self.bias
@@ -180,21 +184,21 @@ def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
 def fit_languages(labelled: DataFrame, text_col: str, lang_col: str, order_col: str, max_rows: int = MAX_ROWS) -> LanguageModel:
     """Fit on a sample of at most about ``max_rows`` labelled rows, spread evenly over the languages.
 
-    Document frequencies count all labelled rows; only the classifier sees a sample, chosen by a hash of
+    Every language takes part: with more languages than ``max_rows`` there is a row of each. Document frequencies count all labelled rows; only the classifier sees a sample, chosen by a hash of
     ``order_col``. Rows with a null text or language are left out. Without any row the model knows no
     language and calls every text undetermined.
     """
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(text_col).alias("_text"), F.col(lang_col).alias("lang"), F.xxhash64(order_col).alias("_order")
     )
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    draw = F.xxhash64("_order", F.lit(1)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("least")).collect()
     if not sizes:
         return LanguageModel([], np.zeros((FEATURES + 1, 0)), np.zeros(0), 1.0)
     languages = sorted(r["lang"] for r in sizes)
     quota = max(1, max_rows // len(languages))
-    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, quota / r["n"]))])
-    draw = (F.xxhash64("_order", F.lit(1)).bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40))
-    chosen = rows.filter(draw < share[F.col("lang")])
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], max(r["least"], min(1.0, quota / r["n"])))])
+    chosen = rows.filter(draw <= share[F.col("lang")])
 
     counts, total = document_frequencies(rows.select("_text"))
     idf = np.log((1.0 + total) / (1.0 + counts)) + 1.0
@@ -204,8 +208,11 @@ def fit_languages(labelled: DataFrame, text_col: str, lang_col: str, order_col:
         features, found = np.asarray(features), np.asarray(found, np.float64)
         if len(features):
             examples.append((features, SCALE * found / found.sum() * idf[features], languages.index(lang)))
-    fitted = [e for n, e in enumerate(examples) if n % 5] or examples
-    held = [e for n, e in enumerate(examples) if not n % 5]
+    # The first text of a language is never held back, so that none goes unlearnt.
+    seen: set[int] = set()
+    firsts = [not (e[2] in seen or seen.add(e[2])) for e in examples]
+    fitted = [e for n, e in enumerate(examples) if n % 5 or firsts[n]]
+    held = [e for n, e in enumerate(examples) if not n % 5 and not firsts[n]]
     weights, bias = train_ftrl(fitted, len(languages))
     logits = np.array([x @ weights[at] + bias for at, x, _ in held]).reshape(len(held), len(languages))
     temperature = calibrate(logits, np.array([y for _, _, y in held], np.int64))
