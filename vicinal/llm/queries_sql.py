@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from vicinal.llm.queries import RULES, SHARDS
-from vicinal.llm.url_filters import BLOCK_SHARE, DAMPING, LOWER, ROUNDS, UPPER
+from vicinal.llm.url_filters import BLOCK_SHARE, DAMPING, LOWER, UPPER
 
 _JACCARD = f"""
 WITH RECURSIVE split AS (
@@ -58,13 +58,9 @@ def _url_sql() -> str:
         f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{'rule': '{h}{p}', 'verdict': '{v}'}}"
         for h, p, v in sorted(RULES, key=lambda r: (len(r[0] + r[1]), r[0] + r[1]), reverse=True)
     ]
-    steps = [f"""
-), state{n + 1} AS (
-    SELECT kind, host, sum(score) AS score FROM (
-        SELECT e.kind, e.dst AS host, s.score * e.share * {DAMPING} AS score FROM state{n} s JOIN edges e ON e.kind = s.kind AND e.src = s.host
-        UNION ALL SELECT kind, host, seed * (1 - {DAMPING}) FROM seeds) GROUP BY kind, host""" for n in range(ROUNDS)]
+    # Rounds go on until what a host still passes on is below anything that a verdict could show.
     return f"""
-WITH cut AS (
+WITH RECURSIVE cut AS (
     SELECT page_id, html, coalesce({host}, '') AS host, coalesce({path}, '') AS path FROM pages
 ), ruled AS (
     SELECT *, CASE {' '.join(cases)} END AS r FROM cut
@@ -82,10 +78,13 @@ WITH cut AS (
     SELECT 'trust' AS kind, src, dst, n FROM links UNION ALL SELECT 'distrust', dst, src, n FROM links
 ), edges AS (
     SELECT kind, src, dst, n / sum(n) OVER (PARTITION BY kind, src) AS share FROM ways
-), state0 AS (
-    SELECT kind, host, seed AS score FROM seeds{''.join(steps)}
+), moved AS (
+    SELECT 0 AS round, kind, host, seed * (1 - {DAMPING}) AS score FROM seeds
+    UNION ALL
+    SELECT m.round + 1, e.kind, e.dst, sum(m.score * e.share) * {DAMPING} FROM moved m JOIN edges e ON e.kind = m.kind AND e.src = m.host
+    GROUP BY m.round + 1, e.kind, e.dst HAVING sum(m.score * e.share) > 1e-12
 ), hosts AS (
-    SELECT host, sum(score) FILTER (kind = 'trust') AS trust, sum(score) FILTER (kind = 'distrust') AS distrust FROM state{ROUNDS} GROUP BY host
+    SELECT host, sum(score) FILTER (kind = 'trust') AS trust, sum(score) FILTER (kind = 'distrust') AS distrust FROM moved GROUP BY host
 )
 SELECT page_id, host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN coalesce(distrust, 0) > {BLOCK_SHARE} * (coalesce(trust, 0)
     + coalesce(distrust, 0)) THEN 'block' ELSE 'allow' END) AS verdict

@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from vicinal.llm.common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Share of a score that flows over links in each round, and the number of rounds.
-DAMPING, ROUNDS = 0.85, 10
-#: Rounds between two stored tables.
-STORE_EVERY = 5
+#: Share of a score that flows over links in each round, and the part of a kind's score that may still be on its way.
+DAMPING, TOLERANCE = 0.85, 1e-4
 #: A host is blocked when distrust makes up more than this share of its trust and distrust.
 BLOCK_SHARE = 0.5
 
@@ -63,34 +61,44 @@ def host_links(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     return ends.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank per ``kind``: ``(kind, host, score)``.
 
     ``edges`` has ``(kind, src, dst, share)`` with shares of a source summing to 1, ``seeds`` has
-    ``(kind, host, seed)``. A host without links keeps no score beyond what reaches it. Only hosts
-    that a seed reaches have rows.
+    ``(kind, host, seed)``. A host without links keeps no score beyond what reaches it. Every host that a
+    seed reaches has a row, however long the way.
+
+    Each round moves on what arrived in the last one, and is a stored table, so lineage does not grow. The rounds end when all that
+    is still on its way is at most ``tolerance`` of a kind's score of 1 and the last round reached no new host.
     """
-    start = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score"))
-    state = seeds.select("kind", "host", F.col("seed").alias("score"))
-    for n in range(rounds):
-        moved = state.join(edges.withColumnRenamed("src", "host"), ["kind", "host"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("score")
+    first = seeds.groupBy("kind", "host").agg(F.sum(F.col("seed") * (1 - damping)).alias("score"))
+    state = stored(first.select("kind", "host", "score", F.col("score").alias("moved")), "trust")
+    ways, known = edges.withColumnRenamed("src", "host"), state.count()
+    while known:
+        flown = state.filter("moved > 0").join(ways, ["kind", "host"]).select(
+            "kind", F.col("dst").alias("host"), (F.col("moved") * F.col("share") * damping).alias("score")
         )
-        state = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (n + 1) % STORE_EVERY == 0:
-            state = stored(state, "trust")
-    return state
+        both = state.select("kind", "host", "score", F.lit(0.0).alias("moved")).unionByName(flown.withColumn("moved", F.col("score")))
+        state = stored(both.groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("moved").alias("moved")), "trust")
+        # What has moved in a round moves on with this factor in all later ones together.
+        left = state.groupBy("kind").agg(F.sum("moved").alias("moved"), F.count(F.lit(1)).alias("n"))
+        moved, now = left.agg(F.max("moved"), F.sum("n")).first()
+        if now == known and moved * damping / (1 - damping) <= tolerance:
+            break
+        known = now
+    return state.select("kind", "host", "score")
 
 
 def judge_urls(
-    pages: DataFrame, id_col: str, url_col: str, html_col: str, rules: Sequence[Rule], block_share: float = BLOCK_SHARE
+    pages: DataFrame, id_col: str, url_col: str, html_col: str, rules: Sequence[Rule], block_share: float = BLOCK_SHARE,
+    damping: float = DAMPING, tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``(id, host, path, rule, verdict, trust, distrust)`` of every page.
 
     A page that a rule fits gets the rule's verdict. Hosts of allowed pages seed trust, which follows
     links; hosts of blocked pages seed distrust, which goes to hosts that link to them. Any other page is
     blocked if distrust is more than ``block_share`` of its host's trust and distrust; a host that
-    neither reaches is allowed. Null urls have an empty host and path. Repeated rows stay, an empty
+    neither reaches is allowed. Scores go over links until all but ``tolerance`` has arrived. Null urls have an empty host and path. Repeated rows stay, an empty
     table gives an empty result, and other columns are not read.
     """
     own = pages.select(F.col(id_col).alias("_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
@@ -116,7 +124,7 @@ def judge_urls(
     out = ways.groupBy("kind", "src").agg(F.sum("n").alias("_out"))
     edges = stored(ways.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("_out")).alias("share")), "edges")
 
-    scores = spread(edges, seeds)
+    scores = spread(edges, seeds, damping, tolerance)
     hosts = scores.groupBy("host").agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("score")).otherwise(0.0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("score")).otherwise(0.0)).alias("distrust"),
