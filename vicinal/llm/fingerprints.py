@@ -17,6 +17,8 @@ PRIMES = (2147483647, 2147483629)
 BASES = (1000003, 1299721)
 #: Code points of a sampled span, and how many sampled spans a fingerprint keeps.
 SPAN, SPANS = 12, 32
+#: Bytes of text that a range of ids aims at.
+RANGE_BYTES = 32 << 20
 #: Prefix and suffix lengths that a fingerprint keeps: this one, then a quarter power of two more each.
 FIRST_LENGTH = 8
 
@@ -180,6 +182,44 @@ def _rows(batches: Iterator[pa.RecordBatch], id_col: str) -> Iterator[pa.RecordB
             out = []
 
 
+class Ranges:
+    """Consecutive ranges of rows by ``(id, hash of the text)``; a null id is below all others.
+
+    An id that holds the rows of several ranges is cut into as many by the hash, null ids likewise.
+    """
+
+    def __init__(self, quantiles: list[float], null_parts: int):
+        near = np.clip(np.array(quantiles, np.float64), -(2.0**63), 2.0**63 - 1024)
+        ids, copies = np.unique(near.astype(np.int64), return_counts=True)
+        parts = {int(i): int(n) for i, n in zip(ids, copies)}
+        # What follows a heavy id begins a range of its own.
+        for heavy in [i for i, n in parts.items() if n > 1]:
+            parts.setdefault(heavy + 1, 1)
+        self.cuts = np.array(sorted(parts), np.int64)
+        self.parts = np.array([null_parts, 1, *(parts[i] for i in self.cuts.tolist())], np.int64)
+        self.first = np.cumsum(self.parts) - self.parts
+        self.total = int(self.parts.sum())
+
+    def of(self, ids: np.ndarray, missing: np.ndarray, orders: np.ndarray) -> np.ndarray:
+        """The range of every row; what stands in ``ids`` for a null does not matter."""
+        at = np.where(missing, 0, 1 + np.searchsorted(self.cuts, ids, side="right"))
+        drawn = (orders.astype(np.int64) ^ np.int64(-(1 << 63))).view(np.uint64) >> np.uint64(32)
+        part = (drawn * self.parts[at].astype(np.uint64)) >> np.uint64(32)
+        return (self.first[at] + part.astype(np.int64)).astype(np.int32)
+
+
+def ranges_for(rows: DataFrame) -> Ranges:
+    """Ranges of about ``RANGE_BYTES`` of text, and at least two for each shuffle partition."""
+    least = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.isnull("_id")).alias("nulls"), F.sum(F.octet_length("_text")).alias("b")).first()
+    wanted = max(2, least, -(-(size["b"] or 0) // RANGE_BYTES))
+    null_parts = max(1, -(-wanted * size["nulls"] // max(1, size["n"])))
+    others = max(1, wanted - null_parts)
+    steps = [n / others for n in range(1, others)]
+    quantiles = rows.select("_id").approxQuantile("_id", steps, 0.2 / others) if steps else []
+    return Ranges(quantiles, null_parts)
+
+
 def fingerprint_neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how like the neighbours are.
 
@@ -188,27 +228,24 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataF
     row's text; the last row is followed by the first. Null texts count as empty. Columns: ``id, n_chars,
     edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
-    One shuffle: rows go to ranges of ids; the row that follows a range is sent to it as well, so no
-    task and no group holds more than its range. An empty table gives an empty result; repeated rows
+    One shuffle: rows go to ranges of ids and, where one id or the null id has many rows, of hashes; their number follows the
+    bytes of all texts. The row that follows a range is sent to it as well, so a task holds one range, sorted on disk
+    where need be, and one text at a time. Rows equal in id and text stay together. An empty table gives an empty result; repeated rows
     give a row each; other columns are not read.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     rows = rows.withColumn("_order", F.xxhash64("_text"))
-    ranges = max(2, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    steps = [n / ranges for n in range(1, ranges)]
-    cuts = np.unique(np.array(rows.select("_id").approxQuantile("_id", steps, 0.2 / ranges), dtype=np.float64)).astype(np.int64)
+    ranges = ranges_for(rows)
 
     @F.pandas_udf("int")
-    def in_range(ids: pd.Series, missing: pd.Series) -> pd.Series:
-        found = 1 + np.searchsorted(cuts, ids.to_numpy(), side="right")
-        return pd.Series(np.where(missing.to_numpy(), 0, found).astype(np.int32))
+    def in_range(ids: pd.Series, missing: pd.Series, orders: pd.Series) -> pd.Series:
+        return pd.Series(ranges.of(ids.to_numpy(), missing.to_numpy(), orders.to_numpy()))
 
     filled, missing = F.coalesce("_id", F.lit(0)), F.isnull("_id")
 
     # The greatest row of every range: at most one for each cut. A null id is below all others.
     key = F.struct(F.col("_id"), F.col("_order"))
-    firsts = rows.select(in_range(filled, missing).alias("_range"), key.alias("_key")).groupBy("_range").agg(F.max("_key").alias("_key")).collect()
+    firsts = rows.select(in_range(filled, missing, "_order").alias("_range"), key.alias("_key")).groupBy("_range").agg(F.max("_key").alias("_key")).collect()
     firsts = sorted((r["_range"], r["_key"]["_id"], r["_key"]["_order"]) for r in firsts)
     follows = {}
     for n, (_, own_id, order) in enumerate(firsts):
@@ -217,10 +254,10 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataF
 
     @F.pandas_udf("array<int>")
     def places(ids: pd.Series, missing: pd.Series, orders: pd.Series) -> pd.Series:
-        own = 1 + np.searchsorted(cuts, ids.to_numpy(), side="right")
+        own = ranges.of(ids.to_numpy(), missing.to_numpy(), orders.to_numpy())
         return pd.Series([
-            [0 if m else int(r), *(-1 - n for n in marked.get((i, m, o), ()))]
-            for i, m, o, r in zip(ids.tolist(), missing.tolist(), orders.tolist(), own)
+            [r, *(-1 - n for n in marked.get((i, m, o), ()))]
+            for i, m, o, r in zip(ids.tolist(), missing.tolist(), orders.tolist(), own.tolist())
         ])
 
     # -1 - n sends the row to range n as the one that follows it.
@@ -228,7 +265,7 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str, text_col: str) -> DataF
     spread = spread.withColumn("_tail", F.col("_place") < 0).withColumn(
         "_range", F.when(F.col("_place") < 0, -1 - F.col("_place")).otherwise(F.col("_place"))
     )
-    dealt = spread.repartition(ranges, "_range").sortWithinPartitions("_range", "_tail", F.desc_nulls_last("_id"), F.desc("_order"))
+    dealt = spread.repartitionById(ranges.total, "_range").sortWithinPartitions("_range", "_tail", F.desc_nulls_last("_id"), F.desc("_order"))
     schema = (
         f"`{id_col}` bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
