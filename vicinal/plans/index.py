@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vicinal.functions.crypto import decrypt_columns, encrypt_columns, key_check, key_frame, key_opens
 from vicinal.functions.embedding import Embedder, embed_missing, embedding, hash_embedder
-from vicinal.operators.buckets import bucket_of, fetch
+from vicinal.operators.buckets import bucket_of, fetch, in_buckets
 from vicinal.operators.catalog import describe_index, list_indexes
 from vicinal.operators.clustering import Centroids, assign_cells, block_rows, centroid_frame, load_centroids, train_centroids
 from vicinal.operators.items import (
@@ -55,6 +55,8 @@ from vicinal.streaming.ingest import stream_batches
 
 _CENTROID_KIND = {"centroid": "array<double>"}
 _MAX_TASKS = 100_000
+# Bytes of items that a task of a compaction writes, unless one bucket holds more.
+_TASK_BYTES = 32 << 20
 
 
 class VectorStore:
@@ -476,12 +478,15 @@ class VectorIndex:
         else:
             buckets = entry["buckets"]
             touched = sorted(row[0] for row in log.select(bucket_of("id", buckets)).distinct().collect())
-            rows = current_state(log, snapshot.filter(F.col("bucket").isin(touched)))
+            rows = current_state(log, snapshot.filter(in_buckets(touched)))
             for part in entry["parts"]:
                 left = sorted(set(part["buckets"]) - set(touched))
                 parts += [{"gen": part["gen"], "buckets": left}] if left else []
         rows = rows.select(*ITEM_COLUMNS, bucket_of("id", buckets).alias("bucket"))
-        rows.repartition(max(1, len(touched)), "bucket").write.partitionBy("bucket").parquet(f"{self.store.items_path(entry)}/gen={uid}")
+        # A task writes as many buckets as make up its bytes: small ones do not get a task each.
+        tasks = max(math.ceil(held / _TASK_BYTES), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = rows.repartition(max(1, min(tasks, len(touched))), "bucket")
+        rows.write.partitionBy("bucket").parquet(f"{self.store.items_path(entry)}/gen={uid}")
         parts.append({"gen": uid, "buckets": touched})
         changes = {"snapshot": uid, "buckets": buckets, "parts": parts, "covered": batches}
         changes["snapshot_count"] = self.store.read_snapshot({**entry, **changes}).count()
