@@ -18,7 +18,7 @@ from vicinal.functions.vectors import to_matrix
 # One product covers this many queries and rows, so that its temporaries stay in cache.
 _BLOCK_QUERIES = 512
 _BLOCK_ROWS = 256
-_PAIR_ROWS = 1 << 16
+_PAIR_ROWS = 1 << 12
 # Candidates that are held before the first trim at most.
 _HELD = 1 << 22
 _UNIT = np.finfo(np.float64).eps
